@@ -45,5 +45,9 @@ def load_all() -> dict[str, Entry]:
     """Import every plan module so its queries register."""
     from tessera.plans import (  # noqa: F401
         basket_plans,
+        relational_plans,
+        ordered_plans,
+        scalar_plans,
+        stats_plans,
     )
     return REGISTRY
