@@ -49,5 +49,6 @@ def load_all() -> dict[str, Entry]:
         ordered_plans,
         scalar_plans,
         stats_plans,
+        text_plans,
     )
     return REGISTRY

@@ -129,8 +129,8 @@ _BID_SQL = """
 ctx AS (SELECT c.c_mktsegment AS context, avg(l.l_discount) AS k
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
         JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1),
-grid AS (SELECT context, cpc, b / 100.0 AS bid,
-                least(1.0, (b / 100.0) * (1 + 10 * k) * 2) AS rate
+grid AS (SELECT context, CAST(cpc AS DOUBLE) AS cpc, CAST(b AS DOUBLE) / 100 AS bid,
+                least(1.0, (CAST(b AS DOUBLE) / 100) * (1 + 10 * k) * 2) AS rate
          FROM ctx, (VALUES (0.01), (0.02), (0.10), (0.15), (0.30), (0.70)) c(cpc), range(1, 100) r(b)),
 rev AS (SELECT context, cpc, bid, (cpc - bid) * rate * 0.15 AS revenue FROM grid)
 """
