@@ -50,5 +50,6 @@ def load_all() -> dict[str, Entry]:
         scalar_plans,
         stats_plans,
         text_plans,
+        model_prep_plans,
     )
     return REGISTRY
