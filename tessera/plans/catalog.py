@@ -51,5 +51,6 @@ def load_all() -> dict[str, Entry]:
         stats_plans,
         text_plans,
         model_prep_plans,
+        model_plans,
     )
     return REGISTRY
