@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import bounded_broadcast
+from tessera.session import bounded_broadcast, cut_lineage
 
 # Orders with more distinct frequent items than this are split into slices.
 DEFAULT_CHUNK = 256
@@ -71,6 +71,14 @@ def item_support(lines: DataFrame, order_col: str, item_col: str, min_count: int
             .withColumn("support", F.col("n_orders") / F.lit(float(n_orders))))
 
 
+# Broadcast the frequent-item list only when it is provably small.
+FREQUENT_ITEM_BROADCAST_ROWS = 200_000
+
+
+def _small(df: DataFrame) -> bool:
+    return df.limit(FREQUENT_ITEM_BROADCAST_ROWS + 1).count() <= FREQUENT_ITEM_BROADCAST_ROWS
+
+
 def _slice_counts(frequent_rows: DataFrame, chunk: int) -> DataFrame:
     """Orders whose frequent item count exceeds ``chunk`` and their slice count."""
     hot = (frequent_rows.groupBy("order_id").agg(F.count(F.lit(1)).alias("m"))
@@ -110,11 +118,16 @@ def frequent_itemsets(lines: DataFrame, order_col: str, item_col: str, min_count
     Output: (itemset array<item> sorted, k, n_orders, support).
     """
     oi = order_items(lines, order_col, item_col)
-    if n_orders is None:
-        n_orders = oi.select("order_id").distinct().count()
     singles = (oi.groupBy("item").agg(F.count(F.lit(1)).alias("n_orders"))
                .where(F.col("n_orders") >= min_count))
-    frequent_rows = oi.join(singles.select("item"), "item", "left_semi")
+    # The frequent (order, item) rows feed every level: materialise them once
+    # (reliable checkpoint in the shared folder) instead of re-deriving them
+    # from the line table in each branch of the plan.
+    frequent_rows = cut_lineage(oi.join(F.broadcast(singles.select("item"))
+                                        if _small(singles) else singles.select("item"), "item", "left_semi"))
+    if n_orders is None:
+        n_orders = oi.select("order_id").distinct().count()
+    singles = frequent_rows.groupBy("item").agg(F.count(F.lit(1)).alias("n_orders"))
     slices = _slice_counts(frequent_rows, chunk)
 
     out = singles.select(F.array("item").alias("itemset"), F.lit(1).alias("k"), "n_orders")
@@ -170,8 +183,7 @@ def pair_rules(pairs: DataFrame, singles: DataFrame) -> DataFrame:
 def basket_rules(lines: DataFrame, order_col: str, item_col: str, min_count: int,
                  chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """B1 -> B2 -> B4(k=2) -> B5 in one plan."""
-    n_orders = order_count(lines, order_col)
-    sets = frequent_itemsets(lines, order_col, item_col, min_count, 2, chunk, n_orders)
+    sets = frequent_itemsets(lines, order_col, item_col, min_count, 2, chunk)
     singles = sets.where(F.col("k") == 1).select(F.col("itemset")[0].alias("item"), "support")
     pairs = sets.where(F.col("k") == 2).select(
         F.col("itemset")[0].alias("item_a"), F.col("itemset")[1].alias("item_b"), "support")
