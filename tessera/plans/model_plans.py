@@ -576,3 +576,24 @@ def src_replace_table(spark, d):
     out = S.replace_table(r, "tessera_brand_counts", scratch_dir(spark, "brand_counts_tbl"),
                           [F.col("n").desc(), F.col("item")], "id")
     return out.select("id", "item", "n")
+
+
+@register("similar_users", "R9", sql="""
+WITH e AS (SELECT vec_id, CAST(embedding[1:8] AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT a.vec_id, b.vec_id AS similar_id, list_cosine_similarity(a.v, b.v) AS cosine
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, similar_id) AS rank FROM s)
+SELECT vec_id, similar_id, round(cosine, 6) AS cosine, rank FROM r WHERE rank <= 3
+""")
+def similar_users(spark, d):
+    e = Tables(spark, d).embeddings.select("vec_id", F.slice("embedding", 1, 8).cast("array<double>").alias("v"))
+    s = R.similar_users(e, "vec_id", "v", k=3, block_size=64)
+    return s.select("vec_id", F.col("similar").alias("similar_id"), r6("cosine").alias("cosine"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("ranked_feature_table", "T4 V16")
+def ranked_feature_table(spark, d):
+    tr, _ = clf_split(spark, d)
+    rf = C.random_forest(10, 4).fit(tr)
+    rows = list(zip(FEATS, [float(x) for x in rf.featureImportances.toArray()]))
+    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc())
