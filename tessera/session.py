@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,10 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point reliable checkpoints at ``spark.checkpoint.dir``.
 
     The cluster names a shared folder in that setting; it is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is created.
+    Only a local master may leave it unset (tests); it gets a fresh scratch
+    folder.  On any other master a machine-local folder would lose data with
+    its executor, so an unset folder is an error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or \
+                spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -78,6 +83,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """Folder for intermediate tables: below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    """A new folder for an intermediate table, below the shared checkpoint folder.
+
+    The name is unique for each call: a second run must not overwrite files
+    that a lazy frame of the first still reads.
+    """
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
