@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import read_table
 from tessera.llm.sharding import shard_report
+from tessera.llm.simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(read_table(spark, sf_dir, "documents"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_simhash": op2_simhash,
 }
 
 #: The others draw at random, learn or search; tests/llm compares them with brute force.
