@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.common import read_table
 from tessera.llm.sharding import shard_report
 from tessera.llm.simhash import simhash_components
+from tessera.llm.warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +22,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
+    "op3_warc": op3_warc,
 }
 
 #: The others draw at random, learn or search; tests/llm compares them with brute force.
