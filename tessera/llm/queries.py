@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import read_table
+from tessera.llm.langid import predict_documents
 from tessera.llm.sharding import shard_report
 from tessera.llm.simhash import simhash_components
 from tessera.llm.warc import archive_round_trip
@@ -26,10 +27,15 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
+    "op8_langid": op8_langid,
 }
 
 #: The others draw at random, learn or search; tests/llm compares them with brute force.
