@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import read_table
 from tessera.llm.langid import predict_documents
+from tessera.llm.piece_codec import encode_documents
 from tessera.llm.sharding import shard_report
 from tessera.llm.simhash import simhash_components
+from tessera.llm.token_counts import count_documents
 from tessera.llm.warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,15 +29,25 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
+    "op5_token_counts": op5_token_counts,
     "op8_langid": op8_langid,
+    "op10_piece_codec": op10_piece_codec,
 }
 
 #: The others draw at random, learn or search; tests/llm compares them with brute force.
