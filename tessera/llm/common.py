@@ -15,7 +15,7 @@ from tessera.session import cut_lineage, ensure_checkpoint_dir
 
 #: Bytes of text that a Python task turns into numpy arrays at a time.  Only
 #: memory depends on it, never a result; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

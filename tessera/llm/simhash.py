@@ -239,7 +239,7 @@ def fingerprint_links(fps: DataFrame, max_bucket: int = MAX_BUCKET) -> DataFrame
     # points with one fingerprint around them tie nothing; the partial sums leave each task once a point
     stars = (ball.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("m"))
              .where("a < m").select("key", "a"))
-    tied = ball.join(stars, "key").where("fp > a").select("a", F.col("fp").alias("b"))
+    tied = ball.join(stars.hint("merge"), "key").where("fp > a").select("a", F.col("fp").alias("b"))
     return found.where("a < b").unionAll(tied).distinct()
 
 
@@ -256,10 +256,10 @@ def connected(links: DataFrame) -> DataFrame:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # minima as a table of their own: the joins then shuffle both sides and AQE splits a hub
         low = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
-        large = cut_lineage(both.join(low, "a").where("b > a").select(F.col("m").alias("a"), "b").distinct())
+        large = cut_lineage(both.join(low.hint("merge"), "a").where("b > a").select(F.col("m").alias("a"), "b").distinct())
         # every edge now runs from the smaller to the larger node
         root = cut_lineage(large.groupBy("b").agg(F.min("a").alias("m")))
-        small = (large.join(root, "b")
+        small = (large.join(root.hint("merge"), "b")
                  .select(F.explode(F.array(F.struct(F.col("m").alias("a"), "b"),
                                            F.struct(F.col("m").alias("a"), F.col("a").alias("b")))).alias("e"))
                  .select("e.a", "e.b").where("a < b").distinct())
@@ -277,10 +277,10 @@ def _classes(prints: DataFrame) -> DataFrame:
     # copies collapse here: from now on one row per distinct fingerprint
     distinct = via_table(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
     roots = connected(fingerprint_links(distinct.select("fp")))
-    named = cut_lineage(distinct.join(roots, distinct.fp == roots.node, "left")
+    named = cut_lineage(distinct.join(roots.hint("merge"), distinct.fp == roots.node, "left")
                         .select("fp", "low", F.coalesce("root", "fp").alias("root")))
     least = cut_lineage(named.groupBy("root").agg(F.min("low").alias("component_id")))
-    return via_table(named.join(least, "root").select("fp", "root", "component_id"), "simhash-classes")
+    return via_table(named.join(least.hint("merge"), "root").select("fp", "root", "component_id"), "simhash-classes")
 
 
 def _prints(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -299,7 +299,7 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     table gives no rows; other columns are not read.
     """
     prints = _prints(df, id_col, text_col)
-    return prints.join(_classes(prints).select("fp", "component_id"), "fp").select(
+    return prints.join(_classes(prints).select("fp", "component_id").hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
