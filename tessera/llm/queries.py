@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.common import read_table
 from tessera.llm.langid import predict_documents
 from tessera.llm.piece_codec import encode_documents
+from tessera.llm.quality import judge_documents
 from tessera.llm.sharding import shard_report
 from tessera.llm.simhash import simhash_components
 from tessera.llm.token_counts import count_documents
@@ -33,6 +34,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_documents(read_table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
     "op5_token_counts": op5_token_counts,
+    "op6_quality": op6_quality,
     "op8_langid": op8_langid,
     "op10_piece_codec": op10_piece_codec,
 }
