@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import read_table
+from tessera.llm.decontaminate import contaminated
 from tessera.llm.langid import predict_documents
 from tessera.llm.piece_codec import encode_documents
 from tessera.llm.quality import judge_documents
@@ -30,6 +31,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_documents(read_table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
+    "op4_decontaminate": op4_decontaminate,
     "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,
     "op8_langid": op8_langid,
