@@ -11,6 +11,7 @@ the ids of pre-tokens it has met, up to a bound.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -153,16 +154,21 @@ class _Numbers(dict):
 class TextEncoder:
     def __init__(self, vocabulary: PieceVocabulary):
         self.vocabulary, self.viterbi = vocabulary, ViterbiEncoder(vocabulary)
-        self._forget()
-
-    def _forget(self) -> None:
         self.numbers = _Numbers()
         self.flat, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _trim(self) -> None:
+        """Forget the later half; the pre-tokens met first, which are the frequent ones, stay."""
+        n = _REMEMBERED // 2
+        kept = _Numbers()
+        kept.update(islice(self.numbers.items(), n))
+        self.numbers, self.flat = kept, self.flat[:self.starts[n]].copy()
+        self.starts, self.lengths = self.starts[:n].copy(), self.lengths[:n].copy()
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, offsets of the texts)."""
         if len(self.numbers) > _REMEMBERED:
-            self._forget()
+            self._trim()
         split, number = self.vocabulary.pre_tokens, self.numbers.__getitem__
         each = [np.fromiter(map(number, split(t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
         if queue := self.numbers.queue:
