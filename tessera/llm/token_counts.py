@@ -5,13 +5,15 @@ end there) depends only on the prefix before it.  Distinct pre-tokens are put
 into a trie; a node stands for a prefix and gets its forward score, with the
 number of tokens of that best path, once, when it is made.  A pre-token's
 count is then read at its terminal node, and a text's count is a sum of
-lookups.  Each task keeps a trie of its own, emptied at ``MAX_NODES``, so
-memory is bounded and nothing is shuffled.
+lookups.  Each task keeps a trie of its own, replanted at ``MAX_NODES``, and
+remembers terminal counts up to ``MAX_COUNTS``, so memory is bounded and
+nothing is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,8 +23,20 @@ from pyspark.sql import types as T
 from tessera.llm.common import fresh_name, map_arrow, text_slices, with_fields
 from tessera.llm.pieces import PieceVocabulary, default_model
 
-#: Nodes a task holds before it starts a new trie; speed depends on it, no count does.
-MAX_NODES = 400_000
+#: Nodes a task holds before it starts a new trie, and counts it remembers; only speed depends on them.
+MAX_NODES = 500_000
+MAX_COUNTS = 500_000
+
+
+def reversed_pieces(vocabulary: PieceVocabulary) -> dict:
+    """The pieces from their last character back: nested dicts, a piece's score at ''."""
+    root: dict = {}
+    for piece, score in vocabulary.scores.items():
+        at = root
+        for char in reversed(piece):
+            at = at.setdefault(char, {})
+        at[""] = score
+    return root
 
 
 class CountTrie(dict):
@@ -30,33 +44,47 @@ class CountTrie(dict):
 
     def __init__(self, vocabulary: PieceVocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
-        self.children: dict[tuple[int, str], int] = {}
+        self.vocabulary, self.tails = vocabulary, reversed_pieces(vocabulary)
+        self._plant()
+
+    def _plant(self) -> None:
+        self.children: dict[int, int] = {}  # node and character, packed -> node
         self.forward, self.tokens = [0.0], [0]
 
+    def trim(self) -> None:
+        """Bound the memory; the counts met first, which are the frequent ones, stay."""
+        if len(self.forward) > MAX_NODES:
+            self._plant()
+        if len(self) > MAX_COUNTS:
+            first = list(islice(self.items(), MAX_COUNTS // 2))
+            self.clear()
+            self.update(first)
+
     def __missing__(self, unit: str) -> int:
-        v, children, forward, tokens = self.vocabulary, self.children, self.forward, self.tokens
-        score_of, path = v.scores.get, [0]
-        for end in range(1, len(unit) + 1):
-            step = (path[-1], unit[end - 1])
-            node = children.get(step)
-            if node is None:
-                best, count = float("-inf"), 0
-                # the earliest start wins a tie
-                for start in range(max(0, end - v.max_chars), end):
-                    score = score_of(unit[start:end])
-                    if score is not None and forward[path[start]] + score > best:
-                        best, count = forward[path[start]] + score, tokens[path[start]] + 1
-                before = path[-1]
-                if unit[end - 1] not in v.scores and forward[before] + v.unknown_score > best:
-                    best = forward[before] + v.unknown_score
-                    count = tokens[before] + len(v.uncovered(unit[end - 1]))
-                node = children[step] = len(forward)
+        children, forward, tokens, tails = self.children, self.forward, self.tokens, self.tails
+        node, path = 0, [0]
+        for end, char in enumerate(unit):
+            step = node << 21 | ord(char)
+            below = children.get(step)
+            if below is None:
+                best, count, tail = float("-inf"), 0, tails
+                # pieces that end here, by growing length; the earliest start wins a tie
+                for start in range(end, -1, -1):
+                    tail = tail.get(unit[start])
+                    if tail is None:
+                        break
+                    if "" in tail and (total := forward[path[start]] + tail[""]) >= best:
+                        best, count = total, tokens[path[start]] + 1
+                if char not in self.vocabulary.scores and forward[node] + self.vocabulary.unknown_score > best:
+                    best = forward[node] + self.vocabulary.unknown_score
+                    count = tokens[node] + len(self.vocabulary.uncovered(char))
+                below = children[step] = len(forward)
                 forward.append(best)
                 tokens.append(count)
+            node = below
             path.append(node)
-        self[unit] = tokens[path[-1]]
-        return tokens[path[-1]]
+        self[unit] = tokens[node]
+        return tokens[node]
 
 
 def with_token_counts(df: DataFrame, model: str | None = None, text_col: str = "text",
@@ -82,8 +110,7 @@ def with_token_counts(df: DataFrame, model: str | None = None, text_col: str = "
                 got = []
                 for text in part.column(text_col).to_pylist():
                     got.append(sum(map(counts.__getitem__, vocabulary.pre_tokens(text))) if text else 0)
-                    if len(counts.forward) > MAX_NODES:
-                        counts = CountTrie(vocabulary)
+                    counts.trim()
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.int64())],
                                                  names=[*part.schema.names, out])
 

@@ -121,7 +121,16 @@ def test_odd_texts(make_docs):
 def test_forgetting_changes_nothing(monkeypatch, vocabulary):
     texts = [" ".join(f"w{i * k % 97}q" for i in range(40)) for k in range(9)]
     whole = C.TextEncoder(vocabulary).encode(texts)
-    monkeypatch.setattr(C, "_REMEMBERED", 3)
+    counts = K.CountTrie(vocabulary)
+    each = [sum(map(counts.__getitem__, vocabulary.pre_tokens(t))) for t in texts]
+    monkeypatch.setattr(C, "_REMEMBERED", 4)
+    monkeypatch.setattr(K, "MAX_COUNTS", 4)
+    monkeypatch.setattr(K, "MAX_NODES", 20)
+    small = K.CountTrie(vocabulary)
+    for t, n in zip(texts, each):
+        assert sum(map(small.__getitem__, vocabulary.pre_tokens(t))) == n
+        small.trim()
+        assert len(small) <= 4 and len(small.forward) <= 20
     enc = C.TextEncoder(vocabulary)
     parts = [enc.encode([t])[0] for t in texts]
     assert np.concatenate(parts).tolist() == whole[0].tolist()
