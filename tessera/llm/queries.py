@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.common import read_table
 from tessera.llm.decontaminate import contaminated
 from tessera.llm.langid import predict_documents
+from tessera.llm.maxent_lm import score_documents
 from tessera.llm.piece_codec import encode_documents
 from tessera.llm.quality import judge_documents
 from tessera.llm.sharding import shard_report
@@ -43,6 +44,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_documents(read_table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,
+    "op7_maxent_lm": op7_maxent_lm,
     "op8_langid": op8_langid,
     "op10_piece_codec": op10_piece_codec,
 }
