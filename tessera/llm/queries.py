@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.boilerplate import main_text
 from tessera.llm.common import read_table
 from tessera.llm.decontaminate import contaminated
 from tessera.llm.langid import predict_documents
@@ -52,6 +53,10 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality": op6_quality,
     "op7_maxent_lm": op7_maxent_lm,
     "op8_langid": op8_langid,
+    "op9_html_extraction": op9_html_extraction,
     "op10_piece_codec": op10_piece_codec,
 }
 
