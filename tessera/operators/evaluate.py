@@ -1,39 +1,42 @@
 """Splitting, tuning and evaluation (V*, C16).
 
 Metrics are single aggregations.  ROC / PR curves pre-aggregate by distinct
-score, then take running sums with the distributed prefix-sum below (range
-partitioned, per-partition totals as offsets) instead of a global window.
+score, then take distributed running sums (``ordered.running_sums``) instead
+of a global window.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param, Params
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.operators.ordered import running_sums
 
 # ------------------------------------------------------------------ splits
 
 
-def hash_bucket(key, seed: int = 7):
-    """Deterministic 0..999 bucket of an integer key (same text runs in SQL)."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.pmod((F.pmod(k, F.lit(1000003)) * F.lit(2654435761) + F.lit(seed)), F.lit(1000))
+def hash_unit(*keys, seed: int = 7):
+    """Deterministic number in [0, 1) from the keys' text.
+
+    The first 8 hex digits of md5('seed|key|key..'): every bit depends on
+    every character, and other engines compute the same number.
+    """
+    cols = [F.col(k) if isinstance(k, str) else k for k in keys]
+    text = F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
 def hash_split(df: DataFrame, key: str, fractions: list[float], seed: int = 7,
                name: str = "split") -> DataFrame:
     """V1: label rows 0..len(fractions)-1 by cumulative fraction of the key's
-    hash bucket (e.g. [0.6, 0.2, 0.2]).  Rows are labelled, never dropped."""
-    b = hash_bucket(key, seed)
-    expr, acc = None, 0.0
-    for i, f in enumerate(fractions[:-1]):
-        acc += f
-        cond = b < int(round(acc * 1000))
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    expr = F.lit(len(fractions) - 1) if expr is None else expr.otherwise(F.lit(len(fractions) - 1))
+    hash (e.g. [0.6, 0.2, 0.2]).  Rows are labelled, never dropped."""
+    u = hash_unit(key, seed=seed)
+    expr, acc = F.lit(len(fractions) - 1), sum(fractions[:-1])
+    for i in range(len(fractions) - 2, -1, -1):
+        expr = F.when(u < round(acc, 12), F.lit(i)).otherwise(expr)
+        acc -= fractions[i]
     return df.withColumn(name, expr)
 
 
@@ -43,16 +46,14 @@ def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[Da
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_frac: float, seed: int = 7) -> DataFrame:
-    """V2: per class hash split: the bucket is salted by the label so every
+    """V2: per class hash split: the class is part of the hashed text, so every
     class is split at the same ratio independently."""
-    b = hash_bucket(F.col(key) + F.col(label).cast("bigint") * 7919, seed)
-    return df.withColumn("is_test", b < int(round(test_frac * 1000)))
+    return df.withColumn("is_test", hash_unit(label, key, seed=seed) < test_frac)
 
 
 def undersample(df: DataFrame, key: str, label: str, majority, keep_frac: float, seed: int = 7) -> DataFrame:
     """Keep all minority rows and ``keep_frac`` of the majority class."""
-    keep = (F.col(label) != F.lit(majority)) | (hash_bucket(key, seed) < int(round(keep_frac * 1000)))
-    return df.where(keep)
+    return df.where((F.col(label) != F.lit(majority)) | (hash_unit(key, seed=seed) < keep_frac))
 
 
 # ----------------------------------------------------------------- metrics
@@ -103,35 +104,6 @@ def accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
     return df.agg(F.avg((F.col(label) == F.col(pred)).cast("double")).alias("accuracy"))
 
 
-def running_sums(df: DataFrame, order_cols: list, cols: list[str]) -> DataFrame:
-    """Inclusive prefix sums of ``cols`` in the total order ``order_cols``.
-
-    Distributed: range-partitioned sort, a local running sum inside each
-    partition, and the per-partition totals (one row per partition) as
-    offsets - no single-partition window.
-    """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
-    s = cut_lineage(s)
-    tot = {r["_pid"]: r for r in s.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in cols]).collect()}
-    acc = {c: 0 for c in cols}
-    offs = {}
-    for pid in sorted(tot):
-        offs[pid] = dict(acc)
-        for c in cols:
-            acc[c] += tot[pid][c] or 0
-    w = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    out = s
-    for c in cols:
-        kv = []
-        for pid, o in offs.items():
-            kv += [F.lit(pid), F.lit(o[c])]
-        off = F.element_at(F.create_map(*kv), F.col("_pid")) if kv else F.lit(0)
-        out = out.withColumn(f"cum_{c}", off + F.sum(c).over(w))
-    return out.drop("_pid")
-
-
 def roc_curve(df: DataFrame, label: str, score: str) -> tuple[DataFrame, DataFrame]:
     """(points, auc).  One point per distinct score (desc) plus the
     origin; AUC by trapezoids using each point's predecessor, which is the

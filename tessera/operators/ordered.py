@@ -5,7 +5,7 @@ Every window is partitioned by a series / user key.  Operators that need a
 *global* order (row index, chronological split, exact quantiles) never use
 an unpartitioned window (that would move every row into one task); they
 range-partition and sort in parallel, then turn per-partition offsets
-(one small row per partition) into a dense index.
+(one small row per partition) into a dense index or a running sum.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 
 def rolling_stats(df: DataFrame, key: str | list[str], order: str, value: str,
                   window: int = 4) -> DataFrame:
@@ -63,6 +65,19 @@ def regular_date_index(df: DataFrame, key, order: str, start: str, step_days: in
         "period_date", F.date_add(F.to_date(F.lit(start)), (pos * step_days).cast("int")))
 
 
+def _with_offsets(tagged: DataFrame, sums: dict) -> DataFrame:
+    """Join to each row what all earlier partitions add up to.
+
+    ``sums``: {output column: aggregate}.  The totals are one row per
+    partition, so their running sum is small, and the join (not a literal
+    lookup) stays cheap for any number of partitions.
+    """
+    totals = tagged.groupBy("_pid").agg(*[agg.alias(c) for c, agg in sums.items()])
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sums])
+    return tagged.join(offsets, "_pid")
+
+
 def dense_index(df: DataFrame, order_cols: list, n_partitions: int | None = None,
                 name: str = "row_idx") -> DataFrame:
     """0-based position of each row in the total order ``order_cols``.
@@ -73,64 +88,91 @@ def dense_index(df: DataFrame, order_cols: list, n_partitions: int | None = None
     re-sampled by every job, so offsets and ids must come from the same
     copy); the per-partition row counts (one row per partition) then give
     the offsets.  Pass a full tie-breaker in ``order_cols`` when positions
-    must be reproducible.
+    must be reproducible and a frequent value must not fill one partition.
     """
-    from tessera.session import cut_lineage
-
-    spark = df.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     s = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
-    s = cut_lineage(s)
-    counts = sorted((r["_pid"], r["n"]) for r in
-                    s.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, acc = {}, 0
-    for pid, c in counts:
-        offsets[pid] = acc
-        acc += c
-    kv = []
-    for pid, off in offsets.items():
-        kv += [F.lit(pid), F.lit(off)]
-    off_col = F.element_at(F.create_map(*kv), F.col("_pid")) if kv else F.lit(0)
+    s = _with_offsets(cut_lineage(s), {"_off": F.count(F.lit(1))})
     # _mid - (pid << 33) is the row number inside the partition.
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return s.withColumn(name, (off_col + local).cast("bigint")).drop("_pid", "_mid")
+    return s.withColumn(name, (F.col("_off") + local).cast("bigint")).drop("_pid", "_mid", "_off")
+
+
+def running_sums(df: DataFrame, order_cols: list, cols: list[str]) -> DataFrame:
+    """Inclusive prefix sums ``cum_<col>`` in the total order ``order_cols``.
+
+    Distributed: range-partitioned sort, a local running sum inside each
+    partition, and the per-partition totals (one row per partition) as
+    offsets - no single-partition window.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = cut_lineage(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()))
+    out = _with_offsets(s, {f"_off_{c}": F.sum(c) for c in cols})
+    w = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    for c in cols:
+        out = out.withColumn(f"cum_{c}", F.col(f"_off_{c}") + F.sum(c).over(w))
+    return out.drop("_pid", *[f"_off_{c}" for c in cols])
+
+
+def value_counts(df: DataFrame, value: str, group: list[str]) -> DataFrame:
+    """(group, _v, _n): distinct non-NULL values as doubles with their row counts."""
+    return (df.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+            .groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def quantiles_of_counts(counts: DataFrame, probs: list[float], group: list[str]) -> DataFrame:
+    """Exact interpolated quantiles from (group, _v, _n), see ``exact_quantiles``.
+
+    Running sums over the distinct values place each value at an interval of
+    positions; the order statistics around q*(n-1) are the values whose
+    interval holds them.
+    """
+    c = running_sums(counts, [*group, "_v"], ["_n"])
+    key = F.struct(*group) if group else F.lit(0)
+    c = c.withColumn("_g", key)
+    stats = c.groupBy("_g").agg((F.min(F.col("cum__n") - F.col("_n"))).alias("_start"), F.sum("_n").alias("_tot"))
+    pos = [F.lit(p) * (F.col("_tot") - 1) for p in probs]
+    targets = stats.select("_g", F.struct(*[(F.col("_start") + F.floor(x)).alias(f"lo{i}") for i, x in enumerate(pos)],
+                                          *[(F.col("_start") + F.ceil(x)).alias(f"hi{i}") for i, x in enumerate(pos)],
+                                          *[(x - F.floor(x)).alias(f"fr{i}") for i, x in enumerate(pos)]).alias("_t"))
+    if group:
+        j = c.join(targets, "_g")
+    else:  # one row of totals: its numbers travel as literals
+        row = targets.first()
+        if row is None:
+            return df_empty(c, probs)
+        j = c.withColumn("_t", F.struct(*[F.lit(v).alias(k) for k, v in row["_t"].asDict().items()]))
+
+    def at(which: str):
+        place = F.col(f"_t.{which}")
+        return F.max(F.when((place >= F.col("cum__n") - F.col("_n")) & (place < F.col("cum__n")), F.col("_v")))
+
+    aggs = []
+    for i, p in enumerate(probs):
+        lo, hi = at(f"lo{i}"), at(f"hi{i}")
+        aggs.append((lo + F.max(f"_t.fr{i}") * (hi - lo)).alias(f"q_{p}"))
+    out = j.groupBy("_g").agg(*aggs)
+    names = [f"`q_{p}`" for p in probs]
+    return out.select(*[F.col("_g")[g].alias(g) for g in group], *names)
+
+
+def df_empty(like: DataFrame, probs: list[float]) -> DataFrame:
+    return like.sparkSession.createDataFrame([], ", ".join(f"`q_{p}` double" for p in probs))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float],
                     group: list[str] | None = None) -> DataFrame:
     """Exact interpolated quantiles (same rule as DuckDB ``quantile_cont``).
 
-    Rows with NULL value are dropped.  Values are sorted globally by
-    (group, value) with range partitioning - a hot group spans several
-    partitions - then the two order statistics around q*(n-1) are picked by
-    position and interpolated.  Output: group cols + one column per prob
-    named ``q_<prob>``.
+    Rows with NULL value are dropped.  Rows are counted by (group, value)
+    first (partial aggregation), so neither a hot group nor a hot value is
+    gathered in one task; only distinct values are sorted.  Output: group
+    cols + one column per prob named ``q_<prob>``.
     """
     group = group or []
-    base = df.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    idx = dense_index(base, [*group, "_v"], name="_i")
-    stats = idx.groupBy(*group).agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    picks = []
-    for p in probs:
-        pos = F.lit(p) * (F.col("_n") - 1)
-        picks.append(F.struct(F.lit(p).alias("p"),
-                              (F.col("_start") + F.floor(pos)).alias("lo"),
-                              (F.col("_start") + F.ceil(pos)).alias("hi"),
-                              (pos - F.floor(pos)).alias("frac")))
-    want = stats.select(*group, F.explode(F.array(*picks)).alias("w")).select(*group, "w.*")
-    lo = want.select(*group, "p", "frac", F.col("lo").alias("_i"))
-    hi = want.select(*group, "p", F.col("hi").alias("_i"))
-    vals = idx.select(*group, "_i", "_v")
-    lo_v = lo.join(vals, [*group, "_i"]).withColumnRenamed("_v", "v_lo").drop("_i")
-    hi_v = hi.join(vals, [*group, "_i"]).withColumnRenamed("_v", "v_hi").drop("_i")
-    q = (lo_v.join(hi_v, [*group, "p"])
-         .withColumn("q", F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))))
-    out = q.groupBy(*group).pivot("p", probs).agg(F.first("q"))
-    for p in probs:
-        out = out.withColumnRenamed(str(p), f"q_{p}")
-    return out
+    return quantiles_of_counts(value_counts(df, value, group), probs, group)
 
 
 def chronological_split(df: DataFrame, order_cols: list, frac: float = 0.8,
@@ -142,6 +184,17 @@ def chronological_split(df: DataFrame, order_cols: list, frac: float = 0.8,
     return idx.withColumn("is_train", F.col("_pos") < cut).drop("_pos")
 
 
+def reverse_order(df: DataFrame, order_cols: list, name: str = "position") -> DataFrame:
+    """0-based position of each row counted from the last one of the order."""
+    idx = dense_index(df, order_cols, name=name)
+    return idx.withColumn(name, F.lit(df.count() - 1) - F.col(name))
+
+
+def first_n_split(df: DataFrame, order_cols: list, n: int) -> DataFrame:
+    """The first ``n`` rows of the order are train (flag ``is_train``)."""
+    return dense_index(df, order_cols, name="_pos").withColumn("is_train", F.col("_pos") < n).drop("_pos")
+
+
 def positional_split(train: DataFrame, score: DataFrame) -> DataFrame:
     """Stack train and scoring rows with an explicit is_train flag."""
     return (train.withColumn("is_train", F.lit(True))

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.ordered import exact_quantiles
+from tessera.operators.ordered import exact_quantiles, quantiles_of_counts, value_counts
+from tessera.session import cut_lineage
 
 # ---------------------------------------------------------------- projection
 
@@ -86,11 +87,18 @@ def fill_constant(df: DataFrame, mapping: dict) -> DataFrame:
     return df.fillna(mapping)
 
 
+def _melt(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, value): the columns as doubles in long form."""
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    return df.selectExpr(f"stack({len(cols)}, {pairs}) as (column_name, value)")
+
+
 class MedianImputer:
     """Medians learned on training rows, applied to any frame.
 
-    Medians are exact (interpolated) and computed with the distributed
-    sort-based quantile, so no column is gathered into one task.
+    Medians are exact (interpolated); the columns are counted by value
+    together, so one job fits all and no column is gathered into one task.
+    A column without any value stays as it is.
     """
 
     def __init__(self, cols: list[str]):
@@ -98,9 +106,9 @@ class MedianImputer:
         self.medians: dict[str, float] = {}
 
     def fit(self, df: DataFrame) -> "MedianImputer":
-        for c in self.cols:
-            row = exact_quantiles(df, c, [0.5]).collect()
-            self.medians[c] = row[0]["q_0.5"] if row else None
+        rows = exact_quantiles(_melt(df, self.cols), "value", [0.5], ["column_name"]).collect()
+        found = {r["column_name"]: r["q_0.5"] for r in rows}
+        self.medians = {c: found.get(c) for c in self.cols}
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -111,19 +119,21 @@ def profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """describe() in long form, one row per column: count, mean, std, min,
     exact quartiles, max and distinct count.
 
-    The columns are melted to (column_name, value) once, so every statistic
-    is one grouped aggregation over a single scan, keyed by column name.
+    Moments are one wide aggregate without a shuffle of rows.  The columns
+    are melted and counted by value, which gives quartiles and distinct
+    values from the counts alone.
     """
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    long = df.selectExpr(f"stack({len(cols)}, {pairs}) as (column_name, value)")
-    moments = long.groupBy("column_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.sum("value").alias("total"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"), F.count_distinct("value").alias("n_distinct"))
-    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column_name"])
+    wide = df.agg(*[F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"), F.sum(x).alias("total"),
+                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")).alias(c)
+                    for c, x in ((c, F.col(c).cast("double")) for c in cols)])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
+    moments = wide.selectExpr(f"stack({len(cols)}, {pairs}) as (column_name, m)").select("column_name", "m.*")
+    counts = cut_lineage(value_counts(_melt(df, cols), "value", ["column_name"]))
+    q = quantiles_of_counts(counts, [0.25, 0.5, 0.75], ["column_name"])
     q = q.select("column_name", F.col("`q_0.25`").alias("q25"), F.col("`q_0.5`").alias("q50"),
                  F.col("`q_0.75`").alias("q75"))
-    return moments.join(q, "column_name", "left")
+    n = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return moments.join(n, "column_name", "left").fillna({"n_distinct": 0}).join(q, "column_name", "left")
 
 
 def min_max(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -41,6 +41,12 @@ def register(name: str, ids: list[str] | str, sql: str | None = None):
     return deco
 
 
+def unit_sql(*keys: str, seed: int = 7) -> str:
+    """SQL text of ``evaluate.hash_unit``: md5 text to a number in [0, 1)."""
+    text = ", ".join([f"'{seed}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
+    return f"(CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 8) AS BIGINT) / 4294967296.0)"
+
+
 def load_all() -> dict[str, Entry]:
     """Import every plan module so its queries register."""
     from tessera.plans import (  # noqa: F401

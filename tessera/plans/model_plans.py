@@ -17,9 +17,9 @@ from tessera.operators import evaluate as V
 from tessera.operators import recommend as R
 from tessera.operators import regress as G
 from tessera.operators import timeseries as TS
-from tessera.plans.catalog import register
+from tessera.plans.catalog import register, unit_sql
 from tessera.plans.ordered_plans import daily_series
-from tessera.session import scratch_dir
+from tessera.session import cut_lineage, scratch_dir
 from tessera.sources import files as S
 from tessera.sources.tables import Tables
 
@@ -28,10 +28,6 @@ def r6(c):
     return F.round(c, 6)
 
 
-def bucket_sql(key: str, seed: int = 7) -> str:
-    return f"((({key} % 1000003) * 2654435761 + {seed}) % 1000)"
-
-
 # ------------------------------------------------------------ recommender
 # user = customer, product = supplier of the line; "prior" orders = not 'P'.
 
@@ -62,7 +58,7 @@ _SPLIT_SQL = f"""
 st AS (SELECT count(*) AS n, sum(CASE WHEN rating > 1 THEN 1 ELSE 0 END) AS rep FROM pairs),
 fr AS (SELECT greatest(0.0, least(1.0, CASE WHEN n > rep THEN (floor(n * 0.7) - rep) / (n - rep) ELSE 0.0 END)) AS f FROM st),
 sp AS (SELECT user, product, rating,
-              rating > 1 OR {bucket_sql('(user * 1000003 + product)')} < floor((SELECT f FROM fr) * 1000) AS is_train
+              rating > 1 OR {unit_sql('user', 'product')} < (SELECT f FROM fr) AS is_train
        FROM pairs)
 """
 
@@ -88,8 +84,8 @@ SELECT user, product, rating, TRUE AS is_train FROM tr2
 UNION ALL SELECT user, product, rating, FALSE FROM te2
 """)
 def rec_repair_coverage(spark, d):
-    out, _ = R.split_repeat_aware(rec_pairs(spark, d), 0.7)
-    return R.repair_coverage(out).select("user", "product", "rating", "is_train")
+    out, _ = R.split_repeat_aware(cut_lineage(rec_pairs(spark, d)), 0.7)
+    return R.repair_coverage(cut_lineage(out)).select("user", "product", "rating", "is_train")
 
 
 @register("rec_negative_samples", "R4 J8 U3 Q3", sql=f"""
@@ -97,21 +93,24 @@ WITH {_SPLIT_SQL},
 te AS (SELECT user, product FROM sp WHERE NOT is_train),
 prods AS (SELECT product, row_number() OVER (ORDER BY product) - 1 AS pidx FROM (SELECT DISTINCT product FROM pairs)),
 np AS (SELECT count(*) AS P FROM prods),
+nq AS (SELECT P, (SELECT min(q) FROM range(greatest(P, 2), 2 * P + 3) t(q)
+                  WHERE NOT EXISTS (SELECT 1 FROM range(2, CAST(floor(sqrt(q)) AS BIGINT) + 1) u(f) WHERE q % f = 0)) AS Q
+       FROM np),
 nf AS (SELECT user, count(*) AS nf FROM te GROUP BY user),
-steps AS (SELECT nf.user, CASE nf.user % 5 WHEN 0 THEN 1000003 WHEN 1 THEN 999983 WHEN 2 THEN 999979
-                              WHEN 3 THEN 999961 ELSE 999959 END AS a,
-                 ((nf.user % 1000003) * 2654435761 + 11) % (SELECT P FROM np) AS b,
-                 unnest(range(0, least(nf.nf + 20, (SELECT P FROM np)))) AS k
-          FROM nf),
-cand AS (SELECT s.user, s.k, p.product FROM steps s JOIN prods p ON p.pidx = (s.a * s.k + s.b) % (SELECT P FROM np)),
+steps AS (SELECT nf.user, 1 + CAST(floor({unit_sql('nf.user', "'step'", seed=11)} * (Q - 1)) AS BIGINT) AS a,
+                 CAST(floor({unit_sql('nf.user', "'start'", seed=11)} * Q) AS BIGINT) AS b, Q,
+                 unnest(range(0, least(nf.nf + 20 + (Q - P), Q))) AS k
+          FROM nf, nq),
+cand AS (SELECT s.user, s.k, p.product FROM steps s JOIN prods p ON p.pidx = (s.a * s.k + s.b) % s.Q),
 ok AS (SELECT c.* FROM cand c ANTI JOIN te USING (user, product)),
 rk AS (SELECT user, product, row_number() OVER (PARTITION BY user ORDER BY k) AS r FROM ok)
 SELECT user, product, CAST(0.001 AS DOUBLE) AS rating FROM rk WHERE r <= 20
 """)
 def rec_negative_samples(spark, d):
-    out, _ = R.split_repeat_aware(rec_pairs(spark, d), 0.7)
+    pairs = cut_lineage(rec_pairs(spark, d))
+    out, _ = R.split_repeat_aware(pairs, 0.7)
     test = out.where(~F.col("is_train")).select("user", "product")
-    return R.negative_samples(test, rec_pairs(spark, d).select("product"), 20, seed=11)
+    return R.negative_samples(test, pairs.select("product"), 20, seed=11)
 
 
 @register("rec_mean_percentile_rank", "R6 W4 Q5", sql=f"""
@@ -289,7 +288,7 @@ def clf_discriminant(spark, d):
 
 
 @register("clf_knn", "C9", sql=f"""
-WITH e AS (SELECT vec_id, label, embedding[1:8] AS v, {bucket_sql('vec_id')} < 700 AS is_train FROM embeddings),
+WITH e AS (SELECT vec_id, label, embedding[1:8] AS v, {unit_sql('vec_id')} < 0.7 AS is_train FROM embeddings),
 tr AS (SELECT * FROM e WHERE is_train), te AS (SELECT * FROM e WHERE NOT is_train),
 dd AS (SELECT te.vec_id, tr.label, tr.vec_id AS tid,
               list_sum(list_transform(list_zip(te.v, tr.v), lambda p: (CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) ^ 2)) AS d2
@@ -301,9 +300,9 @@ SELECT vec_id, label AS prediction, n / 5.0 AS share FROM best WHERE r = 1
 """)
 def clf_knn(spark, d):
     e = Tables(spark, d).embeddings.select("vec_id", "label", F.slice("embedding", 1, 8).alias("v"))
-    b = V.hash_bucket("vec_id")
+    u = V.hash_unit("vec_id")
     # Small blocks so the fixture exercises several block pairs.
-    return C.knn_classify(e.where(b >= 700), e.where(b < 700), "vec_id", "v", "label", 5, block_size=64)
+    return C.knn_classify(e.where(u >= 0.7), e.where(u < 0.7), "vec_id", "v", "label", 5, block_size=64)
 
 
 @register("clf_svm_mlp", "C10 C11 C12")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import encode as E
 from tessera.operators import evaluate as V
-from tessera.plans.catalog import register
+from tessera.plans.catalog import register, unit_sql
 from tessera.sources.tables import Tables
 
 
@@ -15,15 +15,11 @@ def r6(c):
     return F.round(c, 6)
 
 
-def bucket_sql(key: str, seed: int = 7) -> str:
-    return f"((({key} % 1000003) * 2654435761 + {seed}) % 1000)"
-
-
 # ---------------------------------------------------------------- encoding
 
 
 @register("label_encode", "E1 E2", sql=f"""
-WITH tr AS (SELECT DISTINCT p_type FROM part WHERE {bucket_sql('p_partkey')} < 700),
+WITH tr AS (SELECT DISTINCT p_type FROM part WHERE {unit_sql('p_partkey')} < 0.7),
 codes AS (SELECT p_type, dense_rank() OVER (ORDER BY p_type) - 1 AS type_id FROM tr)
 SELECT p.p_partkey, p.p_type, coalesce(c.type_id, (SELECT count(*) FROM tr)) AS type_id,
        coalesce(c.p_type, '__unknown') AS back
@@ -31,7 +27,7 @@ FROM part p LEFT JOIN codes c ON p.p_type = c.p_type
 """)
 def label_encode(spark, d):
     p = Tables(spark, d).part.select("p_partkey", "p_type")
-    train = p.where(V.hash_bucket("p_partkey") < 700)
+    train = p.where(V.hash_unit("p_partkey") < 0.7)
     model = E.label_encoder("p_type", "type_idx").fit(train)
     out = model.transform(p)
     back = E.inverse_label("type_idx", list(model.labels) + ["__unknown"], "back").transform(out)
@@ -79,12 +75,12 @@ def one_hot_vector(spark, d):
 
 @register("standardize_pop", "E5", sql=f"""
 WITH s AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS sd FROM orders
-           WHERE {bucket_sql('o_orderkey')} < 700)
+           WHERE {unit_sql('o_orderkey')} < 0.7)
 SELECT o_orderkey, round((o_totalprice - m) / sd, 6) AS z FROM orders, s
 """)
 def standardize_pop(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice")
-    st = E.Standardizer(["o_totalprice"]).fit(o.where(V.hash_bucket("o_orderkey") < 700))
+    st = E.Standardizer(["o_totalprice"]).fit(o.where(V.hash_unit("o_orderkey") < 0.7))
     return st.transform(o).select("o_orderkey", r6("o_totalprice").alias("z"))
 
 
@@ -136,8 +132,8 @@ def category_embedding(spark, d):
 
 
 @register("hash_split_3way", "V1", sql=f"""
-SELECT o_orderkey, CASE WHEN {bucket_sql('o_orderkey')} < 600 THEN 0
-                        WHEN {bucket_sql('o_orderkey')} < 800 THEN 1 ELSE 2 END AS split
+SELECT o_orderkey, CASE WHEN {unit_sql('o_orderkey')} < 0.6 THEN 0
+                        WHEN {unit_sql('o_orderkey')} < 0.8 THEN 1 ELSE 2 END AS split
 FROM orders
 """)
 def hash_split_3way(spark, d):
@@ -153,7 +149,7 @@ def random_split(spark, d):
 
 
 @register("stratified_split", "V2", sql=f"""
-SELECT doc_id, quality, {bucket_sql('(doc_id + quality * 7919)')} < 300 AS is_test FROM labels
+SELECT doc_id, quality, {unit_sql('quality', 'doc_id')} < 0.3 AS is_test FROM labels
 """)
 def stratified_split(spark, d):
     lab = Tables(spark, d).labels.select("doc_id", "quality")
@@ -161,7 +157,7 @@ def stratified_split(spark, d):
 
 
 @register("undersample_majority", "C16", sql=f"""
-SELECT doc_id, quality FROM labels WHERE quality <> 1 OR {bucket_sql('doc_id')} < 200
+SELECT doc_id, quality FROM labels WHERE quality <> 1 OR {unit_sql('doc_id')} < 0.2
 """)
 def undersample_majority(spark, d):
     lab = Tables(spark, d).labels.select("doc_id", "quality")

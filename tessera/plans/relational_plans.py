@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import scalar as S
 from tessera.operators import relational as R
-from tessera.plans.catalog import register
+from tessera.operators.evaluate import hash_unit
+from tessera.plans.catalog import register, unit_sql
 from tessera.sources.tables import Tables
 
 
@@ -138,21 +139,16 @@ def fill_constant(spark, d):
         "l_orderkey", "l_linenumber", "discount", "segment")
 
 
-# The deterministic split used across queries (same text in both engines).
-def split_expr(key: str, seed: int = 7, ratio: float = 0.7) -> str:
-    return f"((({key} % 1000003) * 2654435761 + {seed}) % 1000) < {int(1000 * ratio)}"
-
-
 @register("impute_median", "P8", sql=f"""
 WITH l AS {_LINES_WITH_NULLS},
-m AS (SELECT median(discount) AS md, median(tax) AS mt FROM l WHERE {split_expr('l_orderkey')})
+m AS (SELECT median(discount) AS md, median(tax) AS mt FROM l WHERE {unit_sql('l_orderkey')} < 0.7)
 SELECT l_orderkey, l_linenumber, round(coalesce(discount, md), 6) AS discount,
        round(coalesce(tax, mt), 6) AS tax
 FROM l, m
 """)
 def impute_median(spark, d):
     li = lines_with_nulls(spark, d)
-    train = li.where(F.expr(split_expr("l_orderkey")))
+    train = li.where(hash_unit("l_orderkey") < 0.7)
     imp = R.MedianImputer(["discount", "tax"]).fit(train)
     return imp.transform(li).select("l_orderkey", "l_linenumber", r6("discount").alias("discount"),
                                     r6("tax").alias("tax"))
