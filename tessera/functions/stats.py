@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Abramowitz & Stegun 7.1.26 rational approximation of erfc
-# (absolute error below 1.5e-7).
-AS_P = 0.3275911
-AS_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+# Chebyshev fit of ln(erfc(x) exp(x^2) / t) in t = 1 / (1 + x/2)
+# (relative error of erfc below 1.2e-7 for every x >= 0), constant term first.
+ERFC_CHEBYSHEV = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
+                  0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
 
 
 def erfc_pos(x: Column) -> Column:
-    """erfc(x) for x >= 0 by the A&S 7.1.26 approximation."""
-    t = 1.0 / (1.0 + AS_P * x)
-    a1, a2, a3, a4, a5 = AS_A
-    poly = t * (a1 + t * (a2 + t * (a3 + t * (a4 + t * a5))))
-    return poly * F.exp(-x * x)
+    """erfc(x) for x >= 0; the error is relative, so small tails keep their digits."""
+    t = 1.0 / (1.0 + 0.5 * x)
+    poly = F.lit(ERFC_CHEBYSHEV[-1])
+    for c in reversed(ERFC_CHEBYSHEV[:-1]):
+        poly = c + t * poly
+    return t * F.exp(-x * x + poly)
 
 
 def two_sided_p(z: Column) -> Column:
@@ -27,10 +28,11 @@ def two_sided_p(z: Column) -> Column:
 def two_sided_p_sql(z: str) -> str:
     """Same formula as SQL text (for oracle queries)."""
     x = f"(abs({z}) / sqrt(2.0))"
-    t = f"(1.0 / (1.0 + {AS_P} * {x}))"
-    a1, a2, a3, a4, a5 = AS_A
-    poly = f"{t} * ({a1} + {t} * ({a2} + {t} * ({a3} + {t} * ({a4} + {t} * {a5}))))"
-    return f"(({poly}) * exp(-{x} * {x}))"
+    t = f"(1.0 / (1.0 + 0.5 * {x}))"
+    poly = str(ERFC_CHEBYSHEV[-1])
+    for c in reversed(ERFC_CHEBYSHEV[:-1]):
+        poly = f"({c} + {t} * {poly})"
+    return f"({t} * exp(-{x} * {x} + {poly}))"
 
 
 def modified_z(x, median, mad) -> Column:

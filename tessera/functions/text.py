@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ASCII punctuation (Python's string.punctuation) and the
-# Keras default filter set, in their usual order.
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# Punctuation and stop words that cleaning removes, and the
+# Keras default filter set.
+PUNCTUATION = "!()-[]{};:'\"\\,<>./?@#$%^&*_~"
+STOP_WORDS = ("the", "a", "and", "is", "be", "will")
 KERAS_FILTERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 
+# What counts as an address and as a tag.
 URL_PATTERN = r"https?://\S+|www\.\S+"
 TAG_PATTERN = r"<.*?>"
 # Words: runs of two or more Unicode letters, digits or underscores.
@@ -21,7 +23,7 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def clean_text(text, stop_words: list[str] = (), punctuation: str = PUNCTUATION) -> Column:
+def clean_text(text, stop_words: list[str] = STOP_WORDS, punctuation: str = PUNCTUATION) -> Column:
     """Strip URLs, strip tags, delete punctuation, lower, drop stop words,
     squeeze blanks - in that order."""
     s = F.regexp_replace(_c(text), URL_PATTERN, "")

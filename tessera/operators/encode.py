@@ -25,22 +25,31 @@ def one_hot_vector(col_idx: str, out: str | None = None, drop_last: bool = False
     return OneHotEncoder(inputCols=[col_idx], outputCols=[out or f"{col_idx}_vec"], dropLast=drop_last)
 
 
+def one_hot_long(df: DataFrame, cols: list[str], keys: list[str], min_count: int = 1) -> DataFrame:
+    """E3 / E4 for any number of values: (keys, feature) rows, one for each 1 of
+    the matrix.  Values with fewer than ``min_count`` rows have no feature."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])
+    cells = df.select(*keys, F.explode(pairs).alias("cell")).where(F.col("cell.v").isNotNull())
+    cells = cells.select(*keys, F.concat_ws("_", "cell.c", "cell.v").alias("feature"))
+    if min_count <= 1:
+        return cells
+    kept = cells.groupBy("feature").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_count)
+    return cells.join(kept.select("feature"), "feature", "left_semi").select(*keys, "feature")
+
+
 class OneHotColumns:
-    """Explicit 0/1 columns ``<col>_<value>`` for a bounded set of
-    values (those with at least ``min_count`` training rows).  The value
-    list is one small aggregation; columns are ``when`` expressions."""
+    """Explicit 0/1 columns ``<col>_<value>`` for the values with at
+    least ``min_count`` training rows.  One column per value is a form for
+    few values; ``one_hot_long`` holds any number."""
 
-    def __init__(self, cols: list[str], min_count: int = 1, drop_first: bool = False,
-                 max_values: int = 1000):
-        self.cols, self.min_count, self.drop_first, self.max_values = cols, min_count, drop_first, max_values
+    def __init__(self, cols: list[str], min_count: int = 1, drop_first: bool = False):
+        self.cols, self.min_count, self.drop_first = cols, min_count, drop_first
         self.values: dict[str, list] = {}
 
     def fit(self, df: DataFrame) -> "OneHotColumns":
         for c in self.cols:
             vals = (df.groupBy(c).count().where((F.col("count") >= self.min_count) & F.col(c).isNotNull())
-                    .orderBy(c).limit(self.max_values + 1).collect())
-            if len(vals) > self.max_values:
-                raise ValueError(f"{c}: more than {self.max_values} values; use one_hot_vector")
+                    .orderBy(c).collect())
             v = [r[0] for r in vals]
             self.values[c] = v[1:] if self.drop_first else v
         return self
@@ -51,7 +60,8 @@ class OneHotColumns:
 
 
 class Standardizer:
-    """E5: (x - mean) / std with the *population* std, fitted on train."""
+    """E5: (x - mean) / std with the *population* std, fitted on train.
+    A constant column is only centred."""
 
     def __init__(self, cols: list[str]):
         self.cols = cols
@@ -66,11 +76,12 @@ class Standardizer:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in self.stats.items()})
+        return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s or 1.0) for c, (m, s) in self.stats.items()})
 
 
 class MinMaxScaler01:
-    """(x - min) / (max - min) fitted on train."""
+    """(x - min) / (max - min) fitted on train.  A constant column is
+    only shifted; without training values everything is NULL."""
 
     def __init__(self, cols: list[str]):
         self.cols = cols
@@ -82,7 +93,8 @@ class MinMaxScaler01:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: (F.col(c) - F.lit(lo)) / F.lit(hi - lo) for c, (lo, hi) in self.stats.items()})
+        return df.withColumns({c: (F.col(c) - F.lit(lo)) / F.lit((hi - lo or 1) if lo is not None else None)
+                               for c, (lo, hi) in self.stats.items()})
 
 
 def mean_normalize(ratings: DataFrame, item: str, rating: str) -> DataFrame:
@@ -95,9 +107,9 @@ def mean_normalize(ratings: DataFrame, item: str, rating: str) -> DataFrame:
 
 def category_embedding(df: DataFrame, cat: str, numeric: list[str], k: int = 2) -> DataFrame:
     """E9 (re-aimed): a k-dimensional vector per category from the PCA of its
-    numeric profile (per-category means, standardised)."""
+    numeric profile (means and standard deviations per category, standardised)."""
     from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-    prof = df.groupBy(cat).agg(*[F.avg(c).alias(c) for c in numeric])
-    v = VectorAssembler(inputCols=numeric, outputCol="_raw").transform(prof)
+    prof = df.groupBy(cat).agg(*[F.avg(c).alias(c) for c in numeric], *[F.stddev_pop(c).alias(f"sd_{c}") for c in numeric])
+    v = VectorAssembler(inputCols=[*numeric, *[f"sd_{c}" for c in numeric]], outputCol="_raw").transform(prof)
     v = StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True).fit(v).transform(v)
     return PCA(k=k, inputCol="_std", outputCol="embedding").fit(v).transform(v).select(cat, "embedding")

@@ -8,8 +8,6 @@ paired afterwards.  Medians are exact and distributed (sort-based).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,46 +46,41 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 def eta_ratio(df: DataFrame, cat: str, y: str) -> DataFrame:
     """H3: correlation ratio sqrt(sum n_c (m_c - m)^2 / sum (y - m)^2).
 
-    Uses per-category (n, sum, sum of squares): the total sum of squares is
-    sum(ss_c) - n m^2, so the rows are read once.
+    From per-category counts, means and population variances: all sums are
+    centred, so a large common offset of y costs no digits.
     """
-    g = df.where(F.col(y).isNotNull()).groupBy(cat).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(F.col(y) * F.col(y)).alias("ss"))
-    t = g.agg(F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("ss").alias("SS"),
-              F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between_raw"))
-    mean = F.col("S") / F.col("N")
-    between = F.col("between_raw") - F.col("N") * mean * mean
-    total = F.col("SS") - F.col("N") * mean * mean
-    return t.select(F.sqrt(F.try_divide(between, total)).alias("eta"))
-
+    g = group_moments(df, cat, y)
+    mean = g.select(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
+    between = F.sum(F.col("n") * (F.col("mean") - mean) ** 2)
+    within = F.sum(F.col("n") * F.col("var"))
+    return g.agg(F.sqrt(F.try_divide(between, between + within)).alias("eta"))
 
-def two_sample_z(moments_a: dict, moments_b: dict):
-    """H4 on driver scalars (n, mean, var_pop): returns (z, p)."""
-    import math
-    se = math.sqrt(moments_a["var"] / moments_a["n"] + moments_b["var"] / moments_b["n"])
-    z = (moments_a["mean"] - moments_b["mean"]) / se
-    return z, math.erfc(abs(z) / math.sqrt(2.0))
 
-
-def group_moments(df: DataFrame, group: str, x: str) -> DataFrame:
+def group_moments(df: DataFrame, group: str | list[str], x: str) -> DataFrame:
     """Per-group n, mean and population variance."""
-    return df.where(F.col(x).isNotNull()).groupBy(group).agg(
+    keys = [group] if isinstance(group, str) else group
+    return df.where(F.col(x).isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("var"))
 
 
-def pairwise_z_tests(df: DataFrame, group: str, x: str) -> DataFrame:
-    """H4 + H5: two-sample z test for every pair of groups (a < b).
+def pairwise_z_tests(df: DataFrame, group: str, x: str, within: list[str] | None = None,
+                     drop_zeros: bool = False) -> DataFrame:
+    """H4 + H5: two-sample z test for every pair of groups (a < b), inside each
+    combination of the ``within`` columns; ``drop_zeros`` leaves out x = 0.
 
-    The pairing is over the per-group summary rows (one row per group), not
-    over data rows.
+    Only per-group summary rows (one row per group) are listed and paired,
+    not data rows.  Two groups without any variance give z NULL.
     """
-    m = group_moments(df, group, x)
-    a = m.select(*[F.col(c).alias(f"{c}_a") for c in m.columns])
-    b = m.select(*[F.col(c).alias(f"{c}_b") for c in m.columns])
-    j = a.join(b, F.col(f"{group}_a") < F.col(f"{group}_b"))
-    se = F.sqrt(F.col("var_a") / F.col("n_a") + F.col("var_b") / F.col("n_b"))
-    z = (F.col("mean_a") - F.col("mean_b")) / se
-    return j.select(F.col(f"{group}_a").alias("group_a"), F.col(f"{group}_b").alias("group_b"),
+    within = within or []
+    data = df.where(F.col(x) != 0) if drop_zeros else df
+    m = group_moments(data, [*within, group], x)
+    listed = m.groupBy(*within).agg(F.array_sort(F.collect_list(
+        F.struct(F.col(group).alias("g"), "n", "mean", "var"))).alias("gs"))
+    a = listed.select(*within, "gs", F.posexplode("gs").alias("i", "a"))
+    p = a.select(*within, "a", F.explode(F.slice("gs", F.col("i") + 2, F.size("gs"))).alias("b"))
+    se = F.sqrt(F.col("a.var") / F.col("a.n") + F.col("b.var") / F.col("b.n"))
+    z = F.try_divide(F.col("a.mean") - F.col("b.mean"), se)
+    return p.select(*within, F.col("a.g").alias("group_a"), F.col("b.g").alias("group_b"),
                     z.alias("z"), two_sided_p(z).alias("p_value"))
 
 
@@ -194,7 +187,7 @@ def song_stats(plays: DataFrame, users: DataFrame, song: str, user: str, ms: str
     """Per song (zero-length plays and empty names skipped): plays with
     repeats, minutes, paid minutes, paid ratio and listener profile shares
     (every column of ``users`` other than the key is averaged over plays)."""
-    p = plays.where((F.col(ms) != 0) & F.col(song).isNotNull())
+    p = plays.where((F.col(ms) != 0) & F.col(song).isNotNull() & (F.col(song).cast("string") != ""))
     j = p.join(users, user, "left")
     prof = [c for c in users.columns if c != user]
     return j.groupBy(song).agg(
@@ -205,13 +198,3 @@ def song_stats(plays: DataFrame, users: DataFrame, song: str, user: str, ms: str
         *[F.avg(F.col(c).cast("double")).alias(
             {"age_code": "mean_age_code", "male": "male_share", "us": "us_share"}.get(c, f"avg_{c}"))
           for c in prof])
-
-
-def segment_totals(plays: DataFrame, users: DataFrame, user: str, segment: str, ms: str) -> DataFrame:
-    """Count and total length by segment; mean seconds = total/count/1000."""
-    g = plays.join(users, user).groupBy(segment).agg(F.count(F.lit(1)).alias("n"), F.sum(ms).alias("total_ms"))
-    return g.withColumn("mean_seconds", F.col("total_ms") / F.col("n") / 1000)
-
-
-def union_frames(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

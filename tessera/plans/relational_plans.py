@@ -331,8 +331,8 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name
 def agg_collect_sorted(spark, d):
     t = Tables(spark, d)
     j = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return (j.groupBy("n_name").agg(F.array_join(F.array_sort(F.collect_set("c_mktsegment")), ",").alias("segs"),
-                                    F.count(F.lit(1)).alias("n_customers")))
+    segs = R.collect_sorted(j, "n_name", "c_mktsegment").select("n_name", F.array_join("values", ",").alias("segs"))
+    return segs.join(j.groupBy("n_name").agg(F.count(F.lit(1)).alias("n_customers")), "n_name")
 
 
 @register("agg_max_other", "A4", sql="""
@@ -600,8 +600,8 @@ def parts_never_sold(spark, d):
 @register("sql_views", "Q1 J2 A4", sql="""
 SELECT o.o_custkey, max(l.l_partkey) AS max_part
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
-WHERE s.s_suppkey IS NOT NULL
+LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s ON l.l_suppkey = s.s_suppkey
+WHERE s.s_suppkey IS NULL
 GROUP BY o.o_custkey
 """)
 def sql_views(spark, d):
@@ -611,8 +611,8 @@ def sql_views(spark, d):
     return spark.sql("""
         SELECT o.o_custkey, max(l.l_partkey) AS max_part
         FROM tq_orders o JOIN tq_lineitem l ON o.o_orderkey = l.l_orderkey
-        LEFT JOIN tq_supplier s ON l.l_suppkey = s.s_suppkey
-        WHERE s.s_suppkey IS NOT NULL
+        LEFT JOIN (SELECT * FROM tq_supplier WHERE s_acctbal > 0) s ON l.l_suppkey = s.s_suppkey
+        WHERE s.s_suppkey IS NULL
         GROUP BY o.o_custkey ORDER BY o.o_custkey""")
 
 

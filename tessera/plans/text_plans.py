@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 from tessera.functions import text as TF
 from tessera.operators import text as X
 from tessera.plans.catalog import register
+from tessera.session import cut_lineage
 from tessera.sources.tables import Tables
 
-# A short multilingual stop-word list used by the cleaning query.
-STOP_WORDS = ["the", "a", "an", "and", "of", "to", "in", "is", "le", "la", "les", "de", "des",
-              "der", "die", "das", "el", "y"]
-
-_STOP_SQL = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_STOP_SQL = ", ".join(f"'{w}'" for w in TF.STOP_WORDS)
 _PUNCT_SQL = TF.PUNCTUATION.replace("'", "''")
 _FILTERS_SQL = TF.KERAS_FILTERS.replace("'", "''").replace("\t", "' || chr(9) || '").replace("\n", "' || chr(10) || '")
 _SPACES_SQL = "'" + " " * len(TF.KERAS_FILTERS) + "'"
@@ -41,7 +38,7 @@ FROM s
 """)
 def text_clean(spark, d):
     docs = Tables(spark, d).documents
-    return docs.select("doc_id", TF.clean_text("text", STOP_WORDS).alias("cleaned"))
+    return docs.select("doc_id", TF.clean_text("text").alias("cleaned"))
 
 
 @register("text_tokens", "X2", sql=f"""
@@ -74,21 +71,21 @@ def max_length(spark, d):
     return X.max_length(keras_docs(spark, d), "tokens").select(F.col("max_length").cast("bigint").alias("max_length"))
 
 
+MAXLEN = 200
+
+
 @register("text_ids_padded", "X4", sql=f"""
 WITH {_KTOK_SQL},
-ml AS (SELECT max(len(toks)) AS m FROM ktok),
-seq AS (SELECT r.doc_id, string_agg(CAST(v.id AS VARCHAR), ' ' ORDER BY r.pos) AS s, count(*) AS n
-        FROM rows r JOIN vocab v ON r.word = v.word GROUP BY r.doc_id)
-SELECT doc_id, s || repeat(' 0', CAST((SELECT m FROM ml) - n AS INTEGER)) AS ids, n AS n_known
-FROM seq
+seq AS (SELECT r.doc_id, list(v.id ORDER BY r.pos) AS ids FROM rows r JOIN vocab v ON r.word = v.word GROUP BY r.doc_id),
+every AS (SELECT d.doc_id, coalesce(s.ids, []) AS ids FROM documents d LEFT JOIN seq s ON d.doc_id = s.doc_id)
+SELECT doc_id, array_to_string(list_concat(ids[1:{MAXLEN}],
+           list_transform(range(greatest(0, {MAXLEN} - len(ids))), lambda x: 0)), ' ') AS ids, len(ids) AS n_known
+FROM every
 """)
 def text_ids_padded(spark, d):
     docs = keras_docs(spark, d)
-    vocab = X.build_vocabulary(docs, "doc_id", "tokens")
-    maxlen = X.max_length(docs, "tokens").first()[0]
-    ids = X.texts_to_ids(docs, "doc_id", "tokens", vocab)
-    # The padding length is the corpus maximum, so no sequence is cut.
-    return ids.select("doc_id", F.array_join(X.pad_post("ids", maxlen), " ").alias("ids"),
+    ids = X.texts_to_ids(docs, "doc_id", "tokens", X.build_vocabulary(docs, "doc_id", "tokens"))
+    return ids.select("doc_id", F.array_join(X.pad_post("ids", MAXLEN), " ").alias("ids"),
                       F.size("ids").cast("bigint").alias("n_known"))
 
 
@@ -140,12 +137,15 @@ def vocab_lookup(spark, d):
                                    F.count(F.when(F.col("back") == F.col("word"), 1)).alias("n_roundtrip"))
 
 
+DIM = 64
+
+
 # "Pretrained" vectors: the embeddings row k is the vector of vocabulary word
 # with id 3k, so only part of the vocabulary is covered.
 def _pretrained(spark, d, vocab):
     e = Tables(spark, d).embeddings
     return (e.join(vocab.select("id", "word"), F.col("id") == F.col("vec_id") * 3)
-            .select("word", F.slice("embedding", 1, 8).alias("vector")))
+            .select("word", F.col("embedding").alias("vector")))
 
 
 @register("vocab_vector_coverage", "J7 S5", sql=f"""
@@ -155,26 +155,50 @@ SELECT round((SELECT count(*) FROM hit) / ((SELECT count(*) FROM vocab) + 1), 6)
 """)
 def vocab_vector_coverage(spark, d):
     vocab = X.build_vocabulary(keras_docs(spark, d), "doc_id", "tokens")
-    _, cov = X.vocab_vectors(vocab, _pretrained(spark, d, vocab), 8)
+    _, cov = X.vocab_vectors(vocab, _pretrained(spark, d, vocab), DIM)
     return cov.select(F.round("coverage", 6).alias("coverage"))
 
 
 @register("pooled_doc_vectors", "C13 J7", sql=f"""
 WITH {_KTOK_SQL},
 ids AS (SELECT r.doc_id, v.id FROM rows r JOIN vocab v ON r.word = v.word),
-dims AS (SELECT e.vec_id * 3 AS id, unnest(e.embedding[1:8]) AS val,
-                generate_subscripts(e.embedding[1:8], 1) AS dim FROM embeddings e),
-per AS (SELECT i.doc_id, dims.dim, max(dims.val) AS v FROM ids i JOIN dims ON i.id = dims.id GROUP BY 1, 2)
-SELECT doc_id, count(*) AS n_dims, round(sum(CAST(v AS DOUBLE)), 4) AS vsum, round(max(CAST(v AS DOUBLE)), 4) AS vmax
-FROM per GROUP BY doc_id
+dims AS (SELECT e.vec_id * 3 AS id, unnest(e.embedding) AS val,
+                generate_subscripts(e.embedding, 1) AS dim FROM embeddings e),
+-- a word without a vector counts as a vector of zeros
+per AS (SELECT i.doc_id, dims.dim, max(dims.val) AS hit FROM ids i JOIN dims ON i.id = dims.id GROUP BY 1, 2),
+zero AS (SELECT DISTINCT i.doc_id FROM ids i WHERE i.id NOT IN (SELECT vec_id * 3 FROM embeddings)),
+cells AS (SELECT per.doc_id, CASE WHEN zero.doc_id IS NULL THEN hit ELSE greatest(hit, 0) END AS v
+          FROM per LEFT JOIN zero ON per.doc_id = zero.doc_id),
+got AS (SELECT doc_id, round(sum(CAST(v AS DOUBLE)), 4) AS vsum, round(max(CAST(v AS DOUBLE)), 4) AS vmax
+        FROM cells GROUP BY doc_id)
+SELECT d.doc_id, CAST({DIM} AS BIGINT) AS n_dims, coalesce(vsum, 0) AS vsum, coalesce(vmax, 0) AS vmax
+FROM documents d LEFT JOIN got ON d.doc_id = got.doc_id
 """)
 def pooled_doc_vectors(spark, d):
     docs = keras_docs(spark, d)
-    vocab = X.build_vocabulary(docs, "doc_id", "tokens")
-    vecs, _ = X.vocab_vectors(vocab, _pretrained(spark, d, vocab), 8)
-    hits = vecs.join(_pretrained(spark, d, vocab).select("word"), "word", "left_semi")
+    vocab = cut_lineage(X.build_vocabulary(docs, "doc_id", "tokens"))
+    vecs, _ = X.vocab_vectors(vocab, _pretrained(spark, d, vocab), DIM)
     ids = X.texts_to_ids(docs, "doc_id", "tokens", vocab)
-    pooled = X.pooled_vectors(ids, hits.select("id", "vector"), "max")
+    pooled = X.pooled_vectors(ids, vecs, DIM, "max")
     return pooled.select("doc_id", F.size("vector").cast("bigint").alias("n_dims"),
                          F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x), 4).alias("vsum"),
                          F.round(F.array_max("vector"), 4).alias("vmax"))
+
+
+@register("flattened_doc_vectors", "C13", sql=f"""
+WITH {_KTOK_SQL},
+ids AS (SELECT r.doc_id, r.pos, v.id FROM rows r JOIN vocab v ON r.word = v.word WHERE r.pos < 3),
+cells AS (SELECT i.doc_id, i.pos, e.embedding AS v FROM ids i JOIN embeddings e ON i.id = e.vec_id * 3),
+slots AS (SELECT d.doc_id, p.pos FROM documents d, (SELECT unnest(range(3)) AS pos) p),
+flat AS (SELECT s.doc_id, list(coalesce(round(list_sum(CAST(c.v AS DOUBLE[])), 4), 0.0) ORDER BY s.pos) AS sums
+         FROM slots s LEFT JOIN cells c ON s.doc_id = c.doc_id AND s.pos = c.pos GROUP BY s.doc_id)
+SELECT doc_id, CAST({3 * DIM} AS BIGINT) AS n_cells, sums[1] AS sum_0, sums[2] AS sum_1, sums[3] AS sum_2 FROM flat
+""")
+def flattened_doc_vectors(spark, d):
+    docs = keras_docs(spark, d)
+    vocab = cut_lineage(X.build_vocabulary(docs, "doc_id", "tokens"))
+    vecs, _ = X.vocab_vectors(vocab, _pretrained(spark, d, vocab), DIM)
+    flat = X.flattened_vectors(X.texts_to_ids(docs, "doc_id", "tokens", vocab), vecs, DIM, 3)
+    part = lambda k: F.round(F.aggregate(F.slice("vector", k * DIM + 1, DIM), F.lit(0.0), lambda a, x: a + x), 4)
+    return flat.select("doc_id", F.size("vector").cast("bigint").alias("n_cells"),
+                       *[part(k).alias(f"sum_{k}") for k in range(3)])
