@@ -8,15 +8,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.blocks import make_blocks
+from tessera.operators.neighbors import nearest_neighbors
 from tessera.session import cut_lineage
 
 
@@ -30,14 +29,14 @@ def logistic_regression(n_rows: int, C: float = 1.0, penalty: str = "l2", label:
 
 def decision_tree(max_depth: int = 5, label: str = "label", features: str = "features", seed: int = 1):
     """C2."""
-    return DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=min(max_depth, 30), seed=seed)
+    return DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=max_depth, seed=seed)
 
 
 def random_forest(n_trees: int = 20, max_depth: int = 5, min_leaf: int = 1, subset: str = "auto",
                   label: str = "label", features: str = "features", seed: int = 1):
     """C3."""
     return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=n_trees,
-                                  maxDepth=min(max_depth, 30), minInstancesPerNode=min_leaf,
+                                  maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                   featureSubsetStrategy=subset, seed=seed)
 
 
@@ -58,12 +57,15 @@ def mlp(layers: list[int], label: str = "label", features: str = "features", see
 
 def gaussian_nb_fit(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
     """C4: class prior, per-feature mean and population variance; one
-    aggregation.  Output one row per class."""
-    n = df.count()
+    aggregation.  Output one row per class.  Variances are smoothed by 1e-9
+    of the largest feature variance, so a constant feature is no division by
+    zero."""
+    total = df.agg(F.count(F.lit(1)).alias("n"), F.greatest(*[F.var_pop(c) for c in cols], F.lit(0.0)).alias("v")).first()
+    floor = 1e-9 * (total["v"] or 0.0) or 1e-300
     aggs = [F.count(F.lit(1)).alias("n_c")]
     for c in cols:
-        aggs += [F.avg(c).alias(f"m_{c}"), F.var_pop(c).alias(f"v_{c}")]
-    return df.groupBy(label).agg(*aggs).withColumn("prior", F.col("n_c") / F.lit(float(n)))
+        aggs += [F.avg(c).alias(f"m_{c}"), (F.var_pop(c) + F.lit(floor)).alias(f"v_{c}")]
+    return df.groupBy(label).agg(*aggs).withColumn("prior", F.col("n_c") / F.lit(float(total["n"])))
 
 
 def gaussian_nb_predict(df: DataFrame, model: DataFrame, label: str, cols: list[str], id_col: str) -> DataFrame:
@@ -82,23 +84,23 @@ def gaussian_nb_predict(df: DataFrame, model: DataFrame, label: str, cols: list[
     return df.select(id_col, *cols, best["cls"].alias("prediction"), best["ll"].alias("log_lik"))
 
 
+def nearest_class_mean(df: DataFrame, label: str, x: str) -> DataFrame:
+    """Add ``pred``: the class whose mean of ``x`` is nearest (ties to the
+    smaller class).  One row per class reaches the driver."""
+    means = [(r[label], r["m"]) for r in df.groupBy(label).agg(F.avg(x).alias("m")).orderBy(label).collect()]
+    best = F.array_min(F.array(*[F.struct(F.abs(F.col(x) - F.lit(m)).alias("d"), F.lit(c).alias("cls")) for c, m in means]))
+    return df.withColumn("pred", best["cls"])
+
+
 def _class_moments(df: DataFrame, label: str, cols: list[str]):
-    """Per class: n, mean vector, second-moment matrix (one aggregation)."""
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(c).alias(f"s_{i}") for i, c in enumerate(cols)]
-    aggs += [F.sum(F.col(a) * F.col(b)).alias(f"ss_{i}_{j}") for i, a in enumerate(cols)
-             for j, b in enumerate(cols) if j >= i]
-    out = {}
+    """Per class: n, mean vector, covariance matrix (one aggregation of
+    centred sums); one row per class reaches the driver."""
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)]
+    aggs += [F.covar_pop(a, b).alias(f"s_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
+    out, k = {}, len(cols)
     for r in df.groupBy(label).agg(*aggs).collect():
-        k = len(cols)
-        n = r["n"]
-        s = np.array([r[f"s_{i}"] for i in range(k)])
-        ss = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                ss[i, j] = ss[j, i] = r[f"ss_{i}_{j}"]
-        m = s / n
-        out[r[label]] = (n, m, ss / n - np.outer(m, m))
+        S = np.array([[r[f"s_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+        out[r[label]] = (r["n"], np.array([r[f"m_{i}"] for i in range(k)]), S)
     return out
 
 
@@ -170,13 +172,14 @@ def adaboost(df: DataFrame, label: str = "label", features: str = "features", ro
 
 
 def adaboost_predict(df: DataFrame, models, features: str = "features") -> DataFrame:
-    """Weighted vote of the stumps: score = sum alpha (2 p - 1); P(1) by logistic of it."""
+    """Weighted vote of the stumps: score = sum alpha (2 p - 1), alpha the full
+    log odds of a stump, so P(1) is the logistic of the score."""
     out = df.withColumn("_score", F.lit(0.0))
     for m, alpha in models:
         out = (m.setPredictionCol("_p").setRawPredictionCol("_raw").setProbabilityCol("_prob")
                .transform(out).withColumn("_score", F.col("_score") + alpha * (2 * F.col("_p") - 1))
                .drop("_p", "_raw", "_prob"))
-    return (out.withColumn("prob_ada", 1 / (1 + F.exp(-2 * F.col("_score"))))
+    return (out.withColumn("prob_ada", 1 / (1 + F.exp(-F.col("_score"))))
             .withColumn("prediction", (F.col("_score") > 0).cast("double")).drop("_score"))
 
 
@@ -198,62 +201,19 @@ def positive_prob(df: DataFrame, prob_col: str, out: str) -> DataFrame:
 # ------------------------------------------------------------------- kNN
 
 
-def _knn_blocks(k: int):
-    def fn(it):
-        for pdf in it:
-            rows = []
-            for ida, va, idb, vb, lb in zip(pdf["ids_a"], pdf["vecs_a"], pdf["ids_b"], pdf["vecs_b"],
-                                            pdf["labels_b"]):
-                A = np.array([np.asarray(v, dtype=float) for v in va])
-                B = np.array([np.asarray(v, dtype=float) for v in vb])
-                d2 = (A * A).sum(1)[:, None] + (B * B).sum(1)[None, :] - 2 * A @ B.T
-                kk = min(k, B.shape[0])
-                part = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
-                for r, i in enumerate(ida):
-                    for j in part[r]:
-                        rows.append((i, float(max(d2[r, j], 0.0)), idb[j], lb[j]))
-            yield pd.DataFrame(rows, columns=["test_id", "d2", "train_id", "train_label"])
-    return fn
-
-
 def knn_classify(test: DataFrame, train: DataFrame, id_col: str, vec_col: str, label: str, k: int,
                  block_size: int = 512) -> DataFrame:
     """Exact k nearest training rows of every test row (ties by train
-    id), majority vote (ties to the smaller class) and the class share.
-
-    Test and train are cut into blocks; each (test block, train block) pair
-    keeps only its local k best per test row, so at most k x (number of
-    train blocks) candidates per test row are shuffled - the exact top-k is
-    among them."""
-    g = F.lit(0).alias("_g")
-    tb = make_blocks(test.select(g, id_col, vec_col), "_g", id_col, vec_col, block_size)
-    rt = train.select(g, id_col, vec_col, label)
-    sizes = rt.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_size))).cast("int")
-    rb = (rt.join(sizes, "_g").withColumn("block", F.pmod(F.xxhash64(id_col), nb).cast("int"))
-          .groupBy("_g", "block").agg(F.collect_list(id_col).alias("ids"),
-                                      F.collect_list(F.col(vec_col).cast("array<double>")).alias("vecs"),
-                                      F.collect_list(label).alias("labels")))
-    # Every test block meets every train block: the inherent work of exact kNN,
-    # spread over (test blocks x train blocks) tasks.
-    a = tb.select("_g", F.col("ids").alias("ids_a"), F.col("vecs").alias("vecs_a"))
-    b = rb.select(F.col("_g").alias("_gb"), F.col("ids").alias("ids_b"), F.col("vecs").alias("vecs_b"),
-                  F.col("labels").alias("labels_b"))
-    pairs = a.join(b, F.col("_g") == F.col("_gb"))
-    it = test.schema[id_col].dataType.simpleString()
-    rt_t = train.schema[id_col].dataType.simpleString()
-    lt = train.schema[label].dataType.simpleString()
-    cand = pairs.select("ids_a", "vecs_a", "ids_b", "vecs_b", "labels_b").mapInPandas(
-        _knn_blocks(k), f"test_id {it}, d2 double, train_id {rt_t}, train_label {lt}")
-    # Global top-k per test row: max_by-free, a window over at most k x blocks rows per test id.
-    from pyspark.sql import Window
-    w = Window.partitionBy("test_id").orderBy("d2", "train_id")
-    top = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-    votes = top.groupBy("test_id", "train_label").agg(F.count(F.lit(1)).alias("votes"))
-    w2 = Window.partitionBy("test_id").orderBy(F.col("votes").desc(), F.col("train_label"))
-    return (votes.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") == 1)
-            .select(F.col("test_id").alias(id_col), F.col("train_label").alias("prediction"),
-                    (F.col("votes") / F.lit(float(k))).alias("share")))
+    id), majority vote (ties to the smaller class) and the class share of
+    the neighbours found (k, or all train rows if there are fewer)."""
+    near = nearest_neighbors(test, train, id_col, vec_col, k, block_size)
+    labels = train.select(F.col(id_col).alias("neighbor"), F.col(label).alias("_label"))
+    votes = near.join(labels, "neighbor").groupBy(id_col, "_label").agg(F.count(F.lit(1)).alias("votes"))
+    best = F.max_by(F.col("_label"), F.struct(F.col("votes"), F.col("_rev")))
+    # of equal votes the smaller class: the larger of the negated rank
+    w = Window.partitionBy(id_col).orderBy(F.col("_label").desc())
+    return (votes.withColumn("_rev", F.row_number().over(w)).groupBy(id_col)
+            .agg(best.alias("prediction"), (F.max("votes") / F.sum("votes")).alias("share")))
 
 
 # --------------------------------------------------------- re-aimed models

@@ -27,6 +27,22 @@ def kmeans_restarts(df: DataFrame, k: int, seeds: list[int], features: str = "fe
     return best[1]
 
 
+def kmeans_by_spread(df: DataFrame, k: int, seeds: list[int], id_col: str, vec: str, features: str = "features",
+                     max_iter: int = 20):
+    """K1 + K3: fit one model per seed and keep the one whose clusters have the
+    smallest mean distance of members, averaged over the clusters.
+    Returns (model, spread)."""
+    data = df.select(id_col, vec, features).cache()
+    best = None
+    for s in seeds:
+        m = KMeans(k=k, seed=s, featuresCol=features, maxIter=max_iter, initMode="k-means||").fit(data)
+        spread = cluster_spread(mean_intra_distance(m.transform(data), "prediction", id_col, vec)).first()["spread"]
+        if best is None or (spread or 0.0) < best[1]:
+            best = (m, spread or 0.0)
+    data.unpersist()
+    return best
+
+
 def elbow_costs(df: DataFrame, ks: list[int], features: str = "features", seed: int = 1) -> DataFrame:
     """K2: training cost per k."""
     data = df.select(features).cache()
@@ -62,7 +78,22 @@ def mean_intra_distance(df: DataFrame, cluster: str, id_col: str, vec_col: str,
     sums = pairs.select(cluster, "bi", "bj", "vecs_a", "vecs_b").mapInPandas(
         _pair_sums, f"{cluster} {ct}, dist_sum double, n_pairs long")
     return (sums.groupBy(cluster).agg(F.sum("dist_sum").alias("dist_sum"), F.sum("n_pairs").alias("n_pairs"))
-            .withColumn("mean_distance", F.col("dist_sum") / F.col("n_pairs")))
+            .withColumn("mean_distance", F.try_divide("dist_sum", "n_pairs")))
+
+
+def cluster_spread(distances: DataFrame) -> DataFrame:
+    """K3: mean member distance averaged over the clusters (those with a pair)."""
+    return distances.where(F.col("n_pairs") > 0).agg(F.avg("mean_distance").alias("spread"),
+                                                     F.count(F.lit(1)).alias("n_clusters"))
+
+
+def rms_intra_distance(df: DataFrame, cluster: str, vec_col: str, dim: int) -> DataFrame:
+    """Root mean square distance of member pairs, another measure than the
+    mean of K3 but linear: from n, means and variances per dimension,
+    sum over pairs of |a - b|^2 = n^2 * (total population variance)."""
+    total = sum((F.var_pop(F.get(vec_col, F.lit(i))) for i in range(1, dim)), F.var_pop(F.get(vec_col, F.lit(0))))
+    g = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), total.alias("_v"))
+    return g.select(cluster, "n", F.sqrt(F.try_divide(2 * F.col("n") * F.col("_v"), F.col("n") - 1)).alias("rms_distance"))
 
 
 def label_agreement(df: DataFrame, y: str, label: str) -> DataFrame:

@@ -131,7 +131,7 @@ def rec_als_implicit(spark, d):
     out, _ = R.split_repeat_aware(rec_pairs(spark, d), 0.7)
     tr = out.where("is_train").select("user", "product", F.col("rating").cast("float").alias("rating"))
     fit, val = tr.randomSplit([0.8, 0.2], seed=32)
-    model = R.als_implicit(fit, rank=5, iterations=10)
+    model = R.als_implicit(fit, rank=5, iterations=20)
     scored = model.transform(val).withColumnRenamed("prediction", "score")
     return R.mean_percentile_rank(scored, val)
 
@@ -142,7 +142,7 @@ def rec_als_explicit_recommend(spark, d):
     p = rec_pairs(spark, d)
     norm = mean_normalize(p, "product", "rating").select("user", "product",
                                                          F.col("normalized").cast("float").alias("rating"))
-    model = R.als_explicit(norm, rank=3, reg=0.3, iterations=10)
+    model = R.als_explicit(norm, rank=3, reg=0.3, iterations=100)
     return R.recommend(model, 5).select("user", F.explode("recommendations").alias("r")).select(
         "user", "r.product", "r.rating")
 
@@ -167,48 +167,88 @@ def rec_behaviour_profile(spark, d):
 # -------------------------------------------------------------- clustering
 
 
-def emb_vectors(spark, d, dims: int = 8):
+def emb_vectors(spark, d):
     from pyspark.ml.functions import array_to_vector
     e = Tables(spark, d).embeddings
-    return e.select("vec_id", "label", F.slice("embedding", 1, dims).alias("v"),
-                    array_to_vector(F.slice("embedding", 1, dims)).alias("features"))
+    return e.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"),
+                    array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
 
 
 @register("kmeans_restarts", "K1 K5")
 def kmeans_restarts(spark, d):
     e = emb_vectors(spark, d)
-    m = K.kmeans_restarts(e, 10, seeds=[1, 2, 3])
+    m = K.kmeans_restarts(e, 10, seeds=list(range(1, 11)))
     pred = m.transform(e)
     sil = K.silhouette(pred)
     return pred.select("vec_id", "prediction").withColumn("silhouette", F.lit(sil))
 
 
+@register("kmeans_by_spread", "K1 K3")
+def kmeans_by_spread(spark, d):
+    """The trial with the smallest spread; its spread and size per cluster."""
+    e = emb_vectors(spark, d)
+    m, spread = K.kmeans_by_spread(e, 8, [1, 2, 3, 4, 5, 6, 7, 8, 9, 10], "vec_id", "v")
+    return m.transform(e).groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).withColumn("spread", F.lit(spread))
+
+
 @register("kmeans_elbow", "K2")
 def kmeans_elbow(spark, d):
-    return K.elbow_costs(emb_vectors(spark, d), list(range(3, 8)))
+    return K.elbow_costs(emb_vectors(spark, d), list(range(3, 20)))
+
+
+_PAIR_SQL = """
+pairs AS (SELECT a.label, list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS dist
+          FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id),
+per AS (SELECT label, count(*) AS n_pairs, avg(dist) AS mean_distance, sqrt(avg(dist * dist)) AS rms FROM pairs GROUP BY label)
+"""
 
 
-@register("mean_intra_distance", "K3", sql="""
-WITH e AS (SELECT vec_id, label, CAST(embedding[1:8] AS DOUBLE[]) AS v FROM embeddings)
-SELECT a.label, count(*) AS n_pairs, round(avg(list_distance(a.v, b.v)), 4) AS mean_distance
-FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id GROUP BY a.label
+@register("mean_intra_distance", "K3", sql=f"""
+WITH {_PAIR_SQL} SELECT label, n_pairs, round(mean_distance, 4) AS mean_distance FROM per
 """)
 def mean_intra_distance(spark, d):
-    e = emb_vectors(spark, d)
-    # Small blocks so the fixture exercises many block pairs per cluster.
-    m = K.mean_intra_distance(e, "label", "vec_id", "v", block_size=16)
+    m = K.mean_intra_distance(emb_vectors(spark, d), "label", "vec_id", "v")
     return m.select("label", "n_pairs", F.round("mean_distance", 4).alias("mean_distance"))
 
 
-@register("label_agreement", "K4", sql="""
-SELECT round(avg(CASE WHEN label = list_position(embedding[1:10], list_max(embedding[1:10])) - 1
-                      THEN 1.0 ELSE 0.0 END), 6) AS agreement FROM embeddings
+@register("cluster_spread", "K3", sql=f"""
+WITH {_PAIR_SQL} SELECT round(avg(mean_distance), 4) AS spread, count(*) AS n_clusters FROM per
 """)
-def label_agreement(spark, d):
+def cluster_spread(spark, d):
+    m = K.mean_intra_distance(emb_vectors(spark, d), "label", "vec_id", "v")
+    return K.cluster_spread(m).select(F.round("spread", 4).alias("spread"), "n_clusters")
+
+
+@register("rms_intra_distance", "K3", sql=f"""
+WITH {_PAIR_SQL} SELECT label, round(rms, 4) AS rms_distance FROM per
+""")
+def rms_intra_distance(spark, d):
+    r = K.rms_intra_distance(emb_vectors(spark, d), "label", "v", 64)
+    return r.select("label", F.round("rms_distance", 4).alias("rms_distance"))
+
+
+# Prediction: the class whose mean slot value is nearest to the row's mean slot value.
+_CENTROID_SQL = """
+c AS (SELECT label AS cls, avg(list_avg(CAST(embedding AS DOUBLE[]))) AS m FROM embeddings GROUP BY label),
+p AS (SELECT vec_id, any_value(e.label) AS label,
+             arg_min(cls, (abs(list_avg(CAST(embedding AS DOUBLE[])) - m), cls)) AS pred FROM embeddings e, c GROUP BY vec_id)
+"""
+
+
+def centroid_predictions(spark, d):
+    from tessera.operators.classify import nearest_class_mean
     e = Tables(spark, d).embeddings
-    first = F.slice("embedding", 1, 10)
-    p = e.select("label", (F.array_position(first, F.array_max(first)) - 1).cast("int").alias("pred"))
-    return K.label_agreement(p, "label", "pred").select(r6("agreement").alias("agreement"))
+    size = F.size("embedding")
+    mean = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda a, x: a + x) / size
+    return nearest_class_mean(e.select("vec_id", "label", mean.alias("m")), "label", "m")
+
+
+@register("label_agreement", "K4", sql=f"""
+WITH {_CENTROID_SQL}
+SELECT round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 6) AS agreement FROM p
+""")
+def label_agreement(spark, d):
+    return K.label_agreement(centroid_predictions(spark, d), "label", "pred").select(r6("agreement").alias("agreement"))
 
 
 @register("target_cluster_filter", "K6", sql="""
@@ -288,7 +328,7 @@ def clf_discriminant(spark, d):
 
 
 @register("clf_knn", "C9", sql=f"""
-WITH e AS (SELECT vec_id, label, embedding[1:8] AS v, {unit_sql('vec_id')} < 0.7 AS is_train FROM embeddings),
+WITH e AS (SELECT vec_id, label, embedding AS v, {unit_sql('vec_id')} < 0.7 AS is_train FROM embeddings),
 tr AS (SELECT * FROM e WHERE is_train), te AS (SELECT * FROM e WHERE NOT is_train),
 dd AS (SELECT te.vec_id, tr.label, tr.vec_id AS tid,
               list_sum(list_transform(list_zip(te.v, tr.v), lambda p: (CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) ^ 2)) AS d2
@@ -299,10 +339,9 @@ best AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY n DESC, label
 SELECT vec_id, label AS prediction, n / 5.0 AS share FROM best WHERE r = 1
 """)
 def clf_knn(spark, d):
-    e = Tables(spark, d).embeddings.select("vec_id", "label", F.slice("embedding", 1, 8).alias("v"))
+    e = Tables(spark, d).embeddings.select("vec_id", "label", F.col("embedding").alias("v"))
     u = V.hash_unit("vec_id")
-    # Small blocks so the fixture exercises several block pairs.
-    return C.knn_classify(e.where(u >= 0.7), e.where(u < 0.7), "vec_id", "v", "label", 5, block_size=64)
+    return C.knn_classify(e.where(u >= 0.7), e.where(u < 0.7), "vec_id", "v", "label", 5)
 
 
 @register("clf_svm_mlp", "C10 C11 C12")
@@ -578,15 +617,15 @@ def src_replace_table(spark, d):
 
 
 @register("similar_users", "R9", sql="""
-WITH e AS (SELECT vec_id, CAST(embedding[1:8] AS DOUBLE[]) AS v FROM embeddings),
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 s AS (SELECT a.vec_id, b.vec_id AS similar_id, list_cosine_similarity(a.v, b.v) AS cosine
       FROM e a JOIN e b ON a.vec_id <> b.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, similar_id) AS rank FROM s)
 SELECT vec_id, similar_id, round(cosine, 6) AS cosine, rank FROM r WHERE rank <= 3
 """)
 def similar_users(spark, d):
-    e = Tables(spark, d).embeddings.select("vec_id", F.slice("embedding", 1, 8).cast("array<double>").alias("v"))
-    s = R.similar_users(e, "vec_id", "v", k=3, block_size=64)
+    e = Tables(spark, d).embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    s = R.similar_users(e, "vec_id", "v", k=3)
     return s.select("vec_id", F.col("similar").alias("similar_id"), r6("cosine").alias("cosine"), F.col("rank").cast("bigint").alias("rank"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import encode as E
 from tessera.operators import evaluate as V
 from tessera.plans.catalog import register, unit_sql
+from tessera.plans.model_plans import _CENTROID_SQL, centroid_predictions
 from tessera.sources.tables import Tables
 
 
@@ -99,10 +100,9 @@ WITH tr AS (SELECT DISTINCT o_orderpriority FROM orders WHERE year(o_orderdate)
 codes AS (SELECT o_orderpriority, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS code FROM tr)
 SELECT o.o_orderkey, year(o.o_orderdate) = 1997 AS is_train, c.code
 FROM orders o JOIN codes c ON o.o_orderpriority = c.o_orderpriority
-WHERE year(o.o_orderdate) IN (1997, 1998)
 """)
 def aligned_encoding(spark, d):
-    o = Tables(spark, d).orders.where(F.year("o_orderdate").isin(1997, 1998))
+    o = Tables(spark, d).orders
     train = o.where(F.year("o_orderdate") == 1997)
     enc = E.label_encoder("o_orderpriority", "code").fit(train)   # fitted once, on training rows
     return enc.transform(o).select("o_orderkey", (F.year("o_orderdate") == 1997).alias("is_train"),
@@ -214,9 +214,10 @@ def accuracy(spark, d):
     return V.accuracy(binary_frame(spark, d), "label", "pred").select(r6("accuracy").alias("accuracy"))
 
 
-# Multiclass: embeddings label vs index of the largest of the first 10 slots.
-_MC_SQL = """
-mc AS (SELECT label, list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS pred FROM embeddings),
+# Multiclass: embeddings label vs the class of the nearest mean (see model_plans).
+_MC_SQL = f"""
+{_CENTROID_SQL.strip()},
+mc AS (SELECT label, pred FROM p),
 lab AS (SELECT label AS cls, count(*) AS support FROM mc GROUP BY 1),
 prd AS (SELECT pred AS cls, count(*) AS n_pred FROM mc GROUP BY 1),
 tp AS (SELECT label AS cls, count(*) AS tp FROM mc WHERE label = pred GROUP BY 1),
@@ -229,12 +230,6 @@ per2 AS (SELECT cls, p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0
 """
 
 
-def multiclass_frame(spark, d):
-    e = Tables(spark, d).embeddings
-    first = F.slice("embedding", 1, 10)
-    return e.select("label", (F.array_position(first, F.array_max(first)) - 1).cast("int").alias("pred"))
-
-
 @register("classification_report", "V10", sql=f"""
 WITH {_MC_SQL}
 SELECT cls, round(p, 6) AS precision, round(r, 6) AS recall, round(f1, 6) AS f1, support FROM per2
@@ -243,7 +238,7 @@ UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), roun
                  round(sum(f1 * support) / sum(support), 6), sum(support) FROM per2
 """)
 def classification_report(spark, d):
-    rep = V.classification_report(multiclass_frame(spark, d), "label", "pred")
+    rep = V.classification_report(centroid_predictions(spark, d), "label", "pred")
     return rep.select("cls", r6("precision").alias("precision"), r6("recall").alias("recall"),
                       r6("f1").alias("f1"), "support")
 
