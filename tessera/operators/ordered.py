@@ -1,8 +1,8 @@
 """Window and ordered operators: rolling statistics, lags, ranks, splits,
 top-k, argmax, dense row index and exact quantiles.
 
-Every window is partitioned by a series / user key.  Operators that need a
-*global* order (row index, chronological split, exact quantiles) never use
+Windows are partitioned by a series key and a chunk of its positions.
+Operators that need a *global* order (row index, chronological split, exact quantiles) never use
 an unpartitioned window (that would move every row into one task); they
 range-partition and sort in parallel, then turn per-partition offsets
 (one small row per partition) into a dense index or a running sum.
@@ -10,20 +10,55 @@ range-partition and sort in parallel, then turn per-partition offsets
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage
 
 
+#: Positions of a series that one window partition holds; longer series have several.
+CHUNK = 1 << 16
+
+
+def series_positions(df: DataFrame, keys: list[str], order: str | list) -> DataFrame:
+    """Add ``_pos`` (0-based position in the series ``keys``) and ``_len``.
+
+    One distributed index over (keys, order), so a single long series is
+    sorted by all tasks.
+    """
+    cols = [order] if isinstance(order, str) else order
+    idx = dense_index(df, [*keys, *cols], name="_i").withColumn("_k", F.struct(*keys))
+    first = idx.groupBy("_k").agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_len"))
+    return idx.join(first, "_k").withColumn("_pos", F.col("_i") - F.col("_first")).drop("_i", "_k", "_first")
+
+
+def with_context(df: DataFrame, keys: list[str], order: str, back: int, chunk: int = CHUNK):
+    """(frame, window, own rows): windows that look at most ``back`` rows back.
+
+    A series is cut into chunks of ``chunk`` positions.  The last rows of a
+    chunk also go to the next one as context, so a window over (keys, chunk)
+    sees what a window over the whole series would; the condition ``own``
+    drops the context rows afterwards.
+    """
+    s = series_positions(df, keys, order)
+    own = F.floor(F.col("_pos") / chunk)
+    late = F.col("_pos") % chunk >= chunk - back
+    s = s.withColumn("_chunk", F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own))))
+    return s, Window.partitionBy(*keys, "_chunk").orderBy("_pos"), F.col("_chunk") == own
+
+
 def rolling_stats(df: DataFrame, key: str | list[str], order: str, value: str,
-                  window: int = 4) -> DataFrame:
+                  window: int = 4, chunk: int = CHUNK) -> DataFrame:
     """Trailing mean and sample std over ``window`` rows, NULL until full."""
     keys = [key] if isinstance(key, str) else key
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(window - 1), 0)
+    s, w, own = with_context(df, keys, order, window - 1, chunk)
+    w = w.rowsBetween(-(window - 1), 0)
     full = F.count(value).over(w) == window
-    return (df.withColumn("rolling_mean", F.when(full, F.avg(value).over(w)))
-              .withColumn("rolling_std", F.when(full, F.stddev_samp(value).over(w))))
+    return (s.withColumn("rolling_mean", F.when(full, F.avg(value).over(w)))
+             .withColumn("rolling_std", F.when(full, F.stddev_samp(value).over(w)))
+             .where(own).select(*df.columns, "rolling_mean", "rolling_std"))
 
 
 def rolling_detrend(df: DataFrame, key, order: str, value: str, window: int = 4) -> DataFrame:
@@ -34,35 +69,36 @@ def rolling_detrend(df: DataFrame, key, order: str, value: str, window: int = 4)
 
 
 def lags_and_diffs(df: DataFrame, key, order: str, value: str, lags: int = 1,
-                   d: int = 1) -> DataFrame:
+                   d: int = 1, chunk: int = CHUNK) -> DataFrame:
     """lag_1..lag_k columns and the d-th order difference."""
     keys = [key] if isinstance(key, str) else key
-    w = Window.partitionBy(*keys).orderBy(order)
-    out = df
+    s, w, own = with_context(df, keys, order, max(lags, d), chunk)
     for k in range(1, lags + 1):
-        out = out.withColumn(f"lag_{k}", F.lag(value, k).over(w))
+        s = s.withColumn(f"lag_{k}", F.lag(value, k).over(w))
     # d-th difference = sum_j (-1)^j C(d, j) x_{t-j}
-    from math import comb
     diff = None
     for j in range(d + 1):
         term = F.lit(float((-1) ** j * comb(d, j))) * (F.col(value) if j == 0 else F.lag(value, j).over(w))
         diff = term if diff is None else diff + term
-    return out.withColumn(f"diff_{d}", diff)
+    names = [f"lag_{k}" for k in range(1, lags + 1)]
+    return s.withColumn(f"diff_{d}", diff).where(own).select(*df.columns, *names, f"diff_{d}")
 
 
 def percentile_rank(df: DataFrame, user: str, score: str, tie: str) -> DataFrame:
-    """Rank within user by score desc mapped to 0..100: 100*i/(n-1), n=1 -> 0."""
-    w = Window.partitionBy(user).orderBy(F.col(score).desc(), F.col(tie).asc())
-    return df.withColumn("rank_pct", F.percent_rank().over(w) * 100.0)
+    """Rank within user by score desc mapped to 0..100: 100*i/(n-1), n=1 -> 0.
+
+    The ranks are positions in one distributed order, so a user with very
+    many rows is no single task."""
+    s = series_positions(df, [user], [F.col(score).desc(), F.col(tie).asc()])
+    pct = F.when(F.col("_len") > 1, 100.0 * F.col("_pos") / (F.col("_len") - 1)).otherwise(0.0)
+    return s.withColumn("rank_pct", pct).drop("_pos", "_len")
 
 
 def regular_date_index(df: DataFrame, key, order: str, start: str, step_days: int = 7) -> DataFrame:
     """Start date + step_days x position within each series."""
     keys = [key] if isinstance(key, str) else key
-    w = Window.partitionBy(*keys).orderBy(order)
-    pos = F.row_number().over(w) - 1
-    return df.withColumn("position", pos).withColumn(
-        "period_date", F.date_add(F.to_date(F.lit(start)), (pos * step_days).cast("int")))
+    s = series_positions(df, keys, order).withColumnRenamed("_pos", "position").drop("_len")
+    return s.withColumn("period_date", F.date_add(F.to_date(F.lit(start)), (F.col("position") * step_days).cast("int")))
 
 
 def _with_offsets(tagged: DataFrame, sums: dict) -> DataFrame:

@@ -477,22 +477,34 @@ def reg_drop_one_feature(spark, d):
 
 @register("ts_pacf", "M2")
 def ts_pacf(spark, d):
-    return TS.pacf(daily_series(spark, d), "series_id", "day", "value", 5)
+    return TS.pacf(cut_lineage(daily_series(spark, d)), "series_id", "day", "value", 5)
 
 
 @register("ts_adf", "M3")
 def ts_adf(spark, d):
-    return TS.adf_test(daily_series(spark, d), "series_id", "day", "value")
+    return TS.adf_test(cut_lineage(daily_series(spark, d)), "series_id", "day", "value")
 
 
 @register("ts_arima_search", "M4 M5")
 def ts_arima_search(spark, d):
-    return TS.arima_order_search(daily_series(spark, d), "series_id", "day", "value", max_order=2)
+    return TS.arima_order_search(cut_lineage(daily_series(spark, d)), "series_id", "day", "value", max_order=3)
 
 
 @register("ts_forecast", "M6 F2")
 def ts_forecast(spark, d):
-    return TS.forecast(daily_series(spark, d), "series_id", "day", "value", 1, 0, 1, 10, log_transform=True)
+    return TS.forecast(cut_lineage(daily_series(spark, d)), "series_id", "day", "value", 1, 0, 1, 10, log_transform=True)
+
+
+@register("ts_in_sample", "M4 M6")
+def ts_in_sample(spark, d):
+    """Fitted values of the detrended series with the moving average added back."""
+    from tessera.operators import ordered as O
+    r = cut_lineage(O.rolling_detrend(daily_series(spark, d), "series_id", "day", "value", 4))
+    fit = TS.in_sample(r.select("series_id", "day", "detrended"), "series_id", "day", "detrended", 1, 0, 1)
+    placed = O.series_positions(r, ["series_id"], "day").select(
+        "series_id", "day", "value", "rolling_mean", F.col("_pos").alias("position"))
+    return TS.add_back(fit, placed, ["series_id", "position"], "fitted", "rolling_mean").select(
+        "series_id", "day", "value", "restored")
 
 
 # ------------------------------------------------------------------- tuning

@@ -99,12 +99,29 @@ def chronological_split(spark, d):
 
 
 @register("positional_split", "W8 E7", sql="""
-SELECT o_orderkey, year(o_orderdate) = 1997 AS is_train FROM orders WHERE year(o_orderdate) IN (1997, 1998)
+SELECT o_orderkey, year(o_orderdate) < 1997 AS is_train FROM orders
 """)
 def positional_split(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey", "o_orderdate")
-    return O.positional_split(o.where(F.year("o_orderdate") == 1997),
-                              o.where(F.year("o_orderdate") == 1998)).select("o_orderkey", "is_train")
+    return O.positional_split(o.where(F.year("o_orderdate") < 1997),
+                              o.where(F.year("o_orderdate") >= 1997)).select("o_orderkey", "is_train")
+
+
+@register("first_n_split", "W8", sql="""
+WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
+SELECT o_orderkey, rn <= 500 AS is_train FROM r
+""")
+def first_n_split(spark, d):
+    o = Tables(spark, d).orders.select("o_orderkey", "o_orderdate")
+    return O.first_n_split(o, ["o_orderdate", "o_orderkey"], 500).select("o_orderkey", "is_train")
+
+
+@register("reverse_order", "W6", sql="""
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) - 1 AS position FROM orders
+""")
+def reverse_order(spark, d):
+    o = Tables(spark, d).orders.select("o_orderkey", "o_orderdate")
+    return O.reverse_order(o, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "position")
 
 
 @register("sort_orders", "T1", sql="""
