@@ -18,15 +18,13 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import bounded_broadcast, cut_lineage
+from tessera.session import cut_lineage
 
 # Orders with more distinct frequent items than this are split into slices.
 DEFAULT_CHUNK = 256
-# Upper bound on the number of hot orders kept in a broadcast lookup.
-HOT_ORDER_BROADCAST_ROWS = 1_000_000
 
 
 def order_items(lines: DataFrame, order_col: str, item_col: str) -> DataFrame:
@@ -36,6 +34,14 @@ def order_items(lines: DataFrame, order_col: str, item_col: str) -> DataFrame:
             .distinct())
 
 
+def checked_names(lines: DataFrame, sku_col: str, name_col: str) -> DataFrame:
+    """B1 guard: the lines themselves, or ValueError if one sku has two names."""
+    bad = conflicting_names(lines, sku_col, name_col).limit(1).collect()
+    if bad:
+        raise ValueError(f"item {bad[0][0]!r} has more than one name")
+    return lines
+
+
 def baskets(lines: DataFrame, order_col: str, item_col: str) -> DataFrame:
     """B1: one row per order with its sorted distinct item set.
 
@@ -55,11 +61,6 @@ def conflicting_names(lines: DataFrame, sku_col: str, name_col: str) -> DataFram
             .where(F.col("n_names") > 1))
 
 
-def order_count(lines: DataFrame, order_col: str) -> int:
-    """Number of distinct orders (transactions) — a driver scalar."""
-    return lines.select(order_col).distinct().count()
-
-
 def item_support(lines: DataFrame, order_col: str, item_col: str, min_count: int,
                  n_orders: int | None = None) -> DataFrame:
     """B2: orders per item, kept when >= min_count; support = count / orders."""
@@ -71,43 +72,26 @@ def item_support(lines: DataFrame, order_col: str, item_col: str, min_count: int
             .withColumn("support", F.col("n_orders") / F.lit(float(n_orders))))
 
 
-# Broadcast the frequent-item list only when it is provably small.
-FREQUENT_ITEM_BROADCAST_ROWS = 200_000
-
+def _frequent_rows(oi: DataFrame, singles: DataFrame, chunk: int) -> DataFrame:
+    """(order_id, item, n_slices): rows of frequent items with the number of
+    slices of their order; materialised once, as every level reads them."""
+    rows = oi.join(singles.select("item"), "item", "left_semi")
+    m = F.count(F.lit(1)).over(Window.partitionBy("order_id"))
+    return cut_lineage(rows.select("order_id", "item", F.ceil(m / F.lit(chunk)).cast("int").alias("n_slices")))
 
-def _small(df: DataFrame) -> bool:
-    return df.limit(FREQUENT_ITEM_BROADCAST_ROWS + 1).count() <= FREQUENT_ITEM_BROADCAST_ROWS
 
-
-def _slice_counts(frequent_rows: DataFrame, chunk: int) -> DataFrame:
-    """Orders whose frequent item count exceeds ``chunk`` and their slice count."""
-    hot = (frequent_rows.groupBy("order_id").agg(F.count(F.lit(1)).alias("m"))
-           .where(F.col("m") > chunk)
-           .select("order_id", F.ceil(F.col("m") / F.lit(chunk)).cast("int").alias("n_slices")))
-    return bounded_broadcast(hot, HOT_ORDER_BROADCAST_ROWS)
-
-
-def _extend(level: DataFrame, frequent_rows: DataFrame, slices: DataFrame) -> DataFrame:
+def _extend(level: DataFrame, frequent_rows: DataFrame) -> DataFrame:
     """Grow each per-order itemset by one larger frequent item of the same order.
 
-    ``level``: (order_id, itemset array, last) ; ``frequent_rows``: (order_id, item).
-    The probe side (level) is sliced by a hash of its itemset for hot orders;
-    the build side rows of a hot order are replicated once per slice.
+    ``level``: (order_id, n_slices, itemset, last); ``frequent_rows``: (order_id,
+    item, n_slices).  The itemsets of an order are dealt to its slices by a
+    hash; its items are sent to every slice.
     """
-    lv = (level.join(slices, "order_id", "left")
-          .withColumn("n_slices", F.coalesce("n_slices", F.lit(1)))
-          .withColumn("slice", F.pmod(F.xxhash64("itemset"), F.col("n_slices")).cast("int"))
-          .drop("n_slices"))
-    fr = (frequent_rows.join(slices, "order_id", "left")
-          .withColumn("n_slices", F.coalesce("n_slices", F.lit(1)))
-          .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("n_slices") - 1)))
-          .drop("n_slices"))
+    lv = level.withColumn("slice", F.pmod(F.xxhash64("itemset"), F.col("n_slices")).cast("int"))
+    fr = frequent_rows.select("order_id", "item", F.explode(F.sequence(F.lit(0), F.col("n_slices") - 1)).alias("slice"))
     joined = lv.join(fr, ["order_id", "slice"]).where(F.col("item") > F.col("last"))
-    return joined.select(
-        "order_id",
-        F.concat("itemset", F.array("item")).alias("itemset"),
-        F.col("item").alias("last"),
-    )
+    return joined.select("order_id", "n_slices", F.concat("itemset", F.array("item")).alias("itemset"),
+                         F.col("item").alias("last"))
 
 
 def frequent_itemsets(lines: DataFrame, order_col: str, item_col: str, min_count: int,
@@ -115,26 +99,22 @@ def frequent_itemsets(lines: DataFrame, order_col: str, item_col: str, min_count
                       n_orders: int | None = None) -> DataFrame:
     """B3 + B4: all itemsets of size 1..max_k present in >= min_count orders.
 
-    Output: (itemset array<item> sorted, k, n_orders, support).
+    Output: (itemset array<item> sorted, k, n_orders, support).  The distinct
+    (order, item) rows are made by one shuffle and materialised; singles, the
+    number of orders and the frequent rows all come from them.
     """
-    oi = order_items(lines, order_col, item_col)
-    singles = (oi.groupBy("item").agg(F.count(F.lit(1)).alias("n_orders"))
-               .where(F.col("n_orders") >= min_count))
-    # The frequent (order, item) rows feed every level: materialise them once
-    # (reliable checkpoint in the shared folder) instead of re-deriving them
-    # from the line table in each branch of the plan.
-    frequent_rows = cut_lineage(oi.join(F.broadcast(singles.select("item"))
-                                        if _small(singles) else singles.select("item"), "item", "left_semi"))
+    oi = cut_lineage(order_items(lines, order_col, item_col))
     if n_orders is None:
         n_orders = oi.select("order_id").distinct().count()
-    singles = frequent_rows.groupBy("item").agg(F.count(F.lit(1)).alias("n_orders"))
-    slices = _slice_counts(frequent_rows, chunk)
-
+    singles = oi.groupBy("item").agg(F.count(F.lit(1)).alias("n_orders")).where(F.col("n_orders") >= min_count)
     out = singles.select(F.array("item").alias("itemset"), F.lit(1).alias("k"), "n_orders")
-    level = frequent_rows.select("order_id", F.array("item").alias("itemset"),
-                                 F.col("item").alias("last"))
+    if max_k > 1:
+        frequent_rows = _frequent_rows(oi, singles, chunk)
+        level = frequent_rows.select("order_id", "n_slices", F.array("item").alias("itemset"), F.col("item").alias("last"))
     for k in range(2, max_k + 1):
-        cand = _extend(level, frequent_rows, slices)
+        cand = _extend(level, frequent_rows)
+        if k < max_k:  # counted and grown: make it once
+            cand = cut_lineage(cand)
         counts = (cand.groupBy("itemset").agg(F.count(F.lit(1)).alias("n_orders"))
                   .where(F.col("n_orders") >= min_count))
         out = out.unionByName(counts.select("itemset", F.lit(k).alias("k"), "n_orders"))

@@ -68,6 +68,15 @@ def gaussian_nb_fit(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
     return df.groupBy(label).agg(*aggs).withColumn("prior", F.col("n_c") / F.lit(float(total["n"])))
 
 
+def _nb_log_likelihood(r, cols: list[str]):
+    """Log joint density of a row under one class of the model."""
+    ll = F.lit(math.log(r["prior"]))
+    for c in cols:
+        v = r[f"v_{c}"]
+        ll = ll - 0.5 * F.lit(math.log(2 * math.pi * v)) - (F.col(c) - F.lit(r[f"m_{c}"])) ** 2 / F.lit(2 * v)
+    return ll
+
+
 def gaussian_nb_predict(df: DataFrame, model: DataFrame, label: str, cols: list[str], id_col: str) -> DataFrame:
     """C4 scoring: log-likelihood per class as column arithmetic, arg max.
     The model (one row per class, bounded) is joined to every row via the
@@ -75,15 +84,19 @@ def gaussian_nb_predict(df: DataFrame, model: DataFrame, label: str, cols: list[
     classes = model.collect()
     scores = []
     for r in classes:
-        ll = F.lit(math.log(r["prior"]))
-        for c in cols:
-            v = r[f"v_{c}"]
-            ll = ll - 0.5 * F.lit(math.log(2 * math.pi * v)) - (F.col(c) - F.lit(r[f"m_{c}"])) ** 2 / F.lit(2 * v)
-        scores.append(F.struct(ll.alias("ll"), F.lit(r[label]).alias("cls")))
+        scores.append(F.struct(_nb_log_likelihood(r, cols).alias("ll"), F.lit(r[label]).alias("cls")))
     best = F.array_max(F.array(*scores))
     return df.select(id_col, *cols, best["cls"].alias("prediction"), best["ll"].alias("log_lik"))
 
 
+def gaussian_nb_proba(df: DataFrame, model: DataFrame, label: str, cols: list[str], positive, out: str) -> DataFrame:
+    """Add P(positive) of a fitted C4 model (soft voting needs probabilities)."""
+    lls = {r[label]: _nb_log_likelihood(r, cols) for r in model.collect()}
+    top = F.greatest(*lls.values()) if len(lls) > 1 else next(iter(lls.values()))
+    total = sum((F.exp(x - top) for x in list(lls.values())[1:]), F.exp(next(iter(lls.values())) - top))
+    return df.withColumn(out, F.exp(lls[positive] - top) / total)
+
+
 def nearest_class_mean(df: DataFrame, label: str, x: str) -> DataFrame:
     """Add ``pred``: the class whose mean of ``x`` is nearest (ties to the
     smaller class).  One row per class reaches the driver."""

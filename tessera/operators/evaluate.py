@@ -174,6 +174,19 @@ class MacroF1Evaluator(Evaluator, Params):
         return True
 
 
+def undersample_sweep(train: DataFrame, test: DataFrame, key: str, label: str, majority, fractions: list[float],
+                      fit, positive=1) -> DataFrame:
+    """For each kept fraction of the majority class, fit on the reduced
+    training rows and report recall, precision and F1 on the test rows.
+    ``fit(rows)`` returns a model with a ``prediction`` column."""
+    rows = []
+    for f in fractions:
+        kept = undersample(train, key, label, majority, f)
+        m = precision_recall_f1(fit(kept).transform(test), label, "prediction", positive).first()
+        rows.append((float(f), kept.count(), float(m["precision"]), float(m["recall"]), float(m["f1"])))
+    return train.sparkSession.createDataFrame(rows, "fraction double, n_train long, precision double, recall double, f1 double")
+
+
 def model_comparison(spark, rows: list[tuple]) -> DataFrame:
     """Metric rows per model, sorted by the first metric."""
     df = spark.createDataFrame(rows, "model string, metric_1 double, metric_2 double")

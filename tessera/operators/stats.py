@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.scalar import ms_to_minutes
 from tessera.functions.stats import modified_z, two_sided_p
 from tessera.operators.ordered import exact_quantiles
 
@@ -170,9 +171,9 @@ def user_listen_stats(users: DataFrame, plays: DataFrame, user: str, ms: str,
     (NULL when total time is 0)."""
     a = plays.groupBy(user).agg(
         F.count(F.when(F.col(ms) != 0, 1)).alias("cnt"),
-        (_sum(ms, sum_digits) / 1000 / 60).alias("minutes"),
+        ms_to_minutes(_sum(ms, sum_digits)).alias("minutes"),
         F.count(F.when(F.col(paid), 1)).alias("paid_count"),
-        (F.coalesce(_sum(F.when(F.col(paid), F.col(ms)), sum_digits), F.lit(0)) / 1000 / 60).alias("paid_minutes"))
+        ms_to_minutes(F.coalesce(_sum(F.when(F.col(paid), F.col(ms)), sum_digits), F.lit(0))).alias("paid_minutes"))
     u = users.join(a, user, "left").fillna({"cnt": 0, "minutes": 0.0, "paid_count": 0, "paid_minutes": 0.0})
     return u.select(
         "*",
@@ -192,8 +193,8 @@ def song_stats(plays: DataFrame, users: DataFrame, song: str, user: str, ms: str
     prof = [c for c in users.columns if c != user]
     return j.groupBy(song).agg(
         F.count(F.lit(1)).alias("plays"),
-        (_sum(ms, sum_digits) / 1000 / 60).alias("minutes"),
-        (F.coalesce(_sum(F.when(F.col(paid), F.col(ms)), sum_digits), F.lit(0)) / 1000 / 60).alias("paid_minutes"),
+        ms_to_minutes(_sum(ms, sum_digits)).alias("minutes"),
+        ms_to_minutes(F.coalesce(_sum(F.when(F.col(paid), F.col(ms)), sum_digits), F.lit(0))).alias("paid_minutes"),
         F.avg(F.col(paid).cast("double")).alias("paid_ratio"),
         *[F.avg(F.col(c).cast("double")).alias(
             {"age_code": "mean_age_code", "male": "male_share", "us": "us_share"}.get(c, f"avg_{c}"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -278,25 +278,34 @@ def clf_split(spark, d):
     return s.where(F.col("split") == 0), s.where(F.col("split") == 1)
 
 
-@register("clf_models_vote", "C1 C2 C3 C5 C6 V12 V16")
+@register("clf_models_vote", "C1 C2 C3 C4 C5 C6 V12 V16")
 def clf_models_vote(spark, d):
-    tr, te = clf_split(spark, d)
+    """Five voters: logistic regression, tree, forest, Gaussian NB, AdaBoost with weights 1, 2, 2, 1, 2."""
+    tr, te = (cut_lineage(x) for x in clf_split(spark, d))
     n = tr.count()
     lr = C.logistic_regression(n, C=1.0).setProbabilityCol("p_lr").setRawPredictionCol("r_lr").setPredictionCol("y_lr").fit(tr)
     dt = C.decision_tree(4).setProbabilityCol("p_dt").setRawPredictionCol("r_dt").setPredictionCol("y_dt").fit(tr)
-    rf = C.random_forest(10, 4).setProbabilityCol("p_rf").setRawPredictionCol("r_rf").setPredictionCol("y_rf").fit(tr)
-    ada = C.adaboost(tr, rounds=4, id_col="id")
+    rf = C.random_forest(20, 5).setProbabilityCol("p_rf").setRawPredictionCol("r_rf").setPredictionCol("y_rf").fit(tr)
+    ada = C.adaboost(tr, rounds=10, id_col="id")
     out = rf.transform(dt.transform(lr.transform(te)))
+    out = C.gaussian_nb_proba(out, C.gaussian_nb_fit(tr, "label", FEATS), "label", FEATS, 1.0, "q_nb")
     out = C.adaboost_predict(out, ada)
     for c, o in (("p_lr", "q_lr"), ("p_dt", "q_dt"), ("p_rf", "q_rf")):
         out = C.positive_prob(out, c, o)
-    out = C.soft_vote(out, ["q_lr", "q_dt", "q_rf", "prob_ada"], [1, 2, 2, 2])
+    out = C.soft_vote(out, ["q_lr", "q_dt", "q_rf", "q_nb", "prob_ada"], [1, 2, 2, 1, 2])
     auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="r_rf").evaluate(out)
     imp = rf.featureImportances.toArray().tolist()
     return out.select("id", "label", "vote_prob", "vote_pred").withColumn("rf_auc", F.lit(auc)).withColumn(
         "rf_importance_qty", F.lit(imp[0]))
 
 
+@register("undersample_sweep", "C16 V9")
+def undersample_sweep(spark, d):
+    tr, te = (cut_lineage(x) for x in clf_split(spark, d))
+    fit = lambda rows: C.logistic_regression(rows.count(), C=1.0).fit(rows)
+    return V.undersample_sweep(tr, te, "id", "label", 0.0, [0.02, 0.05, 0.2, 0.5, 0.8], fit, positive=1.0)
+
+
 @register("clf_gaussian_nb", "C4", sql="""
 WITH e AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x1, CAST(embedding[2] AS DOUBLE) AS x2,
                   CAST(embedding[3] AS DOUBLE) AS x3 FROM embeddings),
@@ -361,7 +370,7 @@ def clf_svm_mlp(spark, d):
 def word_vectors(spark, d):
     from tessera.functions.text import keras_tokens
     docs = Tables(spark, d).documents.select("doc_id", keras_tokens("text").alias("tokens"))
-    model = C.train_word_vectors(docs, "tokens", dim=8, min_count=5)
+    model = C.train_word_vectors(docs, "tokens", dim=8, min_count=1)
     return model.getVectors()
 
 
@@ -404,7 +413,7 @@ def reg_linear_models(spark, d):
     pred = G.score_linear(te, RFEATS, br["coef"], br["intercept"])
     m = V.regression_metrics(pred, "l_extendedprice", "prediction", len(RFEATS)).first()
     rows.append(("bayes_ridge", float(m["mse"]), float(m["r2"])))
-    rob = G.robust_regression(tr, RFEATS, "l_extendedprice", trials=2)
+    rob = G.robust_regression(tr, RFEATS, "l_extendedprice", trials=5)
     pred = rob.transform(G.assemble(te, RFEATS))
     m = V.regression_metrics(pred, "l_extendedprice", "prediction", len(RFEATS)).first()
     rows.append(("robust", float(m["mse"]), float(m["r2"])))
@@ -433,10 +442,8 @@ def reg_gbm_loops(spark, d):
     df = reg_frame(spark, d)
     s = V.hash_split(df, "id", [0.8, 0.2])
     tr, te = s.where("split = 0"), s.where("split = 1")
-    _, _, m1 = G.gbm_residual(tr, RFEATS, "l_extendedprice", n_trees=4, learning_rate=0.3, max_depth=3,
-                              eval_df=te, checkpoint_every=2)
-    _, _, m2 = G.gbm_residual(tr, RFEATS, "l_extendedprice", n_trees=4, learning_rate=0.3, max_depth=3,
-                              eta=2.0, eval_df=te, checkpoint_every=2)
+    _, _, m1 = G.gbm_residual(tr, RFEATS, "l_extendedprice", n_trees=10, learning_rate=0.1, max_depth=3, eval_df=te)
+    _, _, m2 = G.gbm_residual(tr, RFEATS, "l_extendedprice", n_trees=10, learning_rate=0.1, max_depth=3, eta=2.0, eval_df=te)
     rows = [("symmetric", r, mae, rmse) for r, mae, rmse in m1] + [("asymmetric", r, mae, rmse) for r, mae, rmse in m2]
     return spark.createDataFrame(rows, "variant string, round int, mae double, rmse double")
 
@@ -448,9 +455,10 @@ def reg_per_segment_score(spark, d):
     tr, te = s.where("split = 0"), s.where("split = 1").drop("l_extendedprice")
     models = G.model_per_segment(tr, "l_returnflag", lambda: G.tree_regressor(RFEATS, "l_extendedprice", 4))
     scored = G.score_per_segment(te, "l_returnflag", models)
-    G.train_then_score(tr, te, G.linear_regression(RFEATS, "l_extendedprice"), "id",
-                       path=scratch_dir(spark, "scored_csv"))
-    return scored.select("id", "l_returnflag", "prediction")
+    path = scratch_dir(spark, "scored_csv")
+    G.train_then_score(tr, te, G.linear_regression(RFEATS, "l_extendedprice"), "id", path=path)
+    whole = S.read_csv(spark, path, "id BIGINT, whole DOUBLE")
+    return scored.select("id", "l_returnflag", "prediction").join(whole, "id")
 
 
 @register("reg_optimal_bid_model", "G13 J9 T3 F10")
@@ -469,7 +477,15 @@ def reg_optimal_bid_model(spark, d):
 
 @register("reg_drop_one_feature", "G14")
 def reg_drop_one_feature(spark, d):
-    return G.drop_one_feature(reg_frame(spark, d), RFEATS, "l_extendedprice")
+    s = V.hash_split(reg_frame(spark, d), "id", [0.8, 0.2])
+    return G.drop_one_feature(s.where("split = 0"), s.where("split = 1"), RFEATS, "l_extendedprice")
+
+
+@register("reg_ridge_sweep", "G2 V7")
+def reg_ridge_sweep(spark, d):
+    s = V.hash_split(reg_frame(spark, d), "id", [0.8, 0.2])
+    return G.ridge_sweep(s.where("split = 0"), s.where("split = 1"), RFEATS, "l_extendedprice",
+                         [0.0, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0])
 
 
 # --------------------------------------------------------- time-series models
@@ -510,29 +526,42 @@ def ts_in_sample(spark, d):
 # ------------------------------------------------------------------- tuning
 
 
-@register("tune_cv_grid", "V4 V5 V6 V7")
+@register("tune_cv_grid", "V4 V5")
 def tune_cv_grid(spark, d):
-    tr, _ = clf_split(spark, d)
+    """Grid search by macro F1 over 5 folds, AUC over 10 folds of the same grid."""
+    tr = cut_lineage(clf_split(spark, d)[0])
     lr = C.logistic_regression(tr.count())
     grid = ParamGridBuilder().addGrid(lr.regParam, [1e-4, 1e-2]).addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=3, parallelism=2, seed=1,
-                        evaluator=V.MacroF1Evaluator("label", "prediction")).fit(tr)
+    rows = []
+    for name, folds, ev in (("macro_f1", 5, V.MacroF1Evaluator("label", "prediction")),
+                            ("auc", 10, BinaryClassificationEvaluator(labelCol="label"))):
+        cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=folds, parallelism=2, seed=1, evaluator=ev).fit(tr)
+        rows += [(name, folds, i, float(m)) for i, m in enumerate(cv.avgMetrics)]
+    return spark.createDataFrame(rows, "metric string, folds int, setting int, value double")
+
+
+@register("tune_random_search", "V6 V4")
+def tune_random_search(spark, d):
+    """Random search: 5 settings drawn from a larger grid, 4 folds."""
     import random
-    sampled = random.Random(5).sample(grid, 2)               # V6: seeded random search
-    tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=sampled, trainRatio=0.75, seed=1,
-                               evaluator=BinaryClassificationEvaluator(labelCol="label")).fit(tr)
-    rows = [("cv_macro_f1", i, float(m)) for i, m in enumerate(cv.avgMetrics)]
-    rows += [("tvs_auc", i, float(m)) for i, m in enumerate(tvs.validationMetrics)]
-    return spark.createDataFrame(rows, "search string, setting int, metric double")
+    tr = cut_lineage(clf_split(spark, d)[0])
+    lr = C.logistic_regression(tr.count())
+    grid = (ParamGridBuilder().addGrid(lr.regParam, [1e-5, 1e-4, 1e-3, 1e-2, 1e-1])
+            .addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).build())
+    drawn = random.Random(5).sample(grid, 5)
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=drawn, numFolds=4, parallelism=2, seed=1,
+                        evaluator=BinaryClassificationEvaluator(labelCol="label")).fit(tr)
+    rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(m)) for p, m in zip(drawn, cv.avgMetrics)]
+    return spark.createDataFrame(rows, "reg_param double, elastic_net double, auc double")
 
 
 @register("tune_regression_cv", "V4 G2")
 def tune_regression_cv(spark, d):
-    df = reg_frame(spark, d)
+    df = cut_lineage(reg_frame(spark, d))
     pipe = G.linear_regression(RFEATS, "l_extendedprice")
     lr = pipe.getStages()[-1]
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1, 1.0]).build()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, numFolds=3, parallelism=2, seed=1,
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, numFolds=10, parallelism=2, seed=1,
                         evaluator=RegressionEvaluator(labelCol="l_extendedprice", metricName="r2")).fit(df)
     return spark.createDataFrame([(i, float(m)) for i, m in enumerate(cv.avgMetrics)], "setting int, r2 double")
 
@@ -559,12 +588,12 @@ def src_lines_csv(spark, d):
 
 
 @register("src_tsv_tagged", "S3 U1", sql="""
-SELECT o_orderkey, o_orderpriority, o_orderstatus AS source FROM orders WHERE o_orderstatus IN ('F', 'O')
+SELECT o_orderkey, o_orderpriority, o_orderstatus AS source FROM orders
 """)
 def src_tsv_tagged(spark, d):
     o = Tables(spark, d).orders
     paths = {}
-    for st in ("F", "O"):
+    for st in ("F", "O", "P"):
         part = o.where(F.col("o_orderstatus") == st).select("o_orderkey", "o_orderpriority")
         p = scratch_dir(spark, f"tsv_{st}")
         part.write.mode("overwrite").option("sep", "\t").option("header", False).csv(p)

@@ -26,6 +26,13 @@ def proj_drop_columns(spark, d):
     return R.drop_columns(Tables(spark, d).orders, ["o_orderstatus", "o_orderpriority"])
 
 
+@register("proj_select_columns", "P1", sql="""
+SELECT o_orderkey, o_totalprice FROM orders
+""")
+def proj_select_columns(spark, d):
+    return R.select_columns(Tables(spark, d).orders, ["o_orderkey", "o_totalprice"])
+
+
 @register("proj_positions", "P2", sql="""
 SELECT l_linenumber, l_quantity, l_extendedprice, l_discount FROM lineitem
 """)
@@ -212,12 +219,12 @@ def join_inner(spark, d):
 
 
 @register("join_anti_keys", "J2 U3", sql="""
-SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
 """)
 def join_anti_keys(spark, d):
     t = Tables(spark, d)
-    return R.anti_keys(t.customer.select("c_custkey"),
-                       t.orders.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    pending = t.orders.where(F.col("o_orderstatus") == "P").select(F.col("o_custkey").alias("c_custkey"))
+    return R.anti_keys(t.customer.select("c_custkey"), pending, ["c_custkey"])
 
 
 def _cust_part(spark, d):
@@ -570,12 +577,13 @@ def rfm_features(spark, d):
 
 
 @register("union_all_years", "U1", sql="""
-SELECT o_orderkey, year(o_orderdate) AS yr FROM orders WHERE year(o_orderdate) = 1997
-UNION ALL SELECT o_orderkey, year(o_orderdate) FROM orders WHERE year(o_orderdate) = 1998
+SELECT o_orderkey, year(o_orderdate) AS yr FROM orders
 """)
 def union_all_years(spark, d):
+    """Every year's orders apart, stacked again."""
     o = Tables(spark, d).orders.select("o_orderkey", F.year("o_orderdate").alias("yr"))
-    return R.union_all(o.where(F.col("yr") == 1997), o.where(F.col("yr") == 1998))
+    before, year, after = (o.where(c) for c in ("yr < 1995", "yr = 1995", "yr > 1995"))
+    return R.union_all(before, year, after)
 
 
 @register("distinct_buyers", "U2", sql="""
@@ -586,12 +594,13 @@ def distinct_buyers(spark, d):
 
 
 @register("parts_never_sold", "U3", sql="""
-SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem
+SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity >= 48
 """)
 def parts_never_sold(spark, d):
+    """Parts never sold in bulk (48 pieces or more on a line)."""
     t = Tables(spark, d)
-    return R.difference(t.part.select("p_partkey"),
-                        t.lineitem.select(F.col("l_partkey").alias("p_partkey")), ["p_partkey"])
+    bulk = t.lineitem.where(F.col("l_quantity") >= 48).select(F.col("l_partkey").alias("p_partkey"))
+    return R.difference(t.part.select("p_partkey"), bulk, ["p_partkey"])
 
 
 # ------------------------------------------------------------ SQL surface

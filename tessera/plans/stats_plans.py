@@ -64,6 +64,22 @@ def pairwise_z_tests(spark, d):
     return z.select("group_a", "group_b", r6("z").alias("z"), r6("p_value").alias("p_value"))
 
 
+@register("grouped_z_tests", "H5", sql=f"""
+WITH e AS (SELECT * FROM events WHERE value <> 0),
+m AS (SELECT user_id % 3 AS segment, event_type, count(*) AS n, avg(value) AS mean, var_pop(value) AS var
+      FROM e GROUP BY 1, 2),
+p AS (SELECT a.segment, a.event_type AS group_a, b.event_type AS group_b,
+             (a.mean - b.mean) / sqrt(a.var / a.n + b.var / b.n) AS z
+      FROM m a JOIN m b ON a.segment = b.segment AND a.event_type < b.event_type)
+SELECT segment, group_a, group_b, round(z, 6) AS z, round({two_sided_p_sql('z')}, 6) AS p_value FROM p
+""")
+def grouped_z_tests(spark, d):
+    """All pairs of event types inside each user segment, zeros removed."""
+    e = Tables(spark, d).events.withColumn("segment", F.col("user_id") % 3)
+    z = H.pairwise_z_tests(e, "event_type", "value", within=["segment"], drop_zeros=True)
+    return z.select("segment", "group_a", "group_b", r6("z").alias("z"), r6("p_value").alias("p_value"))
+
+
 @register("chi_square_gof", "H6 A10", sql="""
 WITH pos AS (SELECT o_orderpriority AS cat, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
 ref AS (SELECT o_orderpriority AS cat, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),

@@ -71,17 +71,6 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The bound is checked with a limited count (reads at most max_rows+1 rows);
-    above the bound the frame is returned unchanged so the join falls back to
-    a shuffle join (and AQE may still broadcast from runtime statistics).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder for an intermediate table, below the shared checkpoint folder.
 
