@@ -326,11 +326,30 @@ def clf_gaussian_nb(spark, d):
     return C.gaussian_nb_predict(e, model, "label", cols, "vec_id").select("vec_id", "prediction")
 
 
-@register("clf_discriminant", "C7 C8")
+# Two slots, so that the 2 x 2 inverse can be written out.
+_DISC_SQL = """
+e AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+m AS (SELECT label, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS c
+      FROM e GROUP BY label),
+w AS (SELECT sum(n) AS t, sum(a * (n - 1)) / (sum(n) - count(*)) AS a, sum(b * (n - 1)) / (sum(n) - count(*)) AS b,
+             sum(c * (n - 1)) / (sum(n) - count(*)) AS c FROM m),
+s AS (SELECT e.vec_id, m.label AS cls,
+             ln(n / t) - 0.5 * (w.c * (x - mx) ^ 2 - 2 * w.b * (x - mx) * (y - my) + w.a * (y - my) ^ 2)
+                       / (w.a * w.c - w.b * w.b) AS l,
+             ln(n / t) - 0.5 * ln(m.a * m.c - m.b * m.b)
+                       - 0.5 * (m.c * (x - mx) ^ 2 - 2 * m.b * (x - mx) * (y - my) + m.a * (y - my) ^ 2)
+                       / (m.a * m.c - m.b * m.b) AS q
+      FROM e, m, w)
+"""
+
+
+@register("clf_discriminant", "C7 C8", sql=f"""
+WITH {_DISC_SQL} SELECT vec_id, arg_max(cls, l) AS lda, arg_max(cls, q) AS qda FROM s GROUP BY vec_id
+""")
 def clf_discriminant(spark, d):
     e = Tables(spark, d).embeddings.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"x{i+1}")
-                                                                for i in range(4)])
-    cols = ["x1", "x2", "x3", "x4"]
+                                                                for i in range(2)])
+    cols = ["x1", "x2"]
     lda = C.discriminant_predict(e, C.discriminant_fit(e, "label", cols), "vec_id").withColumnRenamed("prediction", "lda")
     qda = C.discriminant_predict(e, C.discriminant_fit(e, "label", cols, quadratic=True), "vec_id").withColumnRenamed("prediction", "qda")
     return lda.join(qda, "vec_id")
@@ -397,6 +416,31 @@ def reg_simple_ols(spark, d):
     return s.select(r6("slope").alias("slope"), F.round("intercept", 4).alias("intercept"), r6("r2").alias("r2"), "n")
 
 
+_TWO_SQL = """
+f AS (SELECT l.l_quantity AS x, p.p_retailprice AS z, l.l_extendedprice AS y
+      FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+g AS (SELECT count(*) AS n, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, var_pop(x) AS xx, covar_pop(x, z) AS xz,
+             var_pop(z) AS zz, covar_pop(x, y) AS xy, covar_pop(z, y) AS zy FROM f),
+a AS (SELECT unnest([0.0, 5000.0]) AS alpha),
+r AS (SELECT alpha, mx, mz, my, ((zz + alpha / n) * xy - xz * zy) / ((xx + alpha / n) * (zz + alpha / n) - xz * xz) AS b1,
+             ((xx + alpha / n) * zy - xz * xy) / ((xx + alpha / n) * (zz + alpha / n) - xz * xz) AS b2 FROM g, a)
+"""
+
+
+@register("reg_two_features", "G1 G2", sql=f"""
+WITH {_TWO_SQL}
+SELECT CAST(alpha AS DOUBLE) AS alpha, round(b1, 4) AS b1, round(b2, 4) AS b2, round(my - b1 * mx - b2 * mz, 2) AS b0 FROM r
+""")
+def reg_two_features(spark, d):
+    """OLS (alpha 0) and ridge by the estimators, against the closed form."""
+    df = cut_lineage(reg_frame(spark, d).select("l_quantity", "p_retailprice", "l_extendedprice"))
+    cols, rows = ["l_quantity", "p_retailprice"], []
+    for alpha, pipe in ((0.0, G.linear_regression(cols, "l_extendedprice")), (5000.0, G.ridge(df, cols, "l_extendedprice", 5000.0))):
+        m = pipe.fit(df).stages[-1]
+        rows.append((alpha, *[round(float(c), 4) for c in m.coefficients], round(float(m.intercept), 2)))
+    return spark.createDataFrame(rows, "alpha double, b1 double, b2 double, b0 double")
+
+
 @register("reg_linear_models", "G1 G2 G3 G4 G5 V14 V17")
 def reg_linear_models(spark, d):
     df = reg_frame(spark, d)
@@ -491,8 +535,22 @@ def reg_ridge_sweep(spark, d):
 # --------------------------------------------------------- time-series models
 
 
-@register("ts_pacf", "M2")
+@register("ts_pacf", "M2", sql="""
+WITH s AS (SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS day, round(sum(o_totalprice), 2) AS x
+           FROM orders GROUP BY 1, 2),
+l AS (SELECT series_id, x, lag(x, 1) OVER w AS a, lag(x, 2) OVER w AS b FROM s WINDOW w AS (PARTITION BY series_id ORDER BY day)),
+g AS (SELECT series_id, var_pop(a) AS aa, covar_pop(a, b) AS ab, var_pop(b) AS bb, covar_pop(x, a) AS xa, covar_pop(x, b) AS xb
+      FROM l WHERE b IS NOT NULL GROUP BY 1)
+SELECT series_id, 1 AS k, round(regr_slope(x, a), 6) AS pacf FROM l GROUP BY 1
+UNION ALL SELECT series_id, 2, round((aa * xb - ab * xa) / (aa * bb - ab * ab), 6) FROM g
+""")
 def ts_pacf(spark, d):
+    p = TS.pacf(cut_lineage(daily_series(spark, d)), "series_id", "day", "value", 2)
+    return p.select("series_id", "k", r6("pacf").alias("pacf"))
+
+
+@register("ts_pacf_lags", "M2")
+def ts_pacf_lags(spark, d):
     return TS.pacf(cut_lineage(daily_series(spark, d)), "series_id", "day", "value", 5)
 
 

@@ -89,10 +89,14 @@ def text_ids_padded(spark, d):
                       F.size("ids").cast("bigint").alias("n_known"))
 
 
-@register("hashed_word_ids", "X5")
+@register("hashed_word_ids", "X5", sql=f"""
+WITH {_KTOK_SQL}
+SELECT doc_id, array_to_string(list_transform(toks,
+           lambda w: CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 999 + 1), ' ') AS ids FROM ktok
+""")
 def hashed_word_ids(spark, d):
     docs = keras_docs(spark, d)
-    return docs.select("doc_id", X.hashed_ids("tokens", 1000).alias("ids"))
+    return docs.select("doc_id", F.array_join(X.hashed_ids("tokens", 1000), " ").alias("ids"))
 
 
 @register("count_vector", "X6", sql="""
