@@ -74,5 +74,23 @@ QUERIES: dict[str, Query] = {
     "op10_piece_codec": op10_piece_codec,
 }
 
-#: The others draw at random, learn or search; tests/llm compares them with brute force.
-ORACLE_SQL: dict[str, str] = {}
+#: The others draw at random, estimate, learn or search; tests/llm compares them with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+h AS (SELECT page_id, n, sha1(html) AS digest, max(page_id) OVER (PARTITION BY html) AS holder FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < holder THEN holder END AS refers_to
+FROM h
+""",
+    # pages of the one template that the tables have: an article, bold the only inline element
+    "op9_html_extraction": r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS t FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS t FROM a),
+c AS (SELECT page_id, url, replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+                                           '&#x27;', chr(39)), '&amp;', '&') AS t FROM b),
+d AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM c)
+SELECT page_id, url, text, length(text) AS n_chars FROM d
+""",
+}
