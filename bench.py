@@ -40,6 +40,19 @@ HEADLINE = [
     "mean_intra_distance",
     "clf_knn",
     "optimal_bid_given_rate",
+    "similar_users",
+    "impute_median",
+    "ts_pacf",
+    "ts_arima_search",
+    "reg_two_features",
+    "reg_ridge_sweep",
+    "reg_tree_models",
+    "reg_linear_models",
+    "clf_gaussian_nb",
+    "clf_discriminant",
+    "clf_models_vote",
+    "rec_als_implicit",
+    "kmeans_elbow",
 ]
 
 
