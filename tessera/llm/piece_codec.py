@@ -25,7 +25,7 @@ from tessera.llm.pieces import PieceVocabulary, default_model
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Characters that are probed at a time, and pre-tokens a task remembers: they bound memory, no result.
 _PLACES = 60_000
-_REMEMBERED = 300_000
+_REMEMBERED = 800_000
 
 
 def _prefix_hashes(codes: np.ndarray) -> np.ndarray:
