@@ -50,7 +50,7 @@ def baskets(lines: DataFrame, order_col: str, item_col: str) -> DataFrame:
     """
     oi = order_items(lines, order_col, item_col)
     return (oi.groupBy("order_id")
-            .agg(F.array_sort(F.collect_set("item")).alias("items"))
+            .agg(F.sort_array(F.collect_set("item")).alias("items"))
             .withColumn("n_items", F.size("items")))
 
 

@@ -200,7 +200,7 @@ def distinct_count_by_key(df: DataFrame, key: str, of: str, min_count: int = 0)
 def collect_sorted(df: DataFrame, key: str, of: str, distinct: bool = True) -> DataFrame:
     """A3: sorted list (or set) of values per key."""
     agg = F.collect_set(of) if distinct else F.collect_list(of)
-    return df.groupBy(key).agg(F.array_sort(agg).alias("values"))
+    return df.groupBy(key).agg(F.sort_array(agg).alias("values"))
 
 
 def max_other_by_key(df: DataFrame, key: str, other: str) -> DataFrame:

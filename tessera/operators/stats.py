@@ -75,7 +75,7 @@ def pairwise_z_tests(df: DataFrame, group: str, x: str, within: list[str] | None
     within = within or []
     data = df.where(F.col(x) != 0) if drop_zeros else df
     m = group_moments(data, [*within, group], x)
-    listed = m.groupBy(*within).agg(F.array_sort(F.collect_list(
+    listed = m.groupBy(*within).agg(F.sort_array(F.collect_list(
         F.struct(F.col(group).alias("g"), "n", "mean", "var"))).alias("gs"))
     a = listed.select(*within, "gs", F.posexplode("gs").alias("i", "a"))
     p = a.select(*within, "a", F.explode(F.slice("gs", F.col("i") + 2, F.size("gs"))).alias("b"))

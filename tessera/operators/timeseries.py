@@ -79,7 +79,7 @@ def chunk_arrays(series: DataFrame, key: str, order: str, value: str, back: int,
     s = s.where(F.col("_c") * chunk < F.col("_len"))
     x = ((F.col(value) - F.col("mean")) / F.col("scale")).cast("double").alias("x")
     g = s.groupBy(key, "_c").agg(F.first("_len").alias("n"), F.first("mean").alias("mean"), F.first("scale").alias("scale"),
-                                 F.array_sort(F.collect_list(F.struct(F.col("_pos").alias("p"), x))).alias("r"))
+                                 F.sort_array(F.collect_list(F.struct(F.col("_pos").alias("p"), x))).alias("r"))
     return g.select(F.col(key).alias("series_id"), "n", F.col("r")[0]["p"].alias("first"), (F.col("_c") * chunk).alias("own"),
                     "mean", "scale", F.transform("r", lambda e: e["x"]).alias("x"))
 
@@ -105,7 +105,7 @@ def gram_sums(chunks: DataFrame, design: Callable[[pd.Series], np.ndarray], head
     parts = chunks.mapInPandas(run, f"series_id {kind}, n long, mean double, scale double, gram array<double>, "
                                     "head array<double>, tail array<double>")
     cells = parts.select("series_id", F.posexplode("gram").alias("at", "v")).groupBy("series_id", "at").agg(F.sum("v").alias("v"))
-    grams = cells.groupBy("series_id").agg(F.array_sort(F.collect_list(F.struct("at", "v"))).alias("g")).select(
+    grams = cells.groupBy("series_id").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("g")).select(
         "series_id", F.transform("g", lambda e: e["v"]).alias("gram"))
     ends = parts.groupBy("series_id").agg(
         F.first("n").alias("n"), F.first("mean").alias("mean"), F.first("scale").alias("scale"),
