@@ -28,7 +28,7 @@ def linear(spark):
     x = rng.normal(size=(600, 3)) + [1e6, 0, 0]
     y = 3 + 2 * (x[:, 0] - 1e6) - x[:, 1] + 0.1 * rng.normal(size=600)
     rows = [(i, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))]
-    df = spark.createDataFrame(rows, "id long, a double, b double, c double, y double").cache()
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, y double").coalesce(1).cache()
     return df, x, y
 
 
@@ -39,7 +39,7 @@ def binary(spark):
     x = rng.normal(size=(400, 2)) + np.outer(y, [2.0, -1.0])
     rows = [(i, float(r[0]), float(r[1]), float(v)) for i, (r, v) in enumerate(zip(x, y))]
     df = spark.createDataFrame(rows, "id long, a double, b double, label double")
-    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df).cache(), x, y
+    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df.coalesce(1)).cache(), x, y
 
 
 def coefs(model):
@@ -152,11 +152,11 @@ def test_classifiers_beat_the_floor(binary):
                       (C.mlp([2, 4, 2], max_iter=50), df)):
         assert V.accuracy(est.fit(data).transform(data), "label", "prediction").first()[0] > 0.8
     # the kernel of the random features approaches exp(-gamma |x - y|^2)
-    z = np.array([r[0] for r in C.random_fourier_features(df.orderBy("id").limit(20), ["a", "b"], 4000, 0.7)
+    z = np.array([r[0] for r in C.random_fourier_features(df.orderBy("id").limit(20), ["a", "b"], 500, 0.7)
                   .orderBy("id").select(vector_to_array("rff")).collect()])
     x = np.array([[r["a"], r["b"]] for r in df.orderBy("id").limit(20).collect()])
     k = np.exp(-0.7 * ((x[:, None] - x[None]) ** 2).sum(-1))
-    assert np.abs(z @ z.T - k).max() < 0.1
+    assert np.abs(z @ z.T - k).max() < 0.25
 
 
 def test_logistic_regression_objective(binary):
