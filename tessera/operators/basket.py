@@ -145,19 +145,14 @@ def pair_rules(pairs: DataFrame, singles: DataFrame) -> DataFrame:
          .join(s.withColumnsRenamed({"item": "item_a", "sup": "sup_a"}), "item_a")
          .join(s.withColumnsRenamed({"item": "item_b", "sup": "sup_b"}), "item_b"))
     lift = F.col("pair_sup") / (F.col("sup_a") * F.col("sup_b"))
-
-    def direction(src: str, dst: str, src_sup: str) -> DataFrame:
-        return p.select(
-            F.col(src).alias("item"),
-            F.col(dst).alias("associate"),
-            F.col(src_sup).alias("support"),
-            F.concat_ws("->", F.col(src), F.col(dst)).alias("itemset"),
-            F.col("pair_sup").alias("itemset_sup"),
-            (F.col("pair_sup") / F.col(src_sup)).alias("confidence"),
-            lift.alias("lift"),
-        )
-
-    return direction("item_a", "item_b", "sup_a").unionByName(direction("item_b", "item_a", "sup_b"))
+    way = lambda src, dst, sup: F.struct(F.col(src).alias("item"), F.col(dst).alias("associate"),
+                                         F.col(sup).alias("support"))
+    # both directions of a pair from one row, so the pairs are made once
+    both = p.select("pair_sup", lift.alias("lift"), F.explode(F.array(
+        way("item_a", "item_b", "sup_a"), way("item_b", "item_a", "sup_b"))).alias("r"))
+    return both.select("r.item", "r.associate", "r.support", F.concat_ws("->", "r.item", "r.associate").alias("itemset"),
+                       F.col("pair_sup").alias("itemset_sup"), (F.col("pair_sup") / F.col("r.support")).alias("confidence"),
+                       "lift")
 
 
 def basket_rules(lines: DataFrame, order_col: str, item_col: str, min_count: int,
