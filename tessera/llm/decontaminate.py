@@ -1,18 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 1. Test items are cut into words (long ones into overlapping segments) and
-   every n-gram of words becomes a possible seed.
+   every n-gram of words is a seed, however often it occurs: an edited copy
+   keeps the n-grams that all copies share, and loses those that are rare.
 2. One pass over the documents looks up every n-gram of every whole text in a
-   Bloom filter of the item n-grams, counts in how many documents each hit
-   occurs, and keeps the passages with hits close together.
-3. Rare n-grams are seeds: those in at most ``RARE_SHARE`` of the documents
-   and, so that a passage that was copied very often is still found, the
-   rarest of each ``WINDOW`` successive n-grams of an item however often it
-   occurs.  A document that has a run of ``WINDOW + NGRAM - 1`` unchanged
-   words of an item always meets a seed of it.
-4. Passages join items on seeds, and each joined pair is aligned word by word.
-   The score of a local alignment over that of a full copy says how much of the
-   item the passage holds, in spite of changed, added and missing words.
+   Bloom filter of the item n-grams and keeps the passages with hits close
+   together.
+3. Passages join items on seeds, and each joined pair with enough words in
+   common is aligned word by word.  The score of a local alignment over that of
+   a full copy says how much of the item the passage holds, in spite of
+   changed, added and missing words.
+
+Whether a document meets an item depends on these two alone, not on the other
+documents, but for items of which the table holds fewer than ``MIN_SEEDS``
+n-grams: for those each n-gram counts.
 """
 
 from __future__ import annotations
@@ -30,8 +31,6 @@ from pyspark.sql import types as T
 from tessera.llm.common import col, fresh_name, map_arrow, text_slices, via_table
 
 NGRAM = 3
-RARE_SHARE = 0.001
-WINDOW = 4
 #: Distinct seeds of an item in one passage (items with fewer n-grams need all of theirs).
 MIN_SEEDS = 2
 SEGMENT_WORDS, SEGMENT_STEP = 256, 128
@@ -127,14 +126,13 @@ def _filter(grams: DataFrame, n_grams: int) -> np.ndarray:
 
 
 _HITS = T.StructType([
-    T.StructField("gram", T.LongType()), T.StructField("n", T.LongType()),
     T.StructField("passage", T.LongType()), T.StructField("doc_id", T.LongType()),
     T.StructField("text_hash", T.LongType()), T.StructField("start", T.IntegerType()),
     T.StructField("words", T.ArrayType(T.StringType())), T.StructField("grams", T.ArrayType(T.LongType()))])
 
 
 def _hits(docs: DataFrame, bloom: np.ndarray, n: int, reach: int, min_hits: int) -> DataFrame:
-    """Rows of two kinds: (gram, n) counts of documents by task, and passages."""
+    """The passages of each document with at least ``min_hits`` distinct n-grams of the filter."""
     shared = docs.sparkSession.sparkContext.broadcast(bloom)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,19 +141,14 @@ def _hits(docs: DataFrame, bloom: np.ndarray, n: int, reach: int, min_hits: int)
         number = TaskContext.get().partitionId() << 33
         bits, hashes = shared.value, _WordHashes()
 
-        def rows(counts: dict[int, int], passages: list[tuple]) -> pa.RecordBatch:
-            k, p = len(counts), len(passages)
-            late = lambda i: [None] * k + [x[i] for x in passages]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([*counts, *[None] * p], pa.int64()), pa.array([*counts.values(), *[None] * p], pa.int64()),
-                 *(pa.array(late(i), t) for i, t in enumerate(
-                     (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))))],
-                names=_HITS.names)
+        def rows(passages: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in passages], t) for i, t in enumerate(kinds)],
+                                              names=_HITS.names)
 
         for batch in batches:
             for at, size in text_slices(batch, "text"):
                 part = batch.slice(at, size)
-                counts: dict[int, int] = {}
                 passages = []
                 for doc, key, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text_hash", "text"))):
                     words = words_of(text)
@@ -167,8 +160,6 @@ def _hits(docs: DataFrame, bloom: np.ndarray, n: int, reach: int, min_hits: int)
                     if not len(places):
                         continue
                     found = grams[places].view(np.int64)
-                    for g in np.unique(found).tolist():
-                        counts[g] = counts.get(g, 0) + 1
                     for run_ in np.split(np.arange(len(places)), np.flatnonzero(np.diff(places) > reach) + 1):
                         own = np.unique(found[run_])
                         if len(own) >= min_hits:
@@ -176,7 +167,7 @@ def _hits(docs: DataFrame, bloom: np.ndarray, n: int, reach: int, min_hits: int)
                             last = int(places[run_[-1]]) + n + reach
                             passages.append((number, doc, key, first, words[first:last], own.tolist()))
                             number += 1
-                yield rows(counts, passages)
+                yield rows(passages)
 
     return map_arrow(docs, run, _HITS)
 
@@ -224,6 +215,9 @@ def _aligned(batches: Iterator[pa.RecordBatch], min_score: float) -> Iterator[pa
         rows = []
         names = ("doc_id", "text_hash", "item_id", "start", "item_words", "words")
         for doc, key, item, start, a, b in zip(*(batch.column(c).to_pylist() for c in names)):
+            held = set(b)
+            if sum(w in held for w in a) < min_score * len(a):
+                continue  # each match gives one word of the item: the score can't be reached
             score, first, end = align(a, b)
             if score >= min_score:
                 rows.append((doc, key, item, score, start + first, start + end))
@@ -246,23 +240,13 @@ def _matches(docs: DataFrame, items: DataFrame, doc_id: str, doc_text: str, item
     bloom = _filter(segments.select(F.explode("grams").alias("gram")), shape["grams"])
     slim = docs.select(col(doc_id).cast("long").alias("doc_id"), F.xxhash64(col(doc_text)).alias("text_hash"),
                        col(doc_text).alias("text"))
-    hits = via_table(_hits(slim, bloom, n, shape["words"], min(MIN_SEEDS, shape["fewest"])), "decontaminate-hits")
-
-    # how rare an n-gram is, over all documents; the counts were summed by task already
-    n_docs = slim.count()
-    often = hits.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
-    placed = segments.select("segment", F.posexplode("grams").alias("at", "gram"))
-    known = placed.join(often, "gram")  # n-grams that no document has need no seed
-    # a seed is the rarest of some window of its segment: windows are numbered by their first n-gram
-    windows = known.select("*", F.explode(F.sequence(F.greatest(F.col("at") - (WINDOW - 1), F.lit(0)),
-                                                     F.col("at"))).alias("window"))
-    rarest = windows.groupBy("segment", "window").agg(
-        F.min_by("gram", F.struct("n", "at")).alias("gram")).select("segment", "gram")
-    seeds = via_table(known.where(F.col("n") <= RARE_SHARE * n_docs).select("segment", "gram")
-                      .unionAll(rarest).distinct(), "decontaminate-seeds")
+    passages = via_table(_hits(slim, bloom, n, shape["words"], min(MIN_SEEDS, shape["fewest"])), "decontaminate-hits")
+
+    found = passages.select(F.explode("grams").alias("gram")).distinct()
+    seeds = via_table(segments.select("segment", F.explode(F.array_distinct("grams")).alias("gram")).join(found, "gram"),
+                      "decontaminate-seeds")
     need = seeds.groupBy("segment").agg(F.least(F.lit(MIN_SEEDS), F.count("*")).alias("need"))
 
-    passages = hits.where("passage is not null")
     met = (passages.select("passage", F.explode("grams").alias("gram")).join(seeds, "gram")
            .groupBy("passage", "segment").agg(F.count("*").alias("met")))
     pairs = met.join(via_table(need, "decontaminate-need"), "segment").where("met >= need")

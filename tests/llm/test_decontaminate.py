@@ -78,6 +78,23 @@ def test_edited_copies_and_copies_in_most_documents(make_docs, items):
     assert all(got[i]["score"] == 1 and (got[i]["first_word"], got[i]["end_word"]) == (30, 70) for i in range(1, 200, 4))
 
 
+@pytest.mark.parametrize("verbatim, others", [(1, 300), (50, 50), (50, 1000), (400, 1000)])
+def test_edited_copies_of_frequent_items(make_docs, items, verbatim, others):
+    """Copies with every fourth or fifth word changed are found however often the item itself occurs."""
+    rng = random.Random(verbatim + others)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    item = [word() for _ in range(40)]
+    edited = {f: [word() if k % f == f - 1 else w for k, w in enumerate(item)] for f in (4, 5)}
+    copies = [item] * verbatim + [edited[4], edited[5]]
+    rows = [(i, " ".join([word() for _ in range(20)] + c + [word() for _ in range(20)])) for i, c in enumerate(copies)]
+    rows += [(len(copies) + i, " ".join(word() for _ in range(60))) for i in range(others)]
+    docs, bench = make_docs(rows), items([(7, " ".join(item))])
+    got = {r["doc_id"]: r["score"] for r in D.contaminated(docs, bench).collect()}
+    assert set(got) == set(range(len(copies)))
+    assert [got[verbatim + k] for k in range(2)] == pytest.approx([plain_score(item, c) for c in (edited[4], edited[5])])
+    assert {r["doc_id"] for r in D.drop_contaminated(docs, bench).collect()} == {r[0] for r in rows[len(copies):]}
+
+
 def test_edges(spark, make_docs, items):
     long_item = " ".join(f"q{i}" for i in range(1000))
     part = " ".join(f"q{i}" for i in range(300, 700))
