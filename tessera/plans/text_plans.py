@@ -89,6 +89,19 @@ def text_ids_padded(spark, d):
                       F.size("ids").cast("bigint").alias("n_known"))
 
 
+@register("text_ids", "X4", sql=f"""
+WITH {_KTOK_SQL},
+seq AS (SELECT r.doc_id, list(v.id ORDER BY r.pos) AS ids FROM rows r JOIN vocab v ON r.word = v.word GROUP BY r.doc_id)
+SELECT d.doc_id, array_to_string(coalesce(s.ids, []), ' ') AS ids, CAST(len(coalesce(s.ids, [])) AS BIGINT) AS n_ids
+FROM documents d LEFT JOIN seq s ON d.doc_id = s.doc_id
+""")
+def text_ids(spark, d):
+    """Whole id sequences and their lengths: nothing is cut, and padding does not multiply the output."""
+    docs = keras_docs(spark, d)
+    ids = X.texts_to_ids(docs, "doc_id", "tokens", X.build_vocabulary(docs, "doc_id", "tokens"))
+    return ids.select("doc_id", F.array_join("ids", " ").alias("ids"), F.size("ids").cast("bigint").alias("n_ids"))
+
+
 @register("hashed_word_ids", "X5", sql=f"""
 WITH {_KTOK_SQL}
 SELECT doc_id, array_to_string(list_transform(toks,
