@@ -219,3 +219,12 @@ def flattened_doc_vectors(spark, d):
     part = lambda k: F.round(F.aggregate(F.slice("vector", k * DIM + 1, DIM), F.lit(0.0), lambda a, x: a + x), 4)
     return flat.select("doc_id", F.size("vector").cast("bigint").alias("n_cells"),
                        *[part(k).alias(f"sum_{k}") for k in range(3)])
+
+
+@register("flattened_doc_vectors_whole", "C13")
+def flattened_doc_vectors_whole(spark, d):
+    """Every token of every document: (doc_id, pos, vector)."""
+    docs = keras_docs(spark, d)
+    vocab = cut_lineage(X.build_vocabulary(docs, "doc_id", "tokens"))
+    vecs = cut_lineage(_pretrained(spark, d, vocab).join(vocab.select("word", "id"), "word").select("word", "id", "vector"))
+    return X.token_vectors(X.token_rows(docs, "doc_id", "tokens"), vecs, DIM)

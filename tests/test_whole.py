@@ -26,3 +26,30 @@ def test_whole_id_sequences(spark):
         ids = r["ids"].split()
         assert len(ids) == r["n_ids"] == tokens[i]
         assert ids[:200] == [x for x in cut[i] if x != "0"]
+
+
+def test_whole_flattened_vectors(spark):
+    """Each token of each document has the vector that DuckDB finds for its word, at its place."""
+    from tests.oracle_compare import duck
+    from tessera.plans.text_plans import _KTOK_SQL
+    want = {(a, b): c for a, b, c in duck(SF).execute(f"""
+        WITH {_KTOK_SQL}
+        SELECT r.doc_id, r.pos, e.embedding FROM rows r JOIN vocab v ON r.word = v.word
+        LEFT JOIN embeddings e ON v.id = e.vec_id * 3""").fetchall()}
+    got = REG["flattened_doc_vectors_whole"].fn(spark, SF)
+    held = got.withColumn("vector", F.when(F.exists("vector", lambda x: x != 0) | (F.size("vector") != 64), F.col("vector")))
+    rows = held.collect()
+    assert len(rows) == len(want) and max(r["pos"] for r in rows) > 200
+    for r in rows:
+        v = want[r["doc_id"], r["pos"]]
+        assert r["vector"] == (list(v) if v is not None else None)
+
+
+@pytest.mark.parametrize("head", [1, 20])
+def test_token_vectors_of_rare_words(spark, monkeypatch, head):
+    monkeypatch.setattr(X, "HEAD_WORDS", head)
+    docs = spark.createDataFrame([(1, ["b", "x", "a", "c", "b"]), (2, [])], "doc_id long, tokens array<string>")
+    vecs = spark.createDataFrame([("a", 1, [1.0, -2.0]), ("b", 2, [3.0, 4.0])], "word string, id long, vector array<float>")
+    got = X.token_vectors(X.token_rows(docs, "doc_id", "tokens"), vecs, 2).orderBy("pos").collect()
+    assert [(r["doc_id"], r["pos"], r["vector"]) for r in got] == [
+        (1, 0, [3.0, 4.0]), (1, 1, [0.0, 0.0]), (1, 2, [1.0, -2.0]), (1, 3, [0.0, 0.0]), (1, 4, [3.0, 4.0])]
