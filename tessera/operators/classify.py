@@ -14,6 +14,8 @@ from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.operators.neighbors import nearest_neighbors
 from tessera.session import cut_lineage
@@ -153,6 +155,93 @@ def discriminant_predict(df: DataFrame, model: dict, id_col: str) -> DataFrame:
     return df.select(id_col, best["cls"].alias("prediction"))
 
 
+def vector_discriminant_fit(df: DataFrame, label: str, vec_col: str, quadratic: bool = False) -> dict:
+    """C7 / C8 over a whole vector column, however many slots it has.
+
+    Each task sums the moments of its rows by class, centred on its own means;
+    they are merged by class, so the driver gets one matrix per class.  Rows
+    with a null label or vector are left out.  A covariance without an inverse
+    (a class of no more rows than slots) counts on its own span: inverse and
+    determinant leave out the directions without variance.
+    """
+    import pyarrow as pa
+
+    rows = df.select(label, vec_col).dropna()
+    kind = rows.schema[label].dataType
+    schema = T.StructType([T.StructField("label", kind), T.StructField("n", T.LongType()),
+                           T.StructField("mean", T.ArrayType(T.DoubleType())),
+                           T.StructField("scatter", T.ArrayType(T.DoubleType()))])
+
+    def merge(a, b):
+        n, gap = a[0] + b[0], b[1] - a[1]
+        return n, a[1] + gap * (b[0] / n), a[2] + b[2] + np.outer(gap, gap) * (a[0] * b[0] / n)
+
+    def table(got: dict, arrow):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(got), arrow), pa.array([n for n, _, _ in got.values()], pa.int64()),
+             pa.array([m for _, m, _ in got.values()], pa.list_(pa.float64())),
+             pa.array([s.ravel() for _, _, s in got.values()], pa.list_(pa.float64()))], names=schema.names)
+
+    def moments(batches):
+        got, arrow = {}, None
+        for batch in batches:
+            arrow = batch.column(0).type
+            if not batch.num_rows:
+                continue
+            x = batch.column(1).flatten().to_numpy().astype(float).reshape(batch.num_rows, -1)
+            labels = np.array(batch.column(0).to_pylist(), object)
+            for c in set(labels.tolist()):
+                part = x[labels == c]
+                mean = part.mean(0)
+                new = (len(part), mean, (part - mean).T @ (part - mean))
+                got[c] = merge(got[c], new) if c in got else new
+        if got:
+            yield table(got, arrow)
+
+    def merged(of_class: pa.Table) -> pa.Table:
+        total = None
+        for r in of_class.to_pylist():
+            m = np.array(r["mean"])
+            new = (r["n"], m, np.array(r["scatter"]).reshape(len(m), len(m)))
+            total = new if total is None else merge(total, new)
+        return pa.Table.from_batches([table({of_class.column("label")[0].as_py(): total}, of_class.schema.field("label").type)])
+
+    mom = {r["label"]: (r["n"], np.array(r["mean"]), np.array(r["scatter"]).reshape(len(r["mean"]), -1))
+           for r in rows.mapInArrow(moments, schema).groupBy("label").applyInArrow(merged, schema).collect()}
+    total = sum(n for n, _, _ in mom.values())
+    pooled = sum(s for _, _, s in mom.values()) / max(total - len(mom), 1)
+    params = {}
+    for c, (n, m, s) in mom.items():
+        size, axes = np.linalg.eigh(s / max(n - 1, 1) if quadratic else pooled)
+        some = size > 1e-10 * size[-1]
+        inv = (axes[:, some] / size[some]) @ axes[:, some].T
+        params[c] = (n / total, m, inv, float(np.log(size[some]).sum()) if quadratic else 0.0)
+    return {"params": params, "label_type": kind}
+
+
+def vector_discriminant_predict(df: DataFrame, models: dict[str, dict], id_col: str, vec_col: str) -> DataFrame:
+    """The id and a column for each named model: the class of the largest score, of equal ones the larger; null vectors are left out."""
+    import pyarrow as pa
+
+    rows = df.select(id_col, vec_col).dropna(subset=[vec_col])
+    schema = T.StructType([rows.schema[id_col], *[T.StructField(k, m["label_type"]) for k, m in models.items()]])
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(1).flatten().to_numpy().astype(float).reshape(batch.num_rows, -1)
+            out = [batch.column(0)]
+            for model in models.values():
+                classes = sorted(model["params"], reverse=True)
+                score = np.stack([math.log(prior) - 0.5 * logdet - 0.5 * np.einsum("ij,ij->i", (x - m) @ inv, x - m)
+                                  for prior, m, inv, logdet in map(model["params"].get, classes)])
+                out.append(pa.array([classes[i] for i in score.argmax(0)], to_arrow_type(model["label_type"])))
+            yield pa.RecordBatch.from_arrays(out, names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 # ------------------------------------------------------------ ensembles
 
 

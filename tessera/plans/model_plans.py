@@ -326,6 +326,32 @@ def clf_gaussian_nb(spark, d):
     return C.gaussian_nb_predict(e, model, "label", cols, "vec_id").select("vec_id", "prediction")
 
 
+SLOTS = 64
+
+
+@register("clf_gaussian_nb_whole", "C4", sql="""
+WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS i, label FROM embeddings),
+m AS (SELECT label AS cls, i, avg(x) AS mu, var_pop(x) AS v FROM e GROUP BY label, i),
+p AS (SELECT label AS cls, count(*) / (SELECT count(*) FROM embeddings) AS prior FROM embeddings GROUP BY label),
+s AS (SELECT e.vec_id, m.cls, sum(-0.5 * ln(2 * pi() * v) - (x - mu) ^ 2 / (2 * v)) AS ll
+      FROM e JOIN m ON e.i = m.i GROUP BY e.vec_id, m.cls)
+SELECT vec_id, arg_max(s.cls, ll + ln(prior)) AS prediction FROM s JOIN p ON s.cls = p.cls GROUP BY vec_id
+""")
+def clf_gaussian_nb_whole(spark, d):
+    cols = [f"x{i + 1}" for i in range(SLOTS)]
+    e = Tables(spark, d).embeddings.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c)
+                                                                for i, c in enumerate(cols)])
+    model = C.gaussian_nb_fit(e, "label", cols)
+    return C.gaussian_nb_predict(e, model, "label", cols, "vec_id").select("vec_id", "prediction")
+
+
+@register("clf_discriminant_whole", "C7 C8")
+def clf_discriminant_whole(spark, d):
+    e = Tables(spark, d).embeddings.select("vec_id", "label", "embedding")
+    models = {name: C.vector_discriminant_fit(e, "label", "embedding", quadratic=name == "qda") for name in ("lda", "qda")}
+    return C.vector_discriminant_predict(e, models, "vec_id", "embedding")
+
+
 # Two slots, so that the 2 x 2 inverse can be written out.
 _DISC_SQL = """
 e AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),

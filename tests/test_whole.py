@@ -53,3 +53,38 @@ def test_token_vectors_of_rare_words(spark, monkeypatch, head):
     got = X.token_vectors(X.token_rows(docs, "doc_id", "tokens"), vecs, 2).orderBy("pos").collect()
     assert [(r["doc_id"], r["pos"], r["vector"]) for r in got] == [
         (1, 0, [3.0, 4.0]), (1, 1, [0.0, 0.0]), (1, 2, [1.0, -2.0]), (1, 3, [0.0, 0.0]), (1, 4, [3.0, 4.0])]
+
+
+def test_whole_vector_discriminants(spark):
+    """LDA and QDA on all 64 slots against numpy."""
+    e = spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()
+    x, y = np.array([r["embedding"] for r in e], float), np.array([r["label"] for r in e])
+    classes = sorted(set(y.tolist()))
+    mean = {c: x[y == c].mean(0) for c in classes}
+    pooled = sum(np.cov(x[y == c].T) * ((y == c).sum() - 1) for c in classes) / (len(y) - len(classes))
+
+    lda = np.stack([np.log((y == c).mean()) - 0.5 * np.einsum("ij,jk,ik->i", x - mean[c], np.linalg.inv(pooled), x - mean[c])
+                    for c in classes])
+
+    def on_span(c):
+        """By the singular values of the centred rows: most classes have fewer rows than slots."""
+        of = x[y == c] - mean[c]
+        _, s, v = np.linalg.svd(of, full_matrices=False)
+        var, v = (s ** 2 / (len(of) - 1))[s > 1e-5 * s[0]], v[s > 1e-5 * s[0]]
+        return np.log(len(of) / len(y)) - 0.5 * np.log(var).sum() - 0.5 * (((x - mean[c]) @ v.T) ** 2 / var).sum(1)
+
+    qda = np.stack([on_span(c) for c in classes])
+    got = {r["vec_id"]: r for r in REG["clf_discriminant_whole"].fn(spark, SF).collect()}
+    assert len(got) == len(e) and x.shape[1] == 64
+    for name, score in (("lda", lda), ("qda", qda)):
+        assert [got[r["vec_id"]][name] for r in e] == [classes[k] for k in score.argmax(0)]
+    # two classes of more rows than slots: the usual formula
+    y2 = (y > 4).astype(int)
+    two = spark.createDataFrame([(i, int(c), v.tolist()) for i, (c, v) in enumerate(zip(y2, x))],
+                                "id long, label int, v array<double>").repartition(5)
+    m = C.vector_discriminant_fit(two, "label", "v", quadratic=True)
+    full = np.stack([np.log(len(p) / len(y)) - 0.5 * np.linalg.slogdet(np.cov(p.T))[1]
+                     - 0.5 * np.einsum("ij,jk,ik->i", x - p.mean(0), np.linalg.inv(np.cov(p.T)), x - p.mean(0))
+                     for p in (x[y2 == 0], x[y2 == 1])])
+    pred = {r["id"]: r["qda"] for r in C.vector_discriminant_predict(two, {"qda": m}, "id", "v").collect()}
+    assert [pred[i] for i in range(len(y))] == full.argmax(0).tolist()
