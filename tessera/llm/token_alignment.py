@@ -27,6 +27,7 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +59,16 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+#: How a byte-level file cuts a text before merging, when it does it in the usual way (a fixed value).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class ByteTokens:
-    """A byte-level BPE file: ids of texts, and the bytes of each id."""
+    """A byte-level BPE file: ids of texts, and the bytes of each id.
+
+    A file of the usual kind, whose ids are in the order of its merges and whose entries all come out
+    of the merges, gives the same ids by ranks, which takes a fifth of the time.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -68,14 +77,33 @@ class ByteTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            file = json.load(f)
+        vocabulary = file["model"]["vocab"]
         alphabet = _byte_alphabet()
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
-        for entry, i in vocabulary.items():
-            if all(c in alphabet for c in entry):
-                self.bytes[i] = bytes(alphabet[c] for c in entry)
+        own = {e: i for e, i in vocabulary.items() if all(c in alphabet for c in e)}
+        for entry, i in own.items():
+            self.bytes[i] = bytes(alphabet[c] for c in entry)
+        self.ranks = None
+        merges = [m if isinstance(m, str) else " ".join(m) for m in file["model"]["merges"]]
+        usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        added = {t["content"] for t in file.get("added_tokens", [])}
+        cut = file["pre_tokenizer"] or {}
+        if (usual.items() <= cut.items() and file["normalizer"] is None and not file["model"].get("ignore_merges")
+                and [own.get(m.replace(" ", "")) for m in merges] == list(range(256, 256 + len(merges)))
+                and all([x.id for x in self.tokenizer.model.tokenize(e)] == [i] for e, i in own.items() if e not in added)):
+            import tiktoken
+
+            ranks = {self.bytes[i]: i for e, i in own.items() if e not in added}
+            self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, texts: list[str]) -> list[list[int]]:
+        if self.ranks:
+            return [self.ranks.encode_ordinary(" " + t) for t in texts]
+        return self.file_ids(texts)
+
+    def file_ids(self, texts: list[str]) -> list[list[int]]:
+        """By the file's own library."""
         return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
@@ -170,6 +198,11 @@ class Aligner:
         return ["".join(line[i:j])[:-1] for i, j in zip(cuts, cuts[1:])]
 
 
+@lru_cache(maxsize=2)
+def _aligner(path_a: str, path_b: str) -> Aligner:
+    return Aligner(path_a, path_b)
+
+
 def _per_text(flags: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     sums = np.concatenate([[0], np.cumsum(flags)])
     return np.diff(sums[np.cumsum(np.concatenate([[0], sizes]))])
@@ -197,7 +230,7 @@ def align_texts(df: DataFrame, text_col: str, keep: list[str], path_a: str, path
                          ("groups" if with_groups else "groups_sha256", T.StringType()), *_PAIRS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(path_a, path_b)
+        aligner = _aligner(path_a, path_b)
         for batch in batches:
             for at, n in text_slices(batch, text_col):
                 part = batch.slice(at, n)

@@ -66,6 +66,15 @@ def test_texts_of_all_kinds(make_docs, sides, head):
     assert [got[i] for i in range(len(texts))] == brute(texts, *sides)
 
 
+def test_ranks_give_the_ids_of_the_file(sides, documents):
+    """Every code point in four surroundings, all short texts of the table, long runs."""
+    assert sides[0].ranks
+    points = [chr(c) for c in [*range(0x3000), *range(0x3000, 0xD800, 7), *range(0xE000, 0x110000, 61)]]
+    texts = [shape.replace("%s", c) for c in points for shape in ("a%sb 1%s2 .%s, %s%s \n%s x%s", "%s %sa%s1%s.%s'%ss")]
+    texts += [r["text"] for r in documents.collect() if r["text"]][:300] + [c * 50_000 for c in "x ^\n"]
+    assert sides[0].ids(texts) == sides[0].file_ids(texts)
+
+
 def test_table(documents, sides):
     rows = documents.select("doc_id", "text").collect()
     got = {r[0]: tuple(r[1:]) for r in align_documents(documents, head=500).collect()}
