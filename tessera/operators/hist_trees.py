@@ -33,6 +33,8 @@ from tessera.session import cut_lineage, scratch_dir
 
 #: Rounds of boosting whose trees are kept apart from the stored predictions.
 PENDING = 10
+#: Levels whose histograms hang on the earlier ones before they are stored.
+CUT_EVERY = 5
 #: Segments that ``fit_segments`` accepts, and nodes of all trees that ``grow`` keeps on the driver.
 MAX_SEGMENTS = 1000
 MAX_NODES = 10_000_000
@@ -227,8 +229,8 @@ def _best(hist: np.ndarray, spec: Spec, node: int) -> tuple[int, int, float]:
 _PARTIAL = "tree int, parent int, child int, hist binary"
 _NODES = ("tree int, node int, feature int, cut int, gain double, total array<double>, left array<double>, "
           "hist binary")
-#: (arrow batch, bins) -> for each tree that takes rows of the batch: (tree, rows, weights, targets)
-Members = Callable[[pa.RecordBatch, np.ndarray], Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]
+#: (arrow batch, bins, wanted trees) -> for each of them: (tree, rows, weights, targets)
+Members = Callable[[pa.RecordBatch, np.ndarray, dict], Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]
 
 
 def _partials(table: DataFrame, trees: Trees, open_nodes: dict[int, dict[int, int]], members: Members, n_bins: int,
@@ -245,9 +247,9 @@ def _partials(table: DataFrame, trees: Trees, open_nodes: dict[int, dict[int, in
         for batch in batches:
             x = _columns(batch, "b", np.int16)
             n_features = x.shape[1]
-            for t, rows, w, y in members(batch, x):
-                nodes = open_nodes.get(t)
-                if not nodes or not len(rows):
+            for t, rows, w, y in members(batch, x, open_nodes):
+                nodes = open_nodes[t]
+                if not len(rows):
                     continue
                 slot = np.full(len(trees.feature[t]), -1)
                 slot[list(nodes)] = np.arange(len(nodes))
@@ -375,6 +377,8 @@ def grow(table: DataFrame, specs: list[Spec], depths: list[int], members: Member
         deeper = _lookup({t: depths[t] for t in sorted(open_nodes)})
         kept = reduce(DataFrame.unionByName, found).where((F.col("feature") >= 0) & (F.try_element_at(deeper, "tree") > level + 1)) \
             .select("tree", F.col("node").alias("parent"), F.lit(-1).alias("child"), "hist")
+        if len(found) > 1 or level % CUT_EVERY == CUT_EVERY - 1:
+            kept = _stored(kept, "histograms")
     for df in held:
         df.unpersist()
     return trees, totals
@@ -384,14 +388,15 @@ def grow(table: DataFrame, specs: list[Spec], depths: list[int], members: Member
 
 
 def _forest_members(specs: list[Spec]) -> Members:
-    def members(batch: pa.RecordBatch, x: np.ndarray):
+    def members(batch: pa.RecordBatch, x: np.ndarray, wanted: dict):
         y = _columns(batch, "y", np.float64)
         keys = batch.column("key").to_numpy(zero_copy_only=False)
         names = batch.schema.names
         segment = batch.column("segment").to_numpy(zero_copy_only=False) if "segment" in names else None
         fold = batch.column("fold").to_numpy(zero_copy_only=False) if "fold" in names else None
         of_segment: dict[int | None, np.ndarray] = {}
-        for t, s in enumerate(specs):
+        for t in wanted:
+            s = specs[t]
             if s.segment not in of_segment:
                 of_segment[s.segment] = np.arange(len(x)) if s.segment is None else np.flatnonzero(segment == s.segment)
             rows = of_segment[s.segment]
@@ -495,8 +500,9 @@ def fit_segments(df: DataFrame, features: list[str], label: str, key: str, segme
 def forest_grid(df: DataFrame, features: list[str], label: str, key: str, fold: Column, n_folds: int,
                 depths: list[int], min_leafs: list[int], sizes: list[int] | None = None,
                 max_features: list[int | None] | None = None, classes: list | None = None, seed: int = 1,
-                bins: int = 64) -> DataFrame:
-    """(n_trees, max_depth, min_leaf, max_features, n, mse, r2 or accuracy): every setting over all folds.
+                bins: int = 64, folds: list[int] | None = None) -> DataFrame:
+    """(n_trees, max_depth, min_leaf, max_features, n, mse, r2 or accuracy): every setting over all folds
+    (or those listed, [0] being one holdout).  The squared error of classes is that of their shares.
 
     Only leaf size, features per node and fold are trees of their own; depths and sizes are read off the same
     trees.  ``sizes`` None: single trees on all rows; else forests of that many bootstrapped trees.  Costs
@@ -507,7 +513,7 @@ def forest_grid(df: DataFrame, features: list[str], label: str, key: str, fold:
     table = binned_table(df, binning, F.col(key), targets, fold=fold.cast("int"))
     per, boot = (max(sizes), True) if sizes else (1, False)
     tried = max_features or [None]
-    kinds = [(leaf, m, f) for leaf in min_leafs for m in tried for f in range(n_folds)]
+    kinds = [(leaf, m, f) for leaf in min_leafs for m in tried for f in (range(n_folds) if folds is None else folds)]
     specs = [Spec(leaf, m, seed * 1000 + t, boot, None, f) for leaf, m, f in kinds for t in range(per)]
     trees, _ = grow(table, specs, [max(depths)] * len(specs), _forest_members(specs), binning.size, len(targets))
     settings = [(n, d, leaf, m) for leaf in min_leafs for m in tried for d in depths for n in (sizes or [1])]
@@ -649,9 +655,10 @@ def boost(df: DataFrame, features: list[str], label: str, settings: list[BoostSe
         slim = Boosted(binning, settings, model.base, [r[s:] for r, s in zip(model.rounds, stored)], [])
         zero, wanted = [0] * len(settings), list(live)
 
-        def members(batch, x, own=slim, wanted=wanted, zero=zero):
+        def members(batch, x, trees, own=slim, wanted=wanted, zero=zero):
             rows = np.flatnonzero(~batch.column("hold").to_numpy(zero_copy_only=False))
-            for i, (m, r) in enumerate(residuals(own, batch, x, wanted, zero)):
+            here = list(trees)
+            for i, (m, r) in zip(here, residuals(own, batch, x, [wanted[i] for i in here], zero)):
                 scaled = np.where(r > 0, own.settings[m].eta * r, r)
                 yield i, rows, np.ones(len(rows)), scaled[rows, None]
 

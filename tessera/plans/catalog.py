@@ -58,5 +58,6 @@ def load_all() -> dict[str, Entry]:
         text_plans,
         model_prep_plans,
         model_plans,
+        tree_plans,
     )
     return REGISTRY
