@@ -59,5 +59,6 @@ def load_all() -> dict[str, Entry]:
         model_prep_plans,
         model_plans,
         tree_plans,
+        sweep_plans,
     )
     return REGISTRY
