@@ -48,8 +48,8 @@ HEADLINE = [
     "reg_ridge_sweep",
     "reg_tree_models",
     "reg_linear_models",
-    "clf_gaussian_nb",
-    "clf_discriminant",
+    "clf_gaussian_nb_whole",
+    "clf_discriminant_whole",
     "clf_models_vote",
     "rec_als_implicit",
     "kmeans_elbow",

@@ -306,26 +306,6 @@ def undersample_sweep(spark, d):
     return V.undersample_sweep(tr, te, "id", "label", 0.0, [0.02, 0.05, 0.2, 0.5, 0.8], fit, positive=1.0)
 
 
-@register("clf_gaussian_nb", "C4", sql="""
-WITH e AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x1, CAST(embedding[2] AS DOUBLE) AS x2,
-                  CAST(embedding[3] AS DOUBLE) AS x3 FROM embeddings),
-m AS (SELECT label AS cls, count(*) / (SELECT count(*) FROM e) AS prior, avg(x1) AS m1, var_pop(x1) AS v1,
-             avg(x2) AS m2, var_pop(x2) AS v2, avg(x3) AS m3, var_pop(x3) AS v3 FROM e GROUP BY label),
-s AS (SELECT e.vec_id, m.cls,
-             ln(prior) - 0.5 * ln(2 * pi() * v1) - (x1 - m1) ^ 2 / (2 * v1)
-                       - 0.5 * ln(2 * pi() * v2) - (x2 - m2) ^ 2 / (2 * v2)
-                       - 0.5 * ln(2 * pi() * v3) - (x3 - m3) ^ 2 / (2 * v3) AS ll
-      FROM e, m)
-SELECT vec_id, arg_max(cls, ll) AS prediction FROM s GROUP BY vec_id
-""")
-def clf_gaussian_nb(spark, d):
-    e = Tables(spark, d).embeddings.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"x{i+1}")
-                                                                for i in range(3)])
-    cols = ["x1", "x2", "x3"]
-    model = C.gaussian_nb_fit(e, "label", cols)
-    return C.gaussian_nb_predict(e, model, "label", cols, "vec_id").select("vec_id", "prediction")
-
-
 SLOTS = 64
 
 
@@ -352,35 +332,6 @@ def clf_discriminant_whole(spark, d):
     return C.vector_discriminant_predict(e, models, "vec_id", "embedding")
 
 
-# Two slots, so that the 2 x 2 inverse can be written out.
-_DISC_SQL = """
-e AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
-m AS (SELECT label, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS c
-      FROM e GROUP BY label),
-w AS (SELECT sum(n) AS t, sum(a * (n - 1)) / (sum(n) - count(*)) AS a, sum(b * (n - 1)) / (sum(n) - count(*)) AS b,
-             sum(c * (n - 1)) / (sum(n) - count(*)) AS c FROM m),
-s AS (SELECT e.vec_id, m.label AS cls,
-             ln(n / t) - 0.5 * (w.c * (x - mx) ^ 2 - 2 * w.b * (x - mx) * (y - my) + w.a * (y - my) ^ 2)
-                       / (w.a * w.c - w.b * w.b) AS l,
-             ln(n / t) - 0.5 * ln(m.a * m.c - m.b * m.b)
-                       - 0.5 * (m.c * (x - mx) ^ 2 - 2 * m.b * (x - mx) * (y - my) + m.a * (y - my) ^ 2)
-                       / (m.a * m.c - m.b * m.b) AS q
-      FROM e, m, w)
-"""
-
-
-@register("clf_discriminant", "C7 C8", sql=f"""
-WITH {_DISC_SQL} SELECT vec_id, arg_max(cls, l) AS lda, arg_max(cls, q) AS qda FROM s GROUP BY vec_id
-""")
-def clf_discriminant(spark, d):
-    e = Tables(spark, d).embeddings.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"x{i+1}")
-                                                                for i in range(2)])
-    cols = ["x1", "x2"]
-    lda = C.discriminant_predict(e, C.discriminant_fit(e, "label", cols), "vec_id").withColumnRenamed("prediction", "lda")
-    qda = C.discriminant_predict(e, C.discriminant_fit(e, "label", cols, quadratic=True), "vec_id").withColumnRenamed("prediction", "qda")
-    return lda.join(qda, "vec_id")
-
-
 @register("clf_knn", "C9", sql=f"""
 WITH e AS (SELECT vec_id, label, embedding AS v, {unit_sql('vec_id')} < 0.7 AS is_train FROM embeddings),
 tr AS (SELECT * FROM e WHERE is_train), te AS (SELECT * FROM e WHERE NOT is_train),

@@ -71,22 +71,22 @@ def max_length(spark, d):
     return X.max_length(keras_docs(spark, d), "tokens").select(F.col("max_length").cast("bigint").alias("max_length"))
 
 
-MAXLEN = 200
-
-
 @register("text_ids_padded", "X4", sql=f"""
 WITH {_KTOK_SQL},
 seq AS (SELECT r.doc_id, list(v.id ORDER BY r.pos) AS ids FROM rows r JOIN vocab v ON r.word = v.word GROUP BY r.doc_id),
-every AS (SELECT d.doc_id, coalesce(s.ids, []) AS ids FROM documents d LEFT JOIN seq s ON d.doc_id = s.doc_id)
-SELECT doc_id, array_to_string(list_concat(ids[1:{MAXLEN}],
-           list_transform(range(greatest(0, {MAXLEN} - len(ids))), lambda x: 0)), ' ') AS ids, len(ids) AS n_known
-FROM every
+every AS (SELECT d.doc_id, coalesce(s.ids, []) AS ids FROM documents d LEFT JOIN seq s ON d.doc_id = s.doc_id),
+sized AS (SELECT *, CAST(2 ** ceil(log2(greatest(len(ids), 1))) AS BIGINT) AS width FROM every)
+SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(width - len(ids)), lambda x: 0)), ' ') AS ids,
+       len(ids) AS n_known, width
+FROM sized
 """)
 def text_ids_padded(spark, d):
+    """Whole sequences, each padded to the next power of two, so that nothing is cut."""
     docs = keras_docs(spark, d)
-    ids = X.texts_to_ids(docs, "doc_id", "tokens", X.build_vocabulary(docs, "doc_id", "tokens"))
-    return ids.select("doc_id", F.array_join(X.pad_post("ids", MAXLEN), " ").alias("ids"),
-                      F.size("ids").cast("bigint").alias("n_known"))
+    ids = X.texts_to_ids(docs, "doc_id", "tokens", cut_lineage(X.build_vocabulary(docs, "doc_id", "tokens")))
+    width = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.size("ids"), F.lit(1))))).cast("bigint")
+    ids = ids.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_known"), width.alias("width"))
+    return ids.withColumn("ids", F.array_join(X.pad_post("ids", F.col("width")), " "))
 
 
 @register("text_ids", "X4", sql=f"""
@@ -98,7 +98,7 @@ FROM documents d LEFT JOIN seq s ON d.doc_id = s.doc_id
 def text_ids(spark, d):
     """Whole id sequences and their lengths: nothing is cut, and padding does not multiply the output."""
     docs = keras_docs(spark, d)
-    ids = X.texts_to_ids(docs, "doc_id", "tokens", X.build_vocabulary(docs, "doc_id", "tokens"))
+    ids = X.texts_to_ids(docs, "doc_id", "tokens", cut_lineage(X.build_vocabulary(docs, "doc_id", "tokens")))
     return ids.select("doc_id", F.array_join("ids", " ").alias("ids"), F.size("ids").cast("bigint").alias("n_ids"))
 
 
@@ -204,21 +204,21 @@ def pooled_doc_vectors(spark, d):
 
 @register("flattened_doc_vectors", "C13", sql=f"""
 WITH {_KTOK_SQL},
-ids AS (SELECT r.doc_id, r.pos, v.id FROM rows r JOIN vocab v ON r.word = v.word WHERE r.pos < 3),
-cells AS (SELECT i.doc_id, i.pos, e.embedding AS v FROM ids i JOIN embeddings e ON i.id = e.vec_id * 3),
-slots AS (SELECT d.doc_id, p.pos FROM documents d, (SELECT unnest(range(3)) AS pos) p),
-flat AS (SELECT s.doc_id, list(coalesce(round(list_sum(CAST(c.v AS DOUBLE[])), 4), 0.0) ORDER BY s.pos) AS sums
-         FROM slots s LEFT JOIN cells c ON s.doc_id = c.doc_id AND s.pos = c.pos GROUP BY s.doc_id)
-SELECT doc_id, CAST({3 * DIM} AS BIGINT) AS n_cells, sums[1] AS sum_0, sums[2] AS sum_1, sums[3] AS sum_2 FROM flat
+sums AS (SELECT vec_id * 3 AS id, list_sum(CAST(embedding AS DOUBLE[])) AS s FROM embeddings),
+got AS (SELECT r.doc_id, count(*) AS n, sum(coalesce(s, 0.0)) AS total, sum((r.pos % 7) * coalesce(s, 0.0)) AS placed
+        FROM rows r JOIN vocab v ON r.word = v.word LEFT JOIN sums ON sums.id = v.id GROUP BY r.doc_id)
+SELECT d.doc_id, {DIM} * coalesce(n, 0) AS n_cells, round(coalesce(total, 0), 3) AS total, round(coalesce(placed, 0), 3) AS placed
+FROM documents d LEFT JOIN got ON d.doc_id = got.doc_id
 """)
 def flattened_doc_vectors(spark, d):
-    docs = keras_docs(spark, d)
-    vocab = cut_lineage(X.build_vocabulary(docs, "doc_id", "tokens"))
-    vecs, _ = X.vocab_vectors(vocab, _pretrained(spark, d, vocab), DIM)
-    flat = X.flattened_vectors(X.texts_to_ids(docs, "doc_id", "tokens", vocab), vecs, DIM, 3)
-    part = lambda k: F.round(F.aggregate(F.slice("vector", k * DIM + 1, DIM), F.lit(0.0), lambda a, x: a + x), 4)
-    return flat.select("doc_id", F.size("vector").cast("bigint").alias("n_cells"),
-                       *[part(k).alias(f"sum_{k}") for k in range(3)])
+    """Of every whole flattened vector: its length, its sum, and its sum weighted by the token's place."""
+    whole = flattened_doc_vectors_whole(spark, d)
+    cell = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)
+    per = whole.select("doc_id", "pos", F.size("vector").alias("n"), cell.alias("s")).groupBy("doc_id").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("total"), F.sum(F.col("s") * (F.col("pos") % 7)).alias("placed"))
+    zero = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 3).alias(c)
+    return Tables(spark, d).documents.select("doc_id").join(per, "doc_id", "left").select(
+        "doc_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_cells"), zero("total"), zero("placed"))
 
 
 @register("flattened_doc_vectors_whole", "C13")

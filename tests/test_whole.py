@@ -20,12 +20,22 @@ def test_whole_id_sequences(spark):
     """No document loses its tail: as many ids as words, equal words with equal ids."""
     tokens = {r["doc_id"]: r["n_keras"] for r in REG["text_tokens"].fn(spark, SF).collect()}
     got = {r["doc_id"]: r for r in REG["text_ids"].fn(spark, SF).collect()}
-    cut = {r["doc_id"]: r["ids"].split(" ") for r in REG["text_ids_padded"].fn(spark, SF).collect()}
+    padded = {r["doc_id"]: r["ids"].split(" ") for r in REG["text_ids_padded"].fn(spark, SF).collect()}
     assert set(got) == set(tokens) and max(tokens.values()) > 200
     for i, r in got.items():
         ids = r["ids"].split()
         assert len(ids) == r["n_ids"] == tokens[i]
-        assert ids[:200] == [x for x in cut[i] if x != "0"]
+        assert ids == [x for x in padded[i] if x != "0"] and len(padded[i]).bit_count() == 1
+
+
+@pytest.mark.parametrize("head", [0, 2, 1000])
+def test_rare_words_are_looked_up_once_a_document(spark, monkeypatch, head):
+    monkeypatch.setattr(X, "HEAD_IDS", head)
+    docs = spark.createDataFrame([(1, ["b", "x", "a", "c", "b", "d", "c"]), (2, []), (3, None), (1, ["d", "d"]), (4, ["x", "x"]), (5, ["a"])],
+                                 "doc_id long, tokens array<string>").repartition(3)
+    vocab = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4)], "word string, id long")
+    got = sorted((r["doc_id"], r["ids"]) for r in X.texts_to_ids(docs, "doc_id", "tokens", vocab).collect())
+    assert got == [(1, [2, 1, 3, 2, 4, 3]), (1, [4, 4]), (2, []), (3, []), (4, []), (5, [1])]
 
 
 def test_whole_flattened_vectors(spark):
