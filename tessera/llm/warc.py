@@ -18,6 +18,7 @@ executors do no harm.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import uuid
 import zlib
@@ -33,6 +34,8 @@ from tessera.llm.common import map_arrow, scratch_path, via_table
 
 BREAK = "\r\n\r\n"
 MIN_REVISIT_BYTES = 1000
+#: Bytes of an archive that are inflated at a time.
+PIECE_BYTES = 1 << 20
 _PAGE_URN = "urn:page:"
 
 INDEX = T.StructType([
@@ -102,7 +105,10 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
 # --- streams ----------------------------------------------------------------
 
 class RecordStream:
-    """Cuts a byte stream into (header, block) by Content-Length; holds one record."""
+    """Cuts a byte stream into (header, block) by Content-Length; holds one record and one piece.
+
+    A block must be followed by two line ends; more between records are passed over.
+    """
 
     def __init__(self, name: str):
         self.name, self.held, self.size = name, [], 0
@@ -111,23 +117,31 @@ class RecordStream:
     def feed(self, data: bytes) -> Iterator[tuple[bytes, bytes]]:
         self.held.append(data)
         self.size += len(data)
+        mark = BREAK.encode()
+        if self.header is not None and self.size < self.need + len(mark):
+            return
+        data, at = b"".join(self.held), 0
         while True:
             if self.header is None:
-                data = b"".join(self.held).lstrip(b"\r\n")
-                self.held, self.size = [data], len(data)
-                head, mark, rest = data.partition(BREAK.encode())
-                if not mark:
-                    return
-                if not head.startswith(b"WARC/"):
-                    raise ValueError(f"no WARC record at this place of {self.name}: {head[:40]!r}")
-                self.header, self.need = head, int(headers(head)["content-length"])
-                self.held, self.size = [rest], len(rest)
-            if self.size < self.need:
-                return
-            data = b"".join(self.held)
-            yield self.header, data[:self.need]
-            self.header = None
-            self.held = [data[self.need:]]
+                while data[at:at + 1] in (b"\r", b"\n"):
+                    at += 1
+                if not b"WARC/".startswith(data[at:at + 5]):
+                    raise ValueError(f"no WARC record at this place of {self.name}: {data[at:at + 40]!r}")
+                end = data.find(mark, at)
+                if end < 0:
+                    break
+                self.header = data[at:end]
+                self.need = int(headers(self.header)["content-length"])
+                at = end + len(mark)
+            end = at + self.need
+            if len(data) < end + len(mark):
+                break
+            if data[end:end + len(mark)] != mark:
+                raise ValueError(f"a record of {self.name} is longer or shorter than it says")
+            yield self.header, data[at:end]
+            self.header, at = None, end + len(mark)
+        self.held = [data[at:]]
+        self.size = len(data) - at
 
     def end(self) -> None:
         if self.header is not None or b"".join(self.held).strip():
@@ -145,6 +159,14 @@ def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
 
 
+def _inflated(uri: str) -> Iterator[bytes]:
+    """The content of a file in pieces; one that ends in .gz is inflated, whatever members it has."""
+    files, path = _file_system(uri)
+    with files.open_input_stream(path, compression="gzip" if path.endswith(".gz") else None) as stream:
+        while piece := stream.read(PIECE_BYTES):
+            yield piece
+
+
 def normalise(spark: SparkSession, source: str, target: str, level: int = 6) -> DataFrame:
     """Rewrite the archives below ``source`` with a gzip member per record.
 
@@ -157,50 +179,46 @@ def normalise(spark: SparkSession, source: str, target: str, level: int = 6) ->
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _file_system(target)
-        name, stream, out, sidecar, at = None, None, None, None, 0
-
-        def close() -> None:
-            stream.end()
-            out.close()
-            sidecar.close()
-
         for batch in batches:
-            rows = []
-            for source_file, piece in zip(batch.column("file").to_pylist(), batch.column("piece").to_pylist()):
-                if source_file != name:
-                    if stream:
-                        close()
-                    name, at = source_file, 0
-                    stream = RecordStream(name)
-                    own = f"{uuid.uuid4().hex}.warc.gz"
-                    files.create_dir(root, recursive=True)
-                    out = files.open_output_stream(f"{root}/{own}", compression=None)
-                    sidecar = files.open_output_stream(f"{root}/{own}.idx", compression=None)
-                for head, block in stream.feed(piece + BREAK.encode()):
-                    pack = zlib.compressobj(level, zlib.DEFLATED, 31)
-                    member = b"".join([pack.compress(head + BREAK.encode()), pack.compress(block),
-                                       pack.compress(BREAK.encode()), pack.flush()])
-                    out.write(member)
-                    h = headers(head)
-                    place = (at, len(member), h.get("warc-record-id"), h.get("warc-type"))
-                    sidecar.write(("\t".join(map(str, place)) + "\n").encode())
-                    rows.append((f"{target}/{own}", *place))
-                    at += len(member)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in
-                 enumerate((pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()))], names=INDEX.names)
-        if stream:
-            close()
-
-    pieces = (spark.read.option("lineSep", BREAK).text(source)
-              .select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("piece")))
+            for source_file in batch.column("file").to_pylist():
+                own = f"{uuid.uuid4().hex}.warc.gz"
+                files.create_dir(root, recursive=True)
+                stream, at = RecordStream(source_file), 0
+                with files.open_output_stream(f"{root}/{own}", compression=None) as out, \
+                        files.open_output_stream(f"{root}/{own}.idx", compression=None) as sidecar:
+                    for piece in _inflated(source_file):
+                        rows = []
+                        for head, block in stream.feed(piece):
+                            pack = zlib.compressobj(level, zlib.DEFLATED, 31)
+                            member = b"".join([pack.compress(head + BREAK.encode()), pack.compress(block),
+                                               pack.compress(BREAK.encode()), pack.flush()])
+                            out.write(member)
+                            h = headers(head)
+                            place = (at, len(member), h.get("warc-record-id"), h.get("warc-type"))
+                            sidecar.write(("\t".join(map(str, place)) + "\n").encode())
+                            rows.append((f"{target}/{own}", *place))
+                            at += len(member)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([r[i] for r in rows], t) for i, t in
+                             enumerate((pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()))], names=INDEX.names)
+                    stream.end()
+
+    # only the names are read here; an archive is one stream and goes to one task
+    pieces = spark.read.format("binaryFile").load(source).select(F.col("path").alias("file"))
     map_arrow(pieces, rewrite, INDEX).write.parquet(f"{target}/index")
     return spark.read.schema(INDEX).parquet(f"{target}/index")
 
 
+def _digest_fits(stated: str, sha1: str) -> bool:
+    """Whether a stated digest (SHA-1 in hex or base 32; others are not checked) is that of the payload."""
+    kind, _, value = stated.lower().partition(":")
+    return kind != "sha1" or value in (sha1, base64.b32encode(bytes.fromhex(sha1)).decode().lower())
+
+
 def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
     """Fetch the members that the index names and parse them (RECORDS).
 
+    A record that has not the length or the payload digest that it states raises.
     Digest and size of a response are those of the payload as read; a revisit
     has no payload of its own and states them in its headers.
     """
@@ -216,13 +234,17 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
                 data = zlib.decompress(handle.read_at(length, offset), 31)
                 head, _, block = data.partition(BREAK.encode())
                 h = headers(head)
-                http, _, payload = block[:int(h["content-length"])].partition(BREAK.encode())
+                if len(block) != int(h["content-length"]) + len(BREAK):
+                    raise ValueError(f"the record at {offset} of {archive} has not the length that it states")
+                http, _, payload = block[:-len(BREAK)].partition(BREAK.encode())
                 page, refers = (_page(h.get(x)) for x in ("warc-record-id", "warc-refers-to"))
                 kind = h["warc-type"]
                 if kind == "revisit":
                     size, digest = int(headers(http)["content-length"]), h["warc-payload-digest"].partition(":")[2]
                 else:
                     size, digest = len(payload), hashlib.sha1(payload).hexdigest()
+                    if not _digest_fits(h.get("warc-payload-digest", ""), digest):
+                        raise ValueError(f"the record at {offset} of {archive} has not the payload that it states")
                 rows.append((page, h.get("warc-target-uri"), kind, refers, size, digest,
                              payload if with_payload and kind != "revisit" else None))
             kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())

@@ -65,3 +65,40 @@ def test_cut_off_archive(spark, tmp_path):
         f.write(b"WARC/1.1\r\nContent-Length: 90\r\n\r\nshort")
     with pytest.raises(Exception, match="cut off"):
         W.normalise(spark, f"{tmp_path}/src", f"{tmp_path}/dst")
+
+
+@pytest.mark.parametrize("lost", range(0, 13))
+def test_archives_that_lost_their_last_bytes(spark, tmp_path, lost):
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 39\r\n\r\nHTTP/1.1 200 OK\r\n\r\nABCDEFGHIJKLMNOPQRST\r\n\r\n"
+    whole = record * 3
+    os.makedirs(f"{tmp_path}/src")
+    with gzip.open(f"{tmp_path}/src/a.gz", "wb") as f:
+        f.write(whole[:len(whole) - lost])
+    if lost:
+        with pytest.raises(Exception, match="cut off"):
+            W.normalise(spark, f"{tmp_path}/src", f"{tmp_path}/dst")
+    else:
+        got = W.read_records(W.normalise(spark, f"{tmp_path}/src", f"{tmp_path}/dst")).collect()
+        assert [bytes(r["payload"]) for r in got] == [b"ABCDEFGHIJKLMNOPQRST"] * 3
+
+
+@pytest.mark.parametrize("size", [1, 7, 50, 1 << 20])
+def test_pieces_of_any_size(size):
+    blocks = [b"", b"x", b"\r\n\r\n", b"WARC/1.1\r\n\r\n", b"y" * 300]
+    data = b"".join(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(b), b) for b in blocks)
+    stream = W.RecordStream("a")
+    assert [b for i in range(0, len(data), size) for _, b in stream.feed(data[i:i + size])] == blocks
+    stream.end()
+
+
+def test_wrong_digest_or_length(spark, tmp_path):
+    sha = "sha1:" + "0" * 40
+    for name, record in (("d", f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Payload-Digest: {sha}\r\nContent-Length: 5\r\n\r\nA\r\n\r\n\r\n\r\n"),
+                         ("l", "WARC/1.1\r\nContent-Length: 2\r\n\r\nABCD\r\n\r\n")):
+        os.makedirs(f"{tmp_path}/{name}")
+        with gzip.open(f"{tmp_path}/{name}/a.gz", "wb") as f:
+            f.write(record.encode())
+        with pytest.raises(Exception, match="states|than it says"):
+            W.read_records(W.normalise(spark, f"{tmp_path}/{name}", f"{tmp_path}/{name}-out")).collect()
+    assert W._digest_fits("sha1:" + "2jmj7l5rSW0yVb/vlWAYkK/YBwk=", "x" * 0 + "00" * 20) is False
+    assert W._digest_fits("sha1:AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAA", "00" * 20) and W._digest_fits("md5:1", "00" * 20)
