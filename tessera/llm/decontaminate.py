@@ -1,53 +1,72 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-1. Test items are cut into words (long ones into overlapping segments) and
-   every n-gram of words is a seed, however often it occurs: an edited copy
-   keeps the n-grams that all copies share, and loses those that are rare.
-2. One pass over the documents looks up every n-gram of every whole text in a
-   Bloom filter of the item n-grams and keeps the passages with hits close
-   together.
-3. Passages join items on seeds, and each joined pair with enough words in
-   common is aligned word by word.  The score of a local alignment over that of
-   a full copy says how much of the item the passage holds, in spite of
-   changed, added and missing words.
-
-Whether a document meets an item depends on these two alone, not on the other
-documents, but for items of which the table holds fewer than ``MIN_SEEDS``
-n-grams: for those each n-gram counts.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+
+An item of L words is held by a text if the best local alignment of their words
+scores at least R = max(L, min(2L, 8)), half of a full copy's 2L (items of up to
+four words must be there in full).  The search misses no such text:
+
+* Let an alignment have m matches and e changed, added or missing words, so
+  2m - e >= R.  Of its m - 1 pairs of successive matches, at most e / 2 have two
+  errors or more between them.  So at least T = ceil(R / 2) - 1 pairs have one at
+  most: their two words stand at a distance of 1 or 2 in the item and in the text.
+* The seeds of an item are such pairs of words (2L - 3 of them).  As T must be
+  there, the T - 1 most frequent ones may be left out of the join: its rarest
+  seeds do.  Frequency is that over the distinct test items.
+* An alignment spans at most 2L words, so one pass over the documents keeps only
+  the passages in which T pairs that are in a Bloom filter of the seeds come that
+  close.  Items are in classes of similar length, each with its filter and T.
+
+Passages that meet an item on a rare seed are aligned with it, many at a time.
+Whether a document meets an item depends on these two alone; all else only
+decides how many pairs are looked at.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import col, fresh_name, map_arrow, text_slices, via_table
 
-NGRAM = 3
-#: Distinct seeds of an item in one passage (items with fewer n-grams need all of theirs).
-MIN_SEEDS = 2
 SEGMENT_WORDS, SEGMENT_STEP = 256, 128
 MATCH, MISMATCH, GAP = 2, -1, -1
-MIN_SCORE = 0.5
-#: The Bloom filter has 64 bits an n-gram up to this many bits (32 MB).  Beyond, more hits are false; the join drops them.
+#: An item counts as held from this share of a full copy's score on, and from so many words (or all it has).
+MIN_SCORE, MIN_WORDS = 0.5, 4
+#: The Bloom filters have 64 bits a seed up to this many bits (32 MB in all).  Beyond, more hits are false; the join drops them.
 MAX_FILTER_BITS = 1 << 28
 _PROBES = 4
-_WORD = re.compile(r"\w+")
+#: Shares into which the passages of one seed are dealt for the join.
+_SLICES = 16
+#: Pairs that are aligned at a time.
+_PAIRS = 256
+#: Scripts written without spaces: each character is a word.
+_SINGLE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f"
+_WORD = re.compile(f"[{_SINGLE}]|[^\\W{_SINGLE}]+")
 _REMEMBERED = 500_000
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, digits and underscores of the lower-cased text."""
+    """Runs of letters, digits and underscores of the lower-cased text; one character each in scripts without spaces."""
     return _WORD.findall(text.lower()) if text else []
 
 
+def needed_score(words: int) -> int:
+    """R: the alignment score from which on an item of so many words is held."""
+    return max(math.ceil(MIN_SCORE * MATCH * words), min(MATCH * words, MATCH * MIN_WORDS))
+
+
+def needed_seeds(words: int) -> int:
+    """T: seeds that every such alignment has."""
+    return max(1, -(-needed_score(words) // MATCH) - 1)
+
+
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > _REMEMBERED:
@@ -56,18 +75,25 @@ class _WordHashes(dict):
         return h
 
 
-def gram_hashes(words: list[str], hashes: _WordHashes, n: int) -> np.ndarray:
-    """A 64-bit hash of each n-gram."""
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    if len(h) < n:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(len(h) - n + 1, np.uint64)
-    for k in range(n):
-        out = (out ^ h[k:len(h) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(a), np.uint64)
+    for h in (a, b):
+        out = (out ^ h) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
     return out
 
 
+def word_hashes(words: list[str], hashes: _WordHashes) -> np.ndarray:
+    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+
+
+def seed_hashes(h: np.ndarray) -> np.ndarray:
+    """The seeds of an item: its word pairs at a distance of 1 and 2, or its only word."""
+    if len(h) == 1:
+        return _mixed(h, np.zeros(1, np.uint64))
+    return np.concatenate([_mixed(h[:-1], h[1:]), _mixed(h[:-2], h[2:])])
+
+
 def _probe_bits(grams: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     """The bit numbers of each n-gram in a filter of ``bits`` (a power of two)."""
     step = (grams >> np.uint64(32)) | np.uint64(1)
@@ -76,14 +102,15 @@ def _probe_bits(grams: np.ndarray, bits: int) -> Iterator[np.ndarray]:
 
 
 _SEGMENTS = T.StructType([
-    T.StructField("item_id", T.LongType()), T.StructField("words", T.ArrayType(T.StringType())),
-    T.StructField("grams", T.ArrayType(T.LongType()))])
+    T.StructField("item_id", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("rare", T.IntegerType()),
+    T.StructField("words", T.ArrayType(T.StringType())), T.StructField("grams", T.ArrayType(T.LongType()))])
 
 
-def item_segments(items: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """Words and n-gram hashes of each item, long items in overlapping segments.
+def item_segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Words and seeds of each item, long items in overlapping segments; ``kind``: bit length of the number of words,
+    ``rare``: how many of the rarest seeds any text that holds the segment has one of.
 
-    Items of fewer than ``n`` words have no n-gram and are left out.
+    Items without a word are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,9 +121,11 @@ def item_segments(items: DataFrame, id_col: str, text_col: str, n: int) -> DataF
                 words = words_of(text)
                 for at in range(0, max(1, len(words) - SEGMENT_WORDS + SEGMENT_STEP), SEGMENT_STEP):
                     part = words[at:at + SEGMENT_WORDS]
-                    if len(part) >= n:
-                        rows.append((item, part, gram_hashes(part, hashes, n).view(np.int64).tolist()))
-            kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()))
+                    if part:
+                        grams = seed_hashes(word_hashes(part, hashes))
+                        rows.append((item, len(part).bit_length(), len(grams) - needed_seeds(len(part)) + 1, part,
+                                     grams.view(np.int64).tolist()))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                                              names=_SEGMENTS.names)
 
@@ -104,10 +133,10 @@ def item_segments(items: DataFrame, id_col: str, text_col: str, n: int) -> DataF
     return map_arrow(slim, run, _SEGMENTS)
 
 
-def _filter(grams: DataFrame, n_grams: int) -> np.ndarray:
-    """Bloom filter of the column ``gram`` as uint64 words; its size is bounded, whatever the benchmark's."""
+def _filter(grams: DataFrame, n_grams: int, most: int) -> np.ndarray:
+    """Bloom filter of the column ``gram`` as uint64 words, ``most`` bits at most."""
     bits = 1 << 12
-    while bits < 64 * n_grams and bits < MAX_FILTER_BITS:
+    while bits < 64 * n_grams and 2 * bits <= most:
         bits *= 2
     masks = T.StructType([T.StructField("place", T.LongType()), T.StructField("mask", T.LongType())])
 
@@ -127,45 +156,81 @@ def _filter(grams: DataFrame, n_grams: int) -> np.ndarray:
 
 _HITS = T.StructType([
     T.StructField("passage", T.LongType()), T.StructField("doc_id", T.LongType()),
-    T.StructField("text_hash", T.LongType()), T.StructField("start", T.IntegerType()),
-    T.StructField("words", T.ArrayType(T.StringType())), T.StructField("grams", T.ArrayType(T.LongType()))])
+    T.StructField("text_hash", T.LongType()), T.StructField("kind", T.IntegerType()),
+    T.StructField("start", T.IntegerType()), T.StructField("words", T.ArrayType(T.StringType())),
+    T.StructField("grams", T.ArrayType(T.LongType()))])
+
+
+def _in_filter(grams: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Places of the grams that the filter has; each probe looks only at those that passed the one before."""
+    places = np.arange(len(grams))
+    step = (grams >> np.uint64(32)) | np.uint64(1)
+    for k in range(_PROBES):
+        b = (grams[places] + step[places] * np.uint64(k)) & np.uint64(64 * len(bits) - 1)
+        places = places[(bits[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63)) & np.uint64(1)) == 1]
+    return places
 
 
-def _hits(docs: DataFrame, bloom: np.ndarray, n: int, reach: int, min_hits: int) -> DataFrame:
-    """The passages of each document with at least ``min_hits`` distinct n-grams of the filter."""
-    shared = docs.sparkSession.sparkContext.broadcast(bloom)
+def _dense(places: np.ndarray, seeds: int, span: int) -> list[tuple[int, int]]:
+    """(first, last) of the runs in which ``seeds`` of the sorted places come within ``span`` words,
+    runs closer than two spans joined."""
+    if len(places) < seeds:
+        return []
+    first, last = places[:len(places) - seeds + 1], places[seeds - 1:]
+    near = last - first <= span
+    first, last = first[near], last[near]
+    if not len(first):
+        return []
+    cut = np.flatnonzero(first[1:] - last[:-1] > 2 * span) + 1
+    return [(int(f[0]), int(e[-1])) for f, e in zip(np.split(first, cut), np.split(last, cut))]
+
+
+def _hits(docs: DataFrame, filters: dict[int, tuple[np.ndarray, int, int]]) -> DataFrame:
+    """The passages of each document that may hold an item of a kind: {kind: (filter, seeds, span)}."""
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 33
-        bits, hashes = shared.value, _WordHashes()
+        hashes = _WordHashes()
 
         def rows(passages: list[tuple]) -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([pa.array([x[i] for x in passages], t) for i, t in enumerate(kinds)],
                                               names=_HITS.names)
 
         for batch in batches:
             for at, size in text_slices(batch, "text"):
                 part = batch.slice(at, size)
+                ids, keys = (part.column(c).to_pylist() for c in ("doc_id", "text_hash"))
+                texts = [words_of(t) for t in part.column("text").to_pylist()]
+                ends = np.cumsum([len(t) for t in texts])
+                h = word_hashes([w for t in texts for w in t], hashes)
+                owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+                pairs = []  # (places, seeds) at each distance, inside a text
+                for d in (1, 2):
+                    inside = np.flatnonzero(owner[:-d] == owner[d:])
+                    pairs.append((inside, _mixed(h[inside], h[inside + d])))
+                where, grams = (np.concatenate(x) for x in zip(*pairs))
                 passages = []
-                for doc, key, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text_hash", "text"))):
-                    words = words_of(text)
-                    grams = gram_hashes(words, hashes, n)
-                    hit = np.ones(len(grams), bool)
-                    for b in _probe_bits(grams, 64 * len(bits)):
-                        hit &= (bits[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63)) & np.uint64(1)) == 1
-                    places = np.flatnonzero(hit)
-                    if not len(places):
-                        continue
-                    found = grams[places].view(np.int64)
-                    for run_ in np.split(np.arange(len(places)), np.flatnonzero(np.diff(places) > reach) + 1):
-                        own = np.unique(found[run_])
-                        if len(own) >= min_hits:
-                            first = max(0, int(places[run_[0]]) - reach)
-                            last = int(places[run_[-1]]) + n + reach
-                            passages.append((number, doc, key, first, words[first:last], own.tolist()))
+                for kind, (bits, seeds, span) in shared.value.items():
+                    if kind == 1:
+                        own_grams = _mixed(h, np.zeros(len(h), np.uint64))
+                        own = _in_filter(own_grams, bits)
+                        place, gram = own, own_grams[own]
+                    else:
+                        own = _in_filter(grams, bits)
+                        own = own[np.argsort(where[own], kind="stable")]
+                        place, gram = where[own], grams[own]
+                    for i in np.unique(owner[place]).tolist():
+                        base = int(ends[i]) - len(texts[i])
+                        a, b = np.searchsorted(place, [base, int(ends[i])])
+                        for first, last in _dense(place[a:b] - base, seeds, span):
+                            lo, hi = max(0, first - span), last + 2 + span
+                            c, e = np.searchsorted(place[a:b] - base, [lo, hi]) + a
+                            passages.append((number, ids[i], keys[i], kind, lo, texts[i][lo:hi],
+                                             np.unique(gram[c:e]).view(np.int64).tolist()))
                             number += 1
                 yield rows(passages)
 
@@ -174,34 +239,58 @@ def _hits(docs: DataFrame, bloom: np.ndarray, n: int, reach: int, min_hits: int)
 
 # --- alignment --------------------------------------------------------------
 
-def best_alignment(item: list[str], passage: list[str]) -> tuple[int, int, int]:
-    """(score, item words, passage words up to the end) of the best local alignment; the earliest end wins."""
-    ids = {w: i for i, w in enumerate(dict.fromkeys(item))}
-    other = np.array([ids.get(w, -1) for w in passage], np.int32)
-    slope = -GAP * np.arange(len(passage) + 1)
-    before = np.zeros(len(passage) + 1, np.int64)
-    best = (0, 0, 0)
+def best_alignments(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(score, item words, passage words up to the end) of the best local alignment of each row of ``passages``
+    (word numbers, negative where the item has no such word); the earliest end wins."""
+    n, length = passages.shape
+    slope = -GAP * np.arange(length + 1, dtype=np.int32)
+    before = np.zeros((n, length + 1), np.int32)
+    score, used, end = (np.zeros(n, np.int32) for _ in range(3))
+    here = np.arange(n)
     for i, w in enumerate(item):
         now = np.zeros_like(before)
-        now[1:] = np.maximum(before[:-1] + np.where(other == ids[w], MATCH, MISMATCH), before[1:] + GAP)
+        now[:, 1:] = np.maximum(before[:, :-1] + np.where(passages == w, np.int32(MATCH), np.int32(MISMATCH)),
+                                before[:, 1:] + GAP)
         np.maximum(now, 0, out=now)
         # a run of gaps along the passage costs GAP a word: a running maximum along that slope
-        now = np.maximum.accumulate(now + slope) - slope
-        top = int(now.argmax())
-        if now[top] > best[0]:
-            best = (int(now[top]), i + 1, top)
+        now = np.maximum.accumulate(now + slope, axis=1) - slope
+        top = now.argmax(1)
+        better = now[here, top] > score
+        score[better], used[better], end[better] = now[here, top][better], i + 1, top[better]
         before = now
-    return best
+    return score, used, end
+
+
+def align_many(item: list[str], passages: list[list[str]]) -> list[tuple[int, int, int]]:
+    """(score, first, end) of the passage words that hold the item, for each passage."""
+    ids = {w: i for i, w in enumerate(dict.fromkeys(item))}
+    own = np.array([ids[w] for w in item], np.int32)
+    out: list[tuple[int, int, int]] = [(0, 0, 0)] * len(passages)
+    by_size: dict[int, list[int]] = {}
+    for i, p in enumerate(passages):
+        by_size.setdefault(len(p).bit_length(), []).append(i)
+    for places in by_size.values():
+        width = max(len(passages[i]) for i in places)
+        table = np.full((len(places), width), -1, np.int32)
+        for k, i in enumerate(places):
+            table[k, :len(passages[i])] = [ids.get(w, -1) for w in passages[i]]
+        score, used, end = best_alignments(own, table)
+        for u in np.unique(used[score > 0]).tolist():  # backwards from the end: the same score, and the start
+            rows = np.flatnonzero((used == u) & (score > 0))
+            back = np.full((len(rows), int(end[rows].max())), -1, np.int32)
+            for k, r in enumerate(rows):
+                back[k, :end[r]] = table[r, :end[r]][::-1]
+            again, _, length = best_alignments(own[:u][::-1], back)
+            assert (again == score[rows]).all()
+            for r, n in zip(rows.tolist(), length.tolist()):
+                out[places[r]] = (int(score[r]), int(end[r]) - n, int(end[r]))
+    return out
 
 
 def align(item: list[str], passage: list[str]) -> tuple[float, int, int]:
     """(score between 0 and 1, first, end) of the passage words that hold the item."""
-    score, i, end = best_alignment(item, passage)
-    if not score:
-        return 0.0, 0, 0
-    back, _, length = best_alignment(item[:i][::-1], passage[:end][::-1])
-    assert back == score
-    return score / (MATCH * len(item)), end - length, end
+    score, first, end = align_many(item, [passage])[0]
+    return score / (MATCH * len(item)), first, end
 
 
 _FOUND = T.StructType([
@@ -210,73 +299,93 @@ _FOUND = T.StructType([
     T.StructField("first_word", T.IntegerType()), T.StructField("end_word", T.IntegerType())])
 
 
-def _aligned(batches: Iterator[pa.RecordBatch], min_score: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        names = ("doc_id", "text_hash", "item_id", "start", "item_words", "words")
-        for doc, key, item, start, a, b in zip(*(batch.column(c).to_pylist() for c in names)):
-            held = set(b)
-            if sum(w in held for w in a) < min_score * len(a):
-                continue  # each match gives one word of the item: the score can't be reached
-            score, first, end = align(a, b)
-            if score >= min_score:
-                rows.append((doc, key, item, score, start + first, start + end))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                         names=_FOUND.names)
-
-
-def _matches(docs: DataFrame, items: DataFrame, doc_id: str, doc_text: str, item_id: str, item_text: str,
-             n: int, min_score: float) -> DataFrame:
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ("doc_id", "text_hash", "item_id", "start", "item_words", "item_grams", "words", "grams", "segment")
+    for whole in batches:
+        for at in range(0, whole.num_rows, _PAIRS):
+            batch = whole.slice(at, _PAIRS)
+            by_item: dict[int, list[tuple]] = {}
+            for *row, segment in zip(*(batch.column(c).to_pylist() for c in names)):
+                by_item.setdefault(segment, []).append(tuple(row))
+            rows = []
+            for own in by_item.values():
+                item, seeds = own[0][4], own[0][5]
+                need, least = needed_score(len(item)), needed_seeds(len(item))
+                kept = []
+                for r in own:
+                    held, met = set(r[6]), set(r[7])
+                    # too few seeds, or too few words to match: the score can't be reached
+                    if sum(g in met for g in seeds) >= least and MATCH * sum(w in held for w in item) >= need:
+                        kept.append(r)
+                for r, (score, first, end) in zip(kept, align_many(item, [r[6] for r in kept])):
+                    if score >= need:
+                        rows.append((*r[:3], score / (MATCH * len(item)), r[3] + first, r[3] + end))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                             names=_FOUND.names)
+
+
+def _rare_seeds(segments: DataFrame) -> DataFrame:
+    """(segment, kind, gram): the ``rare`` rarest seeds of each segment, rarity counted over distinct items."""
+    grams = segments.select("segment", "kind", "rare", F.explode("grams").alias("gram"))
+    texts = segments.select(F.explode(F.array_distinct("grams")).alias("gram"), F.xxhash64("words").alias("text"))
+    often = texts.distinct().groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
+    place = F.row_number().over(Window.partitionBy("segment").orderBy("often", "gram"))  # 2 x 256 rows at most
+    return (grams.join(often, "gram").withColumn("place", place).where(F.col("place") <= F.col("rare"))
+            .select("segment", "kind", "gram").distinct())
+
+
+def _matches(docs: DataFrame, items: DataFrame, doc_id: str, doc_text: str, item_id: str, item_text: str) -> DataFrame:
     """(doc_id, text_hash, item_id, score, first_word, end_word) for each aligned passage."""
     spark: SparkSession = docs.sparkSession
     # segments are named by a number of their own: item ids may be null or repeated
-    segments = via_table(item_segments(items, item_id, item_text, n)
+    segments = via_table(item_segments(items, item_id, item_text)
                          .withColumn("segment", F.monotonically_increasing_id()), "decontaminate-items")
-    shape = segments.agg(F.sum(F.size("grams")).alias("grams"), F.max(F.size("words")).alias("words"),
-                         F.min(F.size(F.array_distinct("grams"))).alias("fewest")).first()
-    if not shape["grams"]:
+    kinds = segments.groupBy("kind").agg(F.sum(F.size("grams")).alias("grams"), F.min(F.size("words")).alias("least"),
+                                         F.max(F.size("words")).alias("most")).collect()  # nine at most
+    if not kinds:
         return spark.createDataFrame([], _FOUND)
-    bloom = _filter(segments.select(F.explode("grams").alias("gram")), shape["grams"])
+    filters = {}
+    for k in kinds:
+        own = segments.where(F.col("kind") == k["kind"]).select(F.explode("grams").alias("gram"))
+        filters[k["kind"]] = (_filter(own, k["grams"], MAX_FILTER_BITS // 16), needed_seeds(k["least"]), 2 * k["most"])
     slim = docs.select(col(doc_id).cast("long").alias("doc_id"), F.xxhash64(col(doc_text)).alias("text_hash"),
                        col(doc_text).alias("text"))
-    passages = via_table(_hits(slim, bloom, n, shape["words"], min(MIN_SEEDS, shape["fewest"])), "decontaminate-hits")
-
-    found = passages.select(F.explode("grams").alias("gram")).distinct()
-    seeds = via_table(segments.select("segment", F.explode(F.array_distinct("grams")).alias("gram")).join(found, "gram"),
-                      "decontaminate-seeds")
-    need = seeds.groupBy("segment").agg(F.least(F.lit(MIN_SEEDS), F.count("*")).alias("need"))
+    passages = via_table(_hits(slim, filters), "decontaminate-hits")
+    seeds = via_table(_rare_seeds(segments), "decontaminate-seeds")
 
-    met = (passages.select("passage", F.explode("grams").alias("gram")).join(seeds, "gram")
-           .groupBy("passage", "segment").agg(F.count("*").alias("met")))
-    pairs = met.join(via_table(need, "decontaminate-need"), "segment").where("met >= need")
-    both = (pairs.select("passage", "segment")
-            .join(passages.select("passage", "doc_id", "text_hash", "start", "words"), "passage")
-            .join(segments.select("item_id", "segment", F.col("words").alias("item_words")), "segment"))
-    return map_arrow(both.select("doc_id", "text_hash", "item_id", "start", "item_words", "words"),
-                     lambda b: _aligned(b, min_score), _FOUND)
+    # the passages of one seed are dealt to shares, each of which meets its items
+    share = F.pmod(F.xxhash64("passage"), F.lit(_SLICES))
+    asked = passages.select("passage", "kind", share.alias("share"), F.explode("grams").alias("gram"))
+    told = seeds.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(_SLICES - 1)).cast("array<bigint>")))
+    pairs = asked.join(told, ["gram", "kind", "share"]).select("passage", "segment").distinct()
+    both = (pairs.join(passages.drop("kind"), "passage")
+            .join(segments.select("item_id", "segment", F.col("words").alias("item_words"),
+                                  F.col("grams").alias("item_grams")), "segment"))
+    return map_arrow(both.select("doc_id", "text_hash", "item_id", "start", "item_words", "item_grams", "words", "grams",
+                                 "segment"), _aligned, _FOUND)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
-                 item_id: str = "item_id", item_text: str = "text", n: int = NGRAM,
-                 min_score: float = MIN_SCORE) -> DataFrame:
+                 item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, score, first_word, end_word): documents that hold a test item.
 
     One row per document id and item, for its best passage (of equal ones the
-    first).  score: from ``min_score`` to 1 (a full copy).  The words are
-    numbered from 0.  Null and empty texts hold nothing; repeated rows of a
-    document give one row; null ids are a value like any other; empty tables
-    give no rows; items of fewer than ``n`` words are not searched.  Other
-    columns are not read.
+    first).  score: from 0.5 to 1 (a full copy); items of up to four words must
+    be there in full.  The words are numbered from 0.  Null and empty texts hold
+    nothing, an item without a word is held nowhere; very long texts are read
+    whole, very long items in overlapping segments; repeated rows of a document
+    give one row; null ids are a value like any other; empty tables give no
+    rows.  Other columns are not read.
     """
-    found = _matches(docs, items, doc_id, doc_text, item_id, item_text, n, min_score)
+    found = _matches(docs, items, doc_id, doc_text, item_id, item_text)
     best = F.max_by(F.struct("score", "first_word", "end_word"), F.struct("score", -F.col("first_word"), -F.col("end_word")))
     return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no test item, with all their columns."""
-    found = _matches(docs, items, "doc_id", "text", "item_id", "text", NGRAM, MIN_SCORE)
+    found = _matches(docs, items, "doc_id", "text", "item_id", "text")
     bad_id, bad_text = fresh_name(docs, "_bad_id"), fresh_name(docs, "_bad_text")
     bad = via_table(found.select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_text)).distinct(),
                     "decontaminate-found")

@@ -46,7 +46,7 @@ def test_documents_against_brute_force(spark, documents, sf):
         for i, words in texts.items():
             if len(set(item) & set(words)) >= 0.4 * len(set(item)):  # fewer can't reach the score
                 score = D.align(item, words)[0]
-                if score >= D.MIN_SCORE:
+                if score * D.MATCH * len(item) >= D.needed_score(len(item)):
                     want.add((i, b["item_id"]))
                     assert got[i, b["item_id"]]["score"] == pytest.approx(score)
     assert set(got) == want
@@ -99,14 +99,97 @@ def test_edges(spark, make_docs, items):
     long_item = " ".join(f"q{i}" for i in range(1000))
     part = " ".join(f"q{i}" for i in range(300, 700))
     rows = [(1, None), (2, ""), (3, "one two three four"), (3, "one two three four"), (None, "x one two three four y"),
-            (4, "z " * 20000 + part), (5, "alpha beta gamma"), (6, "tiny pair")]
+            (4, "z " * 20000 + part), (5, "alpha beta gamma"), (6, "tiny other pair"), (7, "a tiny pair, one"), (8, "lonely")]
     docs = make_docs(rows).withColumn("_bad_id", D.F.lit(1)).withColumn("a.b", D.F.lit(1))
-    bench = items([(10, "One, two: three four."), (11, None), (12, ""), (None, long_item), (13, "tiny pair"), (14, "alpha beta gamma")])
+    bench = items([(10, "One, two: three four."), (11, None), (12, ""), (None, long_item), (13, "tiny pair"), (14, "alpha beta gamma"), (15, "Lonely!")])
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in D.contaminated(docs, bench).collect()}
-    assert got == {(3, 10): 1.0, (None, 10): 1.0, (4, None): 1.0, (5, 14): 1.0}
+    assert got == {(3, 10): 1.0, (None, 10): 1.0, (4, None): 1.0, (5, 14): 1.0, (7, 13): 1.0, (8, 15): 1.0}
     kept = D.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 6]
     assert D.contaminated(make_docs([]), bench).count() == 0
     assert D.contaminated(docs, items([])).count() == 0
     assert D.drop_contaminated(docs, items([])).count() == len(rows)
+
+
+def found(make_docs, items, docs, bench):
+    rows = D.contaminated(make_docs(docs), items(bench)).collect()
+    return {(r["doc_id"], r["item_id"]): r["score"] for r in rows}
+
+
+def brute(docs, bench):
+    out = {}
+    for i, text in docs:
+        for k, item in bench:
+            a, b = D.words_of(item), D.words_of(text)
+            score = plain_score(a, b)
+            if D.MATCH * len(a) * score >= D.needed_score(len(a)):
+                out[i, k] = score
+    return out
+
+
+def test_a_document_is_judged_by_itself(make_docs, items):
+    bench = [(1, "a1 b1 c1 d1 e1 f1"), (2, "p1 q1 r1 s1 t1 u1"), (3, "x1 y1 z1")]
+    docs = [(1, "a1 b1 c1 d1 zz p1 q1 r1 s1"), (2, "c1 d1 e1 f1"), (3, "c1 d1 p1 q1")]
+    both = found(make_docs, items, docs, bench)
+    assert both == brute(docs, bench) and (1, 1) in both and (1, 2) in both
+    for d in docs:
+        assert found(make_docs, items, [d], bench) == {k: v for k, v in both.items() if k[0] == d[0]}
+    for b in bench:
+        assert found(make_docs, items, docs, [b]) == {k: v for k, v in both.items() if k[1] == b[0]}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_nothing_that_reaches_the_limit_is_lost(make_docs, items, seed):
+    """Edits of every second to fifth word, gaps, inserts and cuts, at several table sizes, against plain alignment."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(3))
+    bench = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate((1, 2, 3, 4, 5, 6, 8, 11, 17, 24, 40, 64))]
+    docs = []
+    for k, item in bench:
+        words = item.split()
+        copies = [words, words[len(words) // 2:], words[:len(words) // 2], words[: -(-len(words) // 2)]]
+        for every in (2, 3, 4, 5):
+            copies.append([word() if i % every == every - 1 else w for i, w in enumerate(words)])
+            copies.append([w for i, w in enumerate(words) if i % every != every - 1])
+            copies.append([x for i, w in enumerate(words) for x in ((w, word()) if i % every == every - 1 else (w,))])
+        copies.append([x for w in words for x in (w, word())][:-1])
+        for c in copies:
+            docs.append((len(docs), " ".join([word() for _ in range(rng.randrange(30))] + c + [word() for _ in range(rng.randrange(30))])))
+    want = brute(docs, bench)
+    assert found(make_docs, items, docs, bench) == pytest.approx(want) and len(want) > 100
+    some = docs[::7]
+    assert found(make_docs, items, some, bench) == pytest.approx({k: v for k, v in want.items() if k[0] % 7 == 0})
+
+
+def test_texts_without_spaces(make_docs, items):
+    bench = [(1, "这是一个没有空格的测验题目,答案是什么?"), (2, "ไม่มีช่องว่าง")]
+    docs = [(1, "前面这是一个没有空格的测验题目答案是什么后面"), (2, "完全不同的文字内容在这里"), (3, "这是一个没有空格的考试题目答案是什么"), (4, "xไม่มีช่องว่างy")]
+    got = found(make_docs, items, docs, bench)
+    assert got == pytest.approx(brute(docs, bench)) and set(got) == {(1, 1), (3, 1), (4, 2)}
+
+
+def test_many_alignments_at_once():
+    rng = random.Random(9)
+    item = [rng.choice("abcde") for _ in range(11)]
+    passages = [[rng.choice("abcdefg") for _ in range(rng.randint(0, 70))] for _ in range(300)]
+    for p, (score, first, end) in zip(passages, D.align_many(item, passages)):
+        assert score == pytest.approx(plain_score(item, p) * D.MATCH * len(item))
+        if score:
+            assert plain_score(item, p[first:end]) * D.MATCH * len(item) == pytest.approx(score)
+
+
+def test_a_stock_phrase_does_not_pair_everything(make_docs, items):
+    """300 items and 3,000 documents share one phrase; each item is held by ten documents."""
+    import time
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    phrase = "which of the following is true about".split()
+    bench = [phrase + [word() for _ in range(18)] for _ in range(300)]
+    docs = []
+    for i in range(3000):
+        body = bench[i // 10][7:] if i % 2 else bench[i // 10][7:20]
+        docs.append((i, " ".join([word() for _ in range(20)] + phrase + body + [word() for _ in range(20)])))
+    start = time.time()
+    got = found(make_docs, items, docs, [(k, " ".join(w)) for k, w in enumerate(bench)])
+    assert set(got) == {(i, i // 10) for i in range(3000)} and time.time() - start < 60
