@@ -9,13 +9,14 @@ four words must be there in full).  The search misses no such text:
   errors or more between them.  So at least T = ceil(R / 2) - 1 pairs have one at
   most: their two words stand at a distance of 1 or 2 in the item and in the text.
 * The seeds of an item are such pairs of words (2L - 3 of them).  As T must be
-  there, the T - 1 most frequent ones may be left out of the join: its rarest
-  seeds do.  Frequency is that over the distinct test items.
+  there, half of T (k, rounded up) are among its 2L - 3 - T + k rarest: only those
+  are joined, and a passage meets an item on k of them at least.  Rarity is that
+  over the distinct test items, so a stock phrase is left out first.
 * An alignment spans at most 2L words, so one pass over the documents keeps only
   the passages in which T pairs that are in a Bloom filter of the seeds come that
   close.  Items are in classes of similar length, each with its filter and T.
 
-Passages that meet an item on a rare seed are aligned with it, many at a time.
+Passages that meet an item on its rare seeds are aligned with it, many at a time.
 Whether a document meets an item depends on these two alone; all else only
 decides how many pairs are looked at.
 """
@@ -48,13 +49,13 @@ _SLICES = 16
 _PAIRS = 256
 #: Scripts written without spaces: each character is a word.
 _SINGLE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f"
-_WORD = re.compile(f"[{_SINGLE}]|[^\\W{_SINGLE}]+")
+_WORD, _PLAIN, _UNSPACED = re.compile(f"[{_SINGLE}]|[^\\W{_SINGLE}]+"), re.compile(r"\w+"), re.compile(f"[{_SINGLE}]")
 _REMEMBERED = 500_000
 
 
 def words_of(text: str | None) -> list[str]:
     """Runs of letters, digits and underscores of the lower-cased text; one character each in scripts without spaces."""
-    return _WORD.findall(text.lower()) if text else []
+    return (_WORD if _UNSPACED.search(text) else _PLAIN).findall(text.lower()) if text else []
 
 
 def needed_score(words: int) -> int:
@@ -103,12 +104,12 @@ def _probe_bits(grams: np.ndarray, bits: int) -> Iterator[np.ndarray]:
 
 _SEGMENTS = T.StructType([
     T.StructField("item_id", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("rare", T.IntegerType()),
-    T.StructField("words", T.ArrayType(T.StringType())), T.StructField("grams", T.ArrayType(T.LongType()))])
+    T.StructField("least", T.IntegerType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("grams", T.ArrayType(T.LongType()))])
 
 
 def item_segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Words and seeds of each item, long items in overlapping segments; ``kind``: bit length of the number of words,
-    ``rare``: how many of the rarest seeds any text that holds the segment has one of.
+    ``rare``: of so many rarest seeds any text that holds the segment has ``least`` or more.
 
     Items without a word are left out.
     """
@@ -123,9 +124,11 @@ def item_segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     part = words[at:at + SEGMENT_WORDS]
                     if part:
                         grams = seed_hashes(word_hashes(part, hashes))
-                        rows.append((item, len(part).bit_length(), len(grams) - needed_seeds(len(part)) + 1, part,
+                        seeds = needed_seeds(len(part))
+                        least = -(-seeds // 2)
+                        rows.append((item, len(part).bit_length(), len(grams) - seeds + least, least, part,
                                      grams.view(np.int64).tolist()))
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                                              names=_SEGMENTS.names)
 
@@ -186,7 +189,8 @@ def _dense(places: np.ndarray, seeds: int, span: int) -> list[tuple[int, int]]:
 
 
 def _hits(docs: DataFrame, filters: dict[int, tuple[np.ndarray, int, int]]) -> DataFrame:
-    """The passages of each document that may hold an item of a kind: {kind: (filter, seeds, span)}."""
+    """The passages of each document that may hold an item of a kind: {kind: (filter, seeds, span)};
+    the filter of kind 0 has the seeds of all kinds."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,15 +217,19 @@ def _hits(docs: DataFrame, filters: dict[int, tuple[np.ndarray, int, int]]) -> D
                     inside = np.flatnonzero(owner[:-d] == owner[d:])
                     pairs.append((inside, _mixed(h[inside], h[inside + d])))
                 where, grams = (np.concatenate(x) for x in zip(*pairs))
+                some = _in_filter(grams, shared.value[0][0])
+                some = some[np.argsort(where[some], kind="stable")]
+                where, grams = where[some], grams[some]
                 passages = []
                 for kind, (bits, seeds, span) in shared.value.items():
+                    if not kind:
+                        continue
                     if kind == 1:
                         own_grams = _mixed(h, np.zeros(len(h), np.uint64))
                         own = _in_filter(own_grams, bits)
                         place, gram = own, own_grams[own]
                     else:
                         own = _in_filter(grams, bits)
-                        own = own[np.argsort(where[own], kind="stable")]
                         place, gram = where[own], grams[own]
                     for i in np.unique(owner[place]).tolist():
                         base = int(ends[i]) - len(texts[i])
@@ -326,13 +334,13 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rare_seeds(segments: DataFrame) -> DataFrame:
-    """(segment, kind, gram): the ``rare`` rarest seeds of each segment, rarity counted over distinct items."""
-    grams = segments.select("segment", "kind", "rare", F.explode("grams").alias("gram"))
+    """(segment, kind, least, gram, times): the ``rare`` rarest seeds of each segment, rarity counted over distinct items."""
+    grams = segments.select("segment", "kind", "rare", "least", F.explode("grams").alias("gram"))
     texts = segments.select(F.explode(F.array_distinct("grams")).alias("gram"), F.xxhash64("words").alias("text"))
     often = texts.distinct().groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
     place = F.row_number().over(Window.partitionBy("segment").orderBy("often", "gram"))  # 2 x 256 rows at most
     return (grams.join(often, "gram").withColumn("place", place).where(F.col("place") <= F.col("rare"))
-            .select("segment", "kind", "gram").distinct())
+            .groupBy("segment", "kind", "least", "gram").agg(F.count(F.lit(1)).alias("times")))
 
 
 def _matches(docs: DataFrame, items: DataFrame, doc_id: str, doc_text: str, item_id: str, item_text: str) -> DataFrame:
@@ -345,7 +353,8 @@ def _matches(docs: DataFrame, items: DataFrame, doc_id: str, doc_text: str, item
                                          F.max(F.size("words")).alias("most")).collect()  # nine at most
     if not kinds:
         return spark.createDataFrame([], _FOUND)
-    filters = {}
+    filters = {0: (_filter(segments.select(F.explode("grams").alias("gram")), sum(k["grams"] for k in kinds),
+                           MAX_FILTER_BITS // 2), 0, 0)}
     for k in kinds:
         own = segments.where(F.col("kind") == k["kind"]).select(F.explode("grams").alias("gram"))
         filters[k["kind"]] = (_filter(own, k["grams"], MAX_FILTER_BITS // 16), needed_seeds(k["least"]), 2 * k["most"])
@@ -358,7 +367,9 @@ def _matches(docs: DataFrame, items: DataFrame, doc_id: str, doc_text: str, item
     share = F.pmod(F.xxhash64("passage"), F.lit(_SLICES))
     asked = passages.select("passage", "kind", share.alias("share"), F.explode("grams").alias("gram"))
     told = seeds.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(_SLICES - 1)).cast("array<bigint>")))
-    pairs = asked.join(told, ["gram", "kind", "share"]).select("passage", "segment").distinct()
+    pairs = via_table(asked.join(told, ["gram", "kind", "share"]).groupBy("passage", "segment")
+                      .agg(F.sum("times").alias("met"), F.max("least").alias("least")).where("met >= least")
+                      .select("passage", "segment"), "decontaminate-pairs")
     both = (pairs.join(passages.drop("kind"), "passage")
             .join(segments.select("item_id", "segment", F.col("words").alias("item_words"),
                                   F.col("grams").alias("item_grams")), "segment"))
