@@ -12,11 +12,15 @@ four words must be there in full).  The search misses no such text:
   there, half of T (k, rounded up) are among its 2L - 3 - T + k rarest: only those
   are joined, and a passage meets an item on k of them at least.  Rarity is that
   over the distinct test items, so a stock phrase is left out first.
-* An alignment spans at most 2L words, so one pass over the documents keeps only
-  the passages in which T pairs that are in a Bloom filter of the seeds come that
-  close.  Items are in classes of similar length, each with its filter and T.
+* An alignment spans at most 2L words, so the k seeds come that close.
+
+The rare seeds and their items travel to the documents in blocks of about
+``MAX_SEEDS`` seeds (one block for a usual benchmark): each block is one pass in
+which every task looks up the word pairs of its whole texts, first in a Bloom
+filter, then in the sorted seeds, and aligns the passages that meet an item
+with it, many at a time.  Nothing of the documents is shuffled but what is found,
+and no seed, however frequent, gathers its passages or items anywhere.
 
-Passages that meet an item on its rare seeds are aligned with it, many at a time.
 Whether a document meets an item depends on these two alone; all else only
 decides how many pairs are looked at.
 """
@@ -40,11 +44,9 @@ SEGMENT_WORDS, SEGMENT_STEP = 256, 128
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: An item counts as held from this share of a full copy's score on, and from so many words (or all it has).
 MIN_SCORE, MIN_WORDS = 0.5, 4
-#: The Bloom filters have 64 bits a seed up to this many bits (32 MB in all).  Beyond, more hits are false; the join drops them.
-MAX_FILTER_BITS = 1 << 28
+#: Seeds of the items that travel to the tasks at a time, with 64 bits each in the filter (some 40 MB in all).
+MAX_SEEDS = 500_000
 _PROBES = 4
-#: Shares into which the passages of one seed are dealt for the join.
-_SLICES = 16
 #: Pairs that are aligned at a time.
 _PAIRS = 256
 #: Scripts written without spaces: each character is a word.
@@ -103,12 +105,12 @@ def _probe_bits(grams: np.ndarray, bits: int) -> Iterator[np.ndarray]:
 
 
 _SEGMENTS = T.StructType([
-    T.StructField("item_id", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("rare", T.IntegerType()),
+    T.StructField("item_id", T.LongType()), T.StructField("rare", T.IntegerType()),
     T.StructField("least", T.IntegerType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("grams", T.ArrayType(T.LongType()))])
 
 
 def item_segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Words and seeds of each item, long items in overlapping segments; ``kind``: bit length of the number of words,
+    """Words and seeds of each item, long items in overlapping segments;
     ``rare``: of so many rarest seeds any text that holds the segment has ``least`` or more.
 
     Items without a word are left out.
@@ -126,9 +128,8 @@ def item_segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         grams = seed_hashes(word_hashes(part, hashes))
                         seeds = needed_seeds(len(part))
                         least = -(-seeds // 2)
-                        rows.append((item, len(part).bit_length(), len(grams) - seeds + least, least, part,
-                                     grams.view(np.int64).tolist()))
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
+                        rows.append((item, len(grams) - seeds + least, least, part, grams.view(np.int64).tolist()))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                                              names=_SEGMENTS.names)
 
@@ -136,32 +137,45 @@ def item_segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_arrow(slim, run, _SEGMENTS)
 
 
-def _filter(grams: DataFrame, n_grams: int, most: int) -> np.ndarray:
-    """Bloom filter of the column ``gram`` as uint64 words, ``most`` bits at most."""
-    bits = 1 << 12
-    while bits < 64 * n_grams and 2 * bits <= most:
-        bits *= 2
-    masks = T.StructType([T.StructField("place", T.LongType()), T.StructField("mask", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = np.concatenate(list(_probe_bits(batch.column("gram").to_numpy().view(np.uint64), bits)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((got >> np.uint64(6)).astype(np.int64)),
-                 pa.array((np.uint64(1) << (got & np.uint64(63))).view(np.int64))], names=masks.names)
-
-    out = np.zeros(bits // 64, np.uint64)
-    # at most bits / 64 rows
-    for r in map_arrow(grams, run, masks).groupBy("place").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
-        out[r["place"]] = np.int64(r["mask"]).view(np.uint64)
-    return out
-
-
-_HITS = T.StructType([
-    T.StructField("passage", T.LongType()), T.StructField("doc_id", T.LongType()),
-    T.StructField("text_hash", T.LongType()), T.StructField("kind", T.IntegerType()),
-    T.StructField("start", T.IntegerType()), T.StructField("words", T.ArrayType(T.StringType())),
-    T.StructField("grams", T.ArrayType(T.LongType()))])
+class ItemBlock:
+    """Some of the items: their rare seeds in order, each with its segments, and a Bloom filter before them."""
+
+    def __init__(self, segments: list, seeds: list):
+        """``segments``: rows (segment, item_id, least, words); ``seeds``: rows (segment, gram, times)."""
+        self.items = [r["item_id"] for r in segments]
+        self.words = [r["words"] for r in segments]
+        self.least = np.array([r["least"] for r in segments])
+        number = {r["segment"]: i for i, r in enumerate(segments)}
+        gram = np.array([r["gram"] for r in seeds], np.int64).view(np.uint64)
+        order = np.argsort(gram, kind="stable")
+        self.owner = np.array([number[r["segment"]] for r in seeds], np.int64)[order]
+        self.times = np.array([r["times"] for r in seeds], np.int64)[order]
+        self.grams, first = np.unique(gram[order], return_index=True)
+        self.starts = np.append(first, len(gram))
+        self.single = any(len(w) == 1 for w in self.words)
+        by_owner = np.argsort(self.owner, kind="stable")
+        cuts = np.cumsum(np.bincount(self.owner, minlength=len(segments)))[:-1]
+        self.own_grams = np.split(np.searchsorted(self.grams, gram[order][by_owner]), cuts)
+        bits = 1 << max(12, (64 * len(self.grams)).bit_length())
+        self.bits = np.zeros(bits // 64, np.uint64)
+        for b in _probe_bits(self.grams, bits):
+            np.bitwise_or.at(self.bits, (b >> np.uint64(6)).astype(np.int64), np.uint64(1) << (b & np.uint64(63)))
+
+    def lookup(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the grams that are seeds, their numbers)."""
+        places = _in_filter(grams, self.bits)
+        number = np.searchsorted(self.grams, grams[places])
+        number[number == len(self.grams)] = 0
+        found = self.grams[number] == grams[places]
+        return places[found], number[found]
+
+    def met(self, numbers: np.ndarray) -> np.ndarray:
+        """The segments of which a text with these seeds has enough."""
+        numbers = np.unique(numbers)
+        sizes = self.starts[numbers + 1] - self.starts[numbers]
+        at = np.repeat(self.starts[numbers] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        segments, which = np.unique(self.owner[at], return_inverse=True)
+        return segments[np.bincount(which, self.times[at], len(segments)) >= self.least[segments]]
 
 
 def _in_filter(grams: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -188,63 +202,6 @@ def _dense(places: np.ndarray, seeds: int, span: int) -> list[tuple[int, int]]:
     return [(int(f[0]), int(e[-1])) for f, e in zip(np.split(first, cut), np.split(last, cut))]
 
 
-def _hits(docs: DataFrame, filters: dict[int, tuple[np.ndarray, int, int]]) -> DataFrame:
-    """The passages of each document that may hold an item of a kind: {kind: (filter, seeds, span)};
-    the filter of kind 0 has the seeds of all kinds."""
-    shared = docs.sparkSession.sparkContext.broadcast(filters)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 33
-        hashes = _WordHashes()
-
-        def rows(passages: list[tuple]) -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in passages], t) for i, t in enumerate(kinds)],
-                                              names=_HITS.names)
-
-        for batch in batches:
-            for at, size in text_slices(batch, "text"):
-                part = batch.slice(at, size)
-                ids, keys = (part.column(c).to_pylist() for c in ("doc_id", "text_hash"))
-                texts = [words_of(t) for t in part.column("text").to_pylist()]
-                ends = np.cumsum([len(t) for t in texts])
-                h = word_hashes([w for t in texts for w in t], hashes)
-                owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-                pairs = []  # (places, seeds) at each distance, inside a text
-                for d in (1, 2):
-                    inside = np.flatnonzero(owner[:-d] == owner[d:])
-                    pairs.append((inside, _mixed(h[inside], h[inside + d])))
-                where, grams = (np.concatenate(x) for x in zip(*pairs))
-                some = _in_filter(grams, shared.value[0][0])
-                some = some[np.argsort(where[some], kind="stable")]
-                where, grams = where[some], grams[some]
-                passages = []
-                for kind, (bits, seeds, span) in shared.value.items():
-                    if not kind:
-                        continue
-                    if kind == 1:
-                        own_grams = _mixed(h, np.zeros(len(h), np.uint64))
-                        own = _in_filter(own_grams, bits)
-                        place, gram = own, own_grams[own]
-                    else:
-                        own = _in_filter(grams, bits)
-                        place, gram = where[own], grams[own]
-                    for i in np.unique(owner[place]).tolist():
-                        base = int(ends[i]) - len(texts[i])
-                        a, b = np.searchsorted(place, [base, int(ends[i])])
-                        for first, last in _dense(place[a:b] - base, seeds, span):
-                            lo, hi = max(0, first - span), last + 2 + span
-                            c, e = np.searchsorted(place[a:b] - base, [lo, hi]) + a
-                            passages.append((number, ids[i], keys[i], kind, lo, texts[i][lo:hi],
-                                             np.unique(gram[c:e]).view(np.int64).tolist()))
-                            number += 1
-                yield rows(passages)
-
-    return map_arrow(docs, run, _HITS)
-
-
 # --- alignment --------------------------------------------------------------
 
 def best_alignments(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -307,40 +264,74 @@ _FOUND = T.StructType([
     T.StructField("first_word", T.IntegerType()), T.StructField("end_word", T.IntegerType())])
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("doc_id", "text_hash", "item_id", "start", "item_words", "item_grams", "words", "grams", "segment")
-    for whole in batches:
-        for at in range(0, whole.num_rows, _PAIRS):
-            batch = whole.slice(at, _PAIRS)
-            by_item: dict[int, list[tuple]] = {}
-            for *row, segment in zip(*(batch.column(c).to_pylist() for c in names)):
-                by_item.setdefault(segment, []).append(tuple(row))
-            rows = []
-            for own in by_item.values():
-                item, seeds = own[0][4], own[0][5]
-                need, least = needed_score(len(item)), needed_seeds(len(item))
-                kept = []
-                for r in own:
-                    held, met = set(r[6]), set(r[7])
-                    # too few seeds, or too few words to match: the score can't be reached
-                    if sum(g in met for g in seeds) >= least and MATCH * sum(w in held for w in item) >= need:
-                        kept.append(r)
-                for r, (score, first, end) in zip(kept, align_many(item, [r[6] for r in kept])):
-                    if score >= need:
-                        rows.append((*r[:3], score / (MATCH * len(item)), r[3] + first, r[3] + end))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                             names=_FOUND.names)
+def _search(docs: DataFrame, block: ItemBlock) -> DataFrame:
+    """The aligned passages of all documents with the items of a block."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+
+    def passages(texts: list[list[str]], hashes: _WordHashes, own: ItemBlock) -> Iterator[tuple[int, int, int, int]]:
+        """(text, segment, first, end): where a text may hold a segment."""
+        sizes = np.array([len(t) for t in texts])
+        ends = np.cumsum(sizes)
+        h = word_hashes([w for t in texts for w in t], hashes)
+        text = np.repeat(np.arange(len(texts)), sizes)
+        found = []
+        for d in (1, 2):
+            inside = np.flatnonzero(text[:-d] == text[d:])
+            places, numbers = own.lookup(_mixed(h[inside], h[inside + d]))
+            found.append((inside[places], numbers))
+        if own.single:
+            found.append(own.lookup(_mixed(h, np.zeros(len(h), np.uint64))))
+        place, number = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(place, kind="stable")
+        place, number = place[order], number[order]
+        for i in np.unique(text[place]).tolist():
+            base = int(ends[i] - sizes[i])
+            a, b = np.searchsorted(place, [base, int(ends[i])])
+            for segment in own.met(number[a:b]).tolist():
+                span = 2 * len(own.words[segment])
+                at = place[a:b][np.isin(number[a:b], own.own_grams[segment])] - base
+                # an alignment has each of its seeds at a place of its own
+                for first, last in _dense(at, int(own.least[segment]), span):
+                    yield i, segment, max(0, first - span), last + 2 + span
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, hashes = shared.value, _WordHashes()
+        for batch in batches:
+            for at, size in text_slices(batch, "text"):
+                part = batch.slice(at, size)
+                ids, keys = (part.column(c).to_pylist() for c in ("doc_id", "text_hash"))
+                texts = [words_of(t) for t in part.column("text").to_pylist()]
+                by_item: dict[int, list[tuple]] = {}
+                if any(texts):
+                    for i, segment, first, end in passages(texts, hashes, own):
+                        by_item.setdefault(segment, []).append((i, first, texts[i][first:end]))
+                rows = []
+                for segment, given in by_item.items():
+                    item = own.words[segment]
+                    need = needed_score(len(item))
+                    # too few words to match: the score can't be reached
+                    kept = [g for g in given if MATCH * sum(map(set(g[2]).__contains__, item)) >= need]
+                    for k in range(0, len(kept), _PAIRS):
+                        share = kept[k:k + _PAIRS]
+                        for (i, start, _), (score, first, end) in zip(share, align_many(item, [g[2] for g in share])):
+                            if score >= need:
+                                rows.append((ids[i], keys[i], own.items[segment], score / (MATCH * len(item)),
+                                             start + first, start + end))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                                 names=_FOUND.names)
+
+    return map_arrow(docs, run, _FOUND)
 
 
 def _rare_seeds(segments: DataFrame) -> DataFrame:
-    """(segment, kind, least, gram, times): the ``rare`` rarest seeds of each segment, rarity counted over distinct items."""
-    grams = segments.select("segment", "kind", "rare", "least", F.explode("grams").alias("gram"))
+    """(segment, gram, times): the ``rare`` rarest seeds of each segment, rarity counted over distinct items."""
+    grams = segments.select("segment", "rare", F.explode("grams").alias("gram"))
     texts = segments.select(F.explode(F.array_distinct("grams")).alias("gram"), F.xxhash64("words").alias("text"))
     often = texts.distinct().groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
     place = F.row_number().over(Window.partitionBy("segment").orderBy("often", "gram"))  # 2 x 256 rows at most
     return (grams.join(often, "gram").withColumn("place", place).where(F.col("place") <= F.col("rare"))
-            .groupBy("segment", "kind", "least", "gram").agg(F.count(F.lit(1)).alias("times")))
+            .groupBy("segment", "gram").agg(F.count(F.lit(1)).alias("times")))
 
 
 def _matches(docs: DataFrame, items: DataFrame, doc_id: str, doc_text: str, item_id: str, item_text: str) -> DataFrame:
@@ -349,32 +340,17 @@ def _matches(docs: DataFrame, items: DataFrame, doc_id: str, doc_text: str, item
     # segments are named by a number of their own: item ids may be null or repeated
     segments = via_table(item_segments(items, item_id, item_text)
                          .withColumn("segment", F.monotonically_increasing_id()), "decontaminate-items")
-    kinds = segments.groupBy("kind").agg(F.sum(F.size("grams")).alias("grams"), F.min(F.size("words")).alias("least"),
-                                         F.max(F.size("words")).alias("most")).collect()  # nine at most
-    if not kinds:
-        return spark.createDataFrame([], _FOUND)
-    filters = {0: (_filter(segments.select(F.explode("grams").alias("gram")), sum(k["grams"] for k in kinds),
-                           MAX_FILTER_BITS // 2), 0, 0)}
-    for k in kinds:
-        own = segments.where(F.col("kind") == k["kind"]).select(F.explode("grams").alias("gram"))
-        filters[k["kind"]] = (_filter(own, k["grams"], MAX_FILTER_BITS // 16), needed_seeds(k["least"]), 2 * k["most"])
+    seeds = via_table(_rare_seeds(segments), "decontaminate-seeds")
     slim = docs.select(col(doc_id).cast("long").alias("doc_id"), F.xxhash64(col(doc_text)).alias("text_hash"),
                        col(doc_text).alias("text"))
-    passages = via_table(_hits(slim, filters), "decontaminate-hits")
-    seeds = via_table(_rare_seeds(segments), "decontaminate-seeds")
-
-    # the passages of one seed are dealt to shares, each of which meets its items
-    share = F.pmod(F.xxhash64("passage"), F.lit(_SLICES))
-    asked = passages.select("passage", "kind", share.alias("share"), F.explode("grams").alias("gram"))
-    told = seeds.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(_SLICES - 1)).cast("array<bigint>")))
-    pairs = via_table(asked.join(told, ["gram", "kind", "share"]).groupBy("passage", "segment")
-                      .agg(F.sum("times").alias("met"), F.max("least").alias("least")).where("met >= least")
-                      .select("passage", "segment"), "decontaminate-pairs")
-    both = (pairs.join(passages.drop("kind"), "passage")
-            .join(segments.select("item_id", "segment", F.col("words").alias("item_words"),
-                                  F.col("grams").alias("item_grams")), "segment"))
-    return map_arrow(both.select("doc_id", "text_hash", "item_id", "start", "item_words", "item_grams", "words", "grams",
-                                 "segment"), _aligned, _FOUND)
+    blocks = -(-seeds.count() // MAX_SEEDS)
+    found = spark.createDataFrame([], _FOUND)
+    for b in range(blocks):
+        own = F.pmod(F.xxhash64("segment"), F.lit(blocks)) == b
+        found = found.unionByName(_search(slim, ItemBlock(
+            segments.where(own).select("segment", "item_id", "least", "words").orderBy("segment").collect(),
+            seeds.where(own).orderBy("gram", "segment").collect())))
+    return found
 
 
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",

@@ -140,7 +140,7 @@ def test_a_document_is_judged_by_itself(make_docs, items):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_nothing_that_reaches_the_limit_is_lost(make_docs, items, seed):
+def test_nothing_that_reaches_the_limit_is_lost(make_docs, items, seed, monkeypatch):
     """Edits of every second to fifth word, gaps, inserts and cuts, at several table sizes, against plain alignment."""
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdef") for _ in range(3))
@@ -158,6 +158,7 @@ def test_nothing_that_reaches_the_limit_is_lost(make_docs, items, seed):
             docs.append((len(docs), " ".join([word() for _ in range(rng.randrange(30))] + c + [word() for _ in range(rng.randrange(30))])))
     want = brute(docs, bench)
     assert found(make_docs, items, docs, bench) == pytest.approx(want) and len(want) > 100
+    monkeypatch.setattr(D, "MAX_SEEDS", 60)  # several blocks of items
     some = docs[::7]
     assert found(make_docs, items, some, bench) == pytest.approx({k: v for k, v in want.items() if k[0] % 7 == 0})
 
@@ -193,3 +194,10 @@ def test_a_stock_phrase_does_not_pair_everything(make_docs, items):
     start = time.time()
     got = found(make_docs, items, docs, [(k, " ".join(w)) for k, w in enumerate(bench)])
     assert set(got) == {(i, i // 10) for i in range(3000)} and time.time() - start < 60
+
+
+def test_items_that_repeat_their_words(make_docs, items):
+    bench = [(1, "ha ha ha ha ha ha ha ha ha ha"), (2, "la di la di la di la di dum"), (3, "one one two two one one two two three")]
+    docs = [(1, "x ha ha ha ha ha y"), (2, "ha ha ha ha"), (3, "la di la di la di"), (4, "la la di di"), (5, "two two one one two two"),
+            (6, "one two one two one two one two one"), (7, " ".join(["ha"] * 500)), (8, "la x di la x di la di x la di x dum")]
+    assert found(make_docs, items, docs, bench) == pytest.approx(brute(docs, bench))
