@@ -541,6 +541,13 @@ def ts_arima_search(spark, d):
     return TS.arima_order_search(cut_lineage(daily_series(spark, d)), "series_id", "day", "value", max_order=3)
 
 
+@register("ts_arima_likelihood", "M4 M5")
+def ts_arima_likelihood(spark, d):
+    """All 64 orders of every series by conditional likelihood; ``best`` marks the lowest AIC of a series."""
+    from tessera.operators.arima_ml import arima_ml
+    return arima_ml(cut_lineage(daily_series(spark, d)), "series_id", "day", "value", 3)
+
+
 @register("ts_forecast", "M6 F2")
 def ts_forecast(spark, d):
     return TS.forecast(cut_lineage(daily_series(spark, d)), "series_id", "day", "value", 1, 0, 1, 10, log_transform=True)
