@@ -60,5 +60,6 @@ def load_all() -> dict[str, Entry]:
         model_plans,
         tree_plans,
         sweep_plans,
+        learned_plans,
     )
     return REGISTRY
