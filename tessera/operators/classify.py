@@ -338,7 +338,10 @@ def random_fourier_features(df: DataFrame, cols: list[str], n_features: int = 50
     return df.withColumn(out, array_to_vector(F.array(*comps)))
 
 
-def train_word_vectors(docs: DataFrame, tokens: str, dim: int = 20, seed: int = 1, min_count: int = 1):
-    """C14 (re-aimed): Word2Vec vectors (word, vector)."""
-    return Word2Vec(vectorSize=dim, minCount=min_count, seed=seed, inputCol=tokens,
-                    outputCol="_doc_vec").fit(docs)
+def train_word_vectors(docs: DataFrame, tokens: str, dim: int = 20, seed: int = 1, min_count: int = 1,
+                       partitions: int = 8):
+    """C14 (re-aimed): Word2Vec vectors (word, vector), trained in ``partitions`` tasks whose weights are
+    averaged after every pass (as many passes as tasks would be one task's learning).  The vectors stand
+    on the driver; ``word_space.company_vectors`` keeps them distributed."""
+    return Word2Vec(vectorSize=dim, minCount=min_count, seed=seed, inputCol=tokens, numPartitions=partitions,
+                    maxIter=max(1, partitions // 2), outputCol="_doc_vec").fit(docs)

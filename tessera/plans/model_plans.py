@@ -362,14 +362,6 @@ def clf_svm_mlp(spark, d):
     return out.select("id", "label", "svm", "rbf", "mlp")
 
 
-@register("word_vectors", "C14")
-def word_vectors(spark, d):
-    from tessera.functions.text import keras_tokens
-    docs = Tables(spark, d).documents.select("doc_id", keras_tokens("text").alias("tokens"))
-    model = C.train_word_vectors(docs, "tokens", dim=8, min_count=1)
-    return model.getVectors()
-
-
 # ---------------------------------------------------------------- regression
 
 RFEATS = ["l_quantity", "p_retailprice", "l_discount", "p_size"]
