@@ -18,7 +18,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage
@@ -74,10 +74,16 @@ def item_support(lines: DataFrame, order_col: str, item_col: str, min_count: int
 
 def _frequent_rows(oi: DataFrame, singles: DataFrame, chunk: int) -> DataFrame:
     """(order_id, item, n_slices): rows of frequent items with the number of
-    slices of their order; materialised once, as every level reads them."""
-    rows = oi.join(singles.select("item"), "item", "left_semi")
-    m = F.count(F.lit(1)).over(Window.partitionBy("order_id"))
-    return cut_lineage(rows.select("order_id", "item", F.ceil(m / F.lit(chunk)).cast("int").alias("n_slices")))
+    slices of their order; materialised once, as every level reads them.
+
+    Only orders of more than ``chunk`` items have several slices; they are
+    counted by a partial aggregate and joined, so no order is gathered."""
+    rows = cut_lineage(oi.join(singles.select("item"), "item", "left_semi").select("order_id", "item"))
+    m = F.count(F.lit(1))
+    long_orders = (rows.groupBy("order_id").agg(F.ceil(m / F.lit(chunk)).cast("int").alias("_m"))
+                   .where(F.col("_m") > 1))
+    return cut_lineage(rows.join(long_orders, "order_id", "left")
+                       .select("order_id", "item", F.coalesce("_m", F.lit(1)).alias("n_slices")))
 
 
 def _extend(level: DataFrame, frequent_rows: DataFrame) -> DataFrame:

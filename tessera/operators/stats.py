@@ -8,12 +8,16 @@ paired afterwards.  Medians are exact and distributed (sort-based).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import ms_to_minutes
 from tessera.functions.stats import modified_z, two_sided_p
 from tessera.operators.ordered import exact_quantiles
+from tessera.session import cut_lineage
+
+#: Group summaries of one bucket of the pairwise tests.
+BUCKET = 512
 
 
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -69,19 +73,33 @@ def pairwise_z_tests(df: DataFrame, group: str, x: str, within: list[str] | None
     """H4 + H5: two-sample z test for every pair of groups (a < b), inside each
     combination of the ``within`` columns; ``drop_zeros`` leaves out x = 0.
 
-    Only per-group summary rows (one row per group) are listed and paired,
-    not data rows.  Two groups without any variance give z NULL.
+    Only per-group summary rows (one row per group) are paired, not data rows.
+    They are dealt to buckets of about ``BUCKET`` and every pair of buckets is a
+    key of its own, so the pairs come from many tasks.  NULL is a group and
+    comes first.  Two groups without any variance give z NULL.
     """
     within = within or []
     data = df.where(F.col(x) != 0) if drop_zeros else df
-    m = group_moments(data, [*within, group], x)
-    listed = m.groupBy(*within).agg(F.sort_array(F.collect_list(
-        F.struct(F.col(group).alias("g"), "n", "mean", "var"))).alias("gs"))
-    a = listed.select(*within, "gs", F.posexplode("gs").alias("i", "a"))
-    p = a.select(*within, "a", F.explode(F.slice("gs", F.col("i") + 2, F.size("gs"))).alias("b"))
+    m = cut_lineage(group_moments(data, [*within, group], x).withColumnRenamed(group, "_g")
+                    .withColumn("_w", F.xxhash64(*within) if within else F.lit(0)))
+    blocks = max(1, -(-m.count() // BUCKET))
+    bucket = F.pmod(F.xxhash64("_g"), F.lit(blocks)).cast("int")
+
+    def side(name: str, tile: Column) -> DataFrame:
+        """Each summary once for every tile of buckets that it meets on this side."""
+        one = m.withColumn("_b", bucket).select("_w", F.struct(*within, "_g", "n", "mean", "var").alias(name), tile.alias("_t"))
+        return one.select("_w", name, F.inline("_t"))
+
+    every = F.sequence(F.lit(0), F.lit(blocks - 1))
+    a = side("a", F.transform(every, lambda o: F.struct(F.col("_b").alias("i"), o.alias("j"))))
+    b = side("b", F.transform(every, lambda o: F.struct(o.alias("i"), F.col("_b").alias("j"))))
+    same = F.lit(True)
+    for k in within:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    p = a.join(b, ["_w", "i", "j"]).where(same & F.coalesce(F.col("a._g") < F.col("b._g"), F.col("a._g").isNull() & F.col("b._g").isNotNull()))
     se = F.sqrt(F.col("a.var") / F.col("a.n") + F.col("b.var") / F.col("b.n"))
     z = F.try_divide(F.col("a.mean") - F.col("b.mean"), se)
-    return p.select(*within, F.col("a.g").alias("group_a"), F.col("b.g").alias("group_b"),
+    return p.select(*[F.col(f"a.{k}").alias(k) for k in within], F.col("a._g").alias("group_a"), F.col("b._g").alias("group_b"),
                     z.alias("z"), two_sided_p(z).alias("p_value"))
 
 
