@@ -65,18 +65,25 @@ def _draw_large(rng: np.random.Generator, good: int, bad: int, take: int) -> int
 
 
 def split_counts(rng: np.random.Generator, colors: np.ndarray, take: int) -> np.ndarray:
-    """Draw ``take`` rows without replacement and count them by color."""
-    left = int(colors.sum())
-    if left < 1_000_000_000:
+    """Draw ``take`` rows without replacement and count them by color.
+
+    A population too large for numpy's sampler is halved by color: how many rows
+    come from the first half is one draw, and the halves are then independent.
+    So about two draws per 1e9 rows are made here, however many colors there are.
+    """
+    n = int(colors.sum())
+    if n < 1_000_000_000:
         return rng.multivariate_hypergeometric(colors, take, method="marginals")
-    out = np.zeros(len(colors), np.int64)
-    for i, c in enumerate(colors.tolist()):
-        left -= c
-        if take == 0 or c == 0:
-            continue
-        out[i] = take if left == 0 else _draw_large(rng, c, left, take)
-        take -= int(out[i])
-    return out
+    if len(colors) == 1:
+        return np.array([take], np.int64)
+    mid = len(colors) // 2
+    first, second = colors[:mid], colors[mid:]
+    good = int(first.sum())
+    if take in (0, n) or good in (0, n):
+        taken = min(good, take)
+    else:
+        taken = _draw_large(rng, good, n - good, take)
+    return np.concatenate([split_counts(rng, first, taken), split_counts(rng, second, take - taken)])
 
 
 def matrix_row(counts: np.ndarray, sizes: np.ndarray, part: int, seed: int) -> np.ndarray:

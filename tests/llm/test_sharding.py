@@ -1,3 +1,4 @@
+import time
 import zlib
 from collections import Counter
 
@@ -69,3 +70,26 @@ def test_large_populations():
     assert abs(np.mean(draws) - 300_000) < 150 and 350 < np.std(draws) < 570
     got = split_counts(rng, np.array([2_000_000_000, 5, 0, 1_000_000_000]), 1_500_000_000)
     assert got.sum() == 1_500_000_000 and got[1] <= 5
+
+
+def test_large_populations_are_halved():
+    """Few draws for any number of colors, exact margins, the right mean and spread."""
+    rng = np.random.default_rng(4)
+    colors = np.full(3000, 1_000_000)
+    for take in (0, 1, 1_234_567_890, int(colors.sum()) - 1, int(colors.sum())):
+        got = split_counts(rng, colors, take)
+        assert got.sum() == take and (got >= 0).all() and (got <= colors).all()
+    n, take = int(colors.sum()), 1_200_000_000
+    got = split_counts(rng, colors, take)
+    spread = np.sqrt(1_000_000 * 0.4 * 0.6 * (n - 1_000_000) / (n - 1))
+    assert abs(got.mean() - 400_000) < 1e-6 and 0.93 < got.std() / spread < 1.07
+    zeros = np.array([0, 0, 2_000_000_000, 0, 0])
+    assert split_counts(rng, zeros, 7).tolist() == [0, 0, 7, 0, 0]
+
+
+def test_task_row_of_ten_billion_rows_is_quick():
+    counts = np.full(10_000, 1_000_000)
+    _, _, sizes = block_sizes(int(counts.sum()), 8, 1 << 16)
+    began = time.process_time()
+    assert matrix_row(counts, sizes, 3333, 42).sum() == 1_000_000
+    assert time.process_time() - began < 5
