@@ -8,6 +8,9 @@ from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Most values of a column that may become columns of their own.
+MAX_VALUES = 2_000
+
 
 def label_encoder(col: str, out: str | None = None) -> StringIndexer:
     """Sorted distinct values to 0..k-1, unseen values to k."""
@@ -40,7 +43,8 @@ def one_hot_long(df: DataFrame, cols: list[str], keys: list[str], min_count: int
 class OneHotColumns:
     """Explicit 0/1 columns ``<col>_<value>`` for the values with at
     least ``min_count`` training rows.  One column per value is a form for
-    few values; ``one_hot_long`` holds any number."""
+    few values: more than ``MAX_VALUES`` of a column are an error, and
+    ``one_hot_long`` holds any number."""
 
     def __init__(self, cols: list[str], min_count: int = 1, drop_first: bool = False):
         self.cols, self.min_count, self.drop_first = cols, min_count, drop_first
@@ -49,7 +53,9 @@ class OneHotColumns:
     def fit(self, df: DataFrame) -> "OneHotColumns":
         for c in self.cols:
             vals = (df.groupBy(c).count().where((F.col("count") >= self.min_count) & F.col(c).isNotNull())
-                    .orderBy(c).collect())
+                    .select(c).orderBy(c).limit(MAX_VALUES + 1).collect())
+            if len(vals) > MAX_VALUES:
+                raise ValueError(f"{c} has over {MAX_VALUES} values; use one_hot_long")
             v = [r[0] for r in vals]
             self.values[c] = v[1:] if self.drop_first else v
         return self

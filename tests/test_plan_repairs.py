@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import basket as B
+from tessera.operators import encode as E
 from tessera.operators import recommend as R
 from tessera.operators import stats as H
 
@@ -61,3 +62,11 @@ def test_percentile_rank_metric(spark):
     assert R.mean_percentile_rank(df).first()["mpr"] == pytest.approx(num / den)
     more = df.unionByName(df.limit(0)).withColumn("rating", F.col("rating") * 2)
     assert R.mean_percentile_rank(df, more).first()["mpr"] == pytest.approx(num / den / 2)
+
+
+def test_one_hot_columns_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(E, "MAX_VALUES", 3)
+    df = spark.createDataFrame([(v,) for v in "aabbcd"], "v string")
+    assert E.OneHotColumns(["v"], 2).fit(df).values == {"v": ["a", "b"]}
+    with pytest.raises(ValueError, match="one_hot_long"):
+        E.OneHotColumns(["v"]).fit(df)
