@@ -1,11 +1,12 @@
 """Regression and classification trees, forests and boosting on feature histograms.
 
-Features are cut into bins once.  All trees of a call grow together, one scan of
-the binned rows per level: tasks add rows up into a histogram (rows and target
-sums by feature and bin) of the smaller child of every split node, the
-histograms are summed by Spark, the sibling is the parent minus the child, and
-the best split of every node is picked where its histogram lies.  The driver
-sees one slim row per node.
+Features are cut into bins once.  All trees of a call grow together.  Nodes of
+many rows are split level by level: tasks add rows up into histograms (rows and
+target sums by feature and bin), Spark sums them, and the best split of every
+node is picked where its histogram lies.  A node of at most ``SMALL`` rows costs
+less than its histograms: its rows are brought together once and the tree below
+it is grown there, over cells that hold rows.  The driver sees one slim row per
+node.
 
 A tree's shallower versions are its prefixes and a forest's smaller versions
 its first trees, so a grid over depth and size costs one forest; folds and
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +31,18 @@ from pyspark.sql import types as T
 from tessera.operators.ordered import quantiles_of_counts
 from tessera.session import cut_lineage, scratch_dir
 
-#: Rounds of boosting whose trees are kept apart from the stored predictions.
+#: Rounds of boosting between stored predictions; in between those of the last round are kept.
 PENDING = 10
-#: Levels whose histograms hang on the earlier ones before they are stored.
-CUT_EVERY = 5
 #: Segments that ``fit_segments`` accepts, and nodes of all trees that ``grow`` keeps on the driver.
 MAX_SEGMENTS = 1000
 MAX_NODES = 10_000_000
 #: Numbers in the histograms that a task holds at a time; more open nodes take more scans.
 MAX_CELLS = 1 << 23
+#: A node of at most so many rows gets them into one task.
+SMALL = 1 << 16
+#: Rows a task turns into numbers at a time, and bytes of rows that a task gets.
+CHUNK = 1 << 17
+PART_BYTES = 1 << 25
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -113,7 +116,9 @@ def binned_table(df: DataFrame, binning: Binning, key: Column, targets: list[Col
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *(pa.array(x[:, i]) for i in range(x.shape[1]))],
                                              names=schema.names)
 
-    return _stored(slim.mapInArrow(run, schema), "binned")
+    # few input files must not mean few tasks in every later scan
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _stored(slim.repartition(n_parts).mapInArrow(run, schema), "binned")
 
 
 def _columns(batch: pa.RecordBatch, prefix: str, kind: type) -> np.ndarray:
@@ -155,9 +160,31 @@ class Trees:
             of[tree] = np.concatenate([of[tree], more.astype(of[tree].dtype)])
         return low
 
-    def place(self, tree: int, x: np.ndarray, depth: int | None = None) -> np.ndarray:
-        """The node of each row, at most ``depth`` levels down."""
-        node, here = np.zeros(len(x), np.int64), np.arange(len(x))
+    def graft(self, subtrees: pa.Table) -> None:
+        """Put the trees of ``_grown`` in the place of the leaves they start from."""
+        tree = subtrees.column("tree").to_numpy()
+        order = np.argsort(tree, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(tree[order])) + 1):
+            if not len(at):
+                continue
+            t, size = int(tree[at[0]]), len(self.feature[tree[at[0]]])
+            more: dict[str, list[np.ndarray]] = {c: [] for c in ("feature", "cut", "low", "gain", "rows", "value")}
+            for i in at.tolist():
+                root = subtrees.column("node")[i].as_py()
+                own = {c: np.frombuffer(subtrees.column(c)[i].as_py(), getattr(self, c)[t].dtype) for c in more}
+                own["value"] = own["value"].reshape(-1, self.n_targets)
+                own["low"] = np.where(own["low"] > 0, own["low"] + np.int32(size - 1), 0).astype(np.int32)
+                for c in ("feature", "cut", "low", "gain"):
+                    getattr(self, c)[t][root] = own[c][0]
+                for c in more:
+                    more[c].append(own[c][1:])
+                size += len(own["low"]) - 1
+            for c, parts in more.items():
+                getattr(self, c)[t] = np.concatenate([getattr(self, c)[t], *parts])
+
+    def place(self, tree: int, x: np.ndarray, depth: int | None = None, start: int | np.ndarray = 0) -> np.ndarray:
+        """The node of each row, at most ``depth`` levels below ``start``."""
+        node, here = np.zeros(len(x), np.int64) + start, np.arange(len(x))
         feature, cut, low = self.feature[tree], self.cut[tree], self.low[tree]
         steps = 0
         while depth is None or steps < depth:
@@ -204,15 +231,12 @@ def _bootstrap(keys: np.ndarray, seed: int) -> np.ndarray:
     return np.searchsorted(_POISSON, (h >> np.uint64(11)).astype(np.float64) / 2.0**53, "right").astype(np.float64)
 
 
-def _best(hist: np.ndarray, spec: Spec, node: int) -> tuple[int, int, float]:
+def _best(hist: np.ndarray, min_leaf: int) -> tuple[int, int, float]:
     """(feature, cut, gain) of a histogram (feature, bin, 1 + targets); feature -1 if no split gains."""
     total = hist[0].sum(0)
     left = np.cumsum(hist, axis=1)[:, :-1]
     right = total - left
-    ok = (left[..., 0] >= spec.min_leaf) & (right[..., 0] >= spec.min_leaf) & (left[..., 0] > 0.5) & (right[..., 0] > 0.5)
-    if spec.max_features is not None and spec.max_features < len(hist):
-        drawn = np.random.default_rng([spec.seed, node]).choice(len(hist), spec.max_features, replace=False)
-        ok[np.setdiff1d(np.arange(len(hist)), drawn)] = False
+    ok = (left[..., 0] >= min_leaf) & (right[..., 0] >= min_leaf) & (left[..., 0] > 0.5) & (right[..., 0] > 0.5)
     if not ok.any():
         return -1, 0, 0.0
     score = ((left[..., 1:] ** 2).sum(-1) / np.maximum(left[..., 0], 1e-300)
@@ -226,161 +250,406 @@ def _best(hist: np.ndarray, spec: Spec, node: int) -> tuple[int, int, float]:
     return (*divmod(at, score.shape[1]), gain)
 
 
-_PARTIAL = "tree int, parent int, child int, hist binary"
-_NODES = ("tree int, node int, feature int, cut int, gain double, total array<double>, left array<double>, "
-          "hist binary")
+def _drawn(spec: Spec, nodes: np.ndarray, n_features: int) -> np.ndarray | None:
+    """The features tried at each node in rising order; None for all."""
+    if spec.max_features is None or spec.max_features >= n_features:
+        return None
+    return np.sort([np.random.default_rng([spec.seed, n]).choice(n_features, spec.max_features, replace=False)
+                    for n in nodes.tolist()], axis=1)
+
+
+def _quantum(w: np.ndarray, y: np.ndarray) -> float:
+    """A power of two; sums of weighted targets in whole multiples of it are exact, in whatever order."""
+    most = float((w[:, None] * np.abs(y)).sum(0).max(initial=0.0))
+    return 2.0 ** (np.ceil(np.log2(most)) - 51) if most > 0 else 1.0
+
+
+def _splits(x: np.ndarray, w: np.ndarray, y: np.ndarray, slot: np.ndarray, k: int, drawn: np.ndarray | None,
+            min_leaf: int, n_bins: int, quantum: float) -> tuple[np.ndarray, ...]:
+    """Best split of each of ``k`` nodes (all with rows): feature (-1 if no split gains), cut, gain, totals, left sums.
+
+    Only cells that hold rows are kept.  ``y`` is in whole multiples of ``quantum``, so equal splits tie exactly.
+    """
+    n_tried = x.shape[1] if drawn is None else drawn.shape[1]
+    v = x if drawn is None else np.take_along_axis(x, drawn[slot], 1)
+    code = ((slot[:, None] * n_tried + np.arange(n_tried)) * n_bins + v).ravel()
+    if k * n_tried * n_bins <= 8 * len(code):
+        at, size, names = code, k * n_tried * n_bins, None
+    else:
+        names, at = np.unique(code, return_inverse=True)
+        size = len(names)
+    sums = [np.bincount(at, np.repeat(c, n_tried), size) for c in (w, *(w * y[:, c] for c in range(y.shape[1])))]
+    if names is None:
+        names = np.flatnonzero(sums[0] > 0)
+        sums = [s[names] for s in sums]
+    cells = np.stack(sums, 1).astype(np.int64)
+    segment = names // n_bins
+    node = segment // n_tried
+    upto = np.cumsum(cells, axis=0)
+    first = np.searchsorted(segment, np.arange(k * n_tried))
+    before = upto[first] - cells[first]
+    last = np.append(first[1:], len(names)) - 1
+    unit = np.array([1.0] + [quantum] * y.shape[1])
+    total = (upto[last] - before)[::n_tried] * unit
+    left = (upto - before[segment]) * unit
+    right = total[node] - left
+    ok = (left[:, 0] >= min_leaf) & (right[:, 0] >= min_leaf) & (left[:, 0] > 0.5) & (right[:, 0] > 0.5)
+    score = ((left[:, 1:] ** 2).sum(1) / np.maximum(left[:, 0], 1e-300)
+             + (right[:, 1:] ** 2).sum(1) / np.maximum(right[:, 0], 1e-300))
+    score = np.where(ok, score, -np.inf)
+    best = np.maximum.reduceat(score, first[::n_tried])
+    hits = np.flatnonzero(score == best[node])
+    at = hits[np.searchsorted(node[hits], np.arange(k))]
+    base = (total[:, 1:] ** 2).sum(1) / total[:, 0]
+    gain = best - base
+    splits = gain > 1e-9 * np.maximum(1.0, np.abs(base))
+    feature = segment[at] % n_tried
+    if drawn is not None:
+        feature = drawn[np.arange(k), feature]
+    return (np.where(splits, feature, -1), np.where(splits, names[at] % n_bins, 0), np.where(splits, gain, 0.0),
+            total, np.where(splits[:, None], left[at], 0.0))
+
+
+def _subtree(x: np.ndarray, w: np.ndarray, y: np.ndarray, depth: int, spec: Spec, n_bins: int) -> Trees:
+    """The tree below a node, from all its rows; every feature is tried at every node."""
+    out = Trees(1, y.shape[1])
+    quantum = _quantum(w, y)
+    y = np.rint(y / quantum)
+    slot, nodes = np.zeros(len(x), np.int64), np.zeros(1, np.int64)
+    for level in range(depth):
+        feature, cut, gain, total, left = _splits(x, w, y, slot, len(nodes), None, spec.min_leaf, n_bins, quantum)
+        splits = feature >= 0
+        if not splits.any():
+            break
+        low = out.split(0, nodes[splits], feature[splits], cut[splits], gain[splits], left[splits], (total - left)[splits])
+        kids = np.stack([left, total - left], 1)[splits][..., 0].ravel()
+        # a node of fewer rows has no cut with a leaf on either side
+        opened = kids >= max(2 * spec.min_leaf, 2)
+        number = np.full(2 * len(nodes), -1)
+        at = (2 * np.flatnonzero(splits)[:, None] + np.arange(2)).ravel()
+        number[at[opened]] = np.arange(opened.sum())
+        nodes = (low[:, None] + np.arange(2)).ravel()[opened]
+        slot = number[2 * slot + (x[np.arange(len(x)), np.maximum(feature[slot], 0)] > cut[slot])]
+        stay = slot >= 0
+        x, w, y, slot = x[stay], w[stay], y[stay], slot[stay]
+        if not len(nodes):
+            break
+    return out
+
+
 #: (arrow batch, bins, wanted trees) -> for each of them: (tree, rows, weights, targets)
 Members = Callable[[pa.RecordBatch, np.ndarray, dict], Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]
 
 
-def _partials(table: DataFrame, trees: Trees, open_nodes: dict[int, dict[int, int]], members: Members, n_bins: int,
-              sums: Callable | None = None) -> DataFrame:
-    """Each task's histograms of the open nodes; with ``sums``, also vectors to be summed (tree -1).
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``CHUNK`` rows: what a tree costs once a batch is paid less often."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= CHUNK:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    ``open_nodes``: for each tree its nodes, each with its parent.
-    """
+
+_PARTIAL = "tree int, node int, hist binary"
+
+
+def _partials(table: DataFrame, trees: Trees, specs: list[Spec], open_nodes: dict[int, np.ndarray], members: Members,
+              n_bins: int, sums: Callable | None = None) -> DataFrame:
+    """Each task's histograms of the open nodes over the features they try; with ``sums``, also vectors to be
+    summed (tree -1)."""
     n_targets = trees.n_targets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, np.ndarray] = {}
         totals: dict[int, np.ndarray] = {}
-        for batch in batches:
+        tried: dict[int, np.ndarray | None] = {}
+        for batch in _chunks(batches):
             x = _columns(batch, "b", np.int16)
-            n_features = x.shape[1]
             for t, rows, w, y in members(batch, x, open_nodes):
                 nodes = open_nodes[t]
                 if not len(rows):
                     continue
+                if t not in tried:
+                    tried[t] = _drawn(specs[t], nodes, x.shape[1])
                 slot = np.full(len(trees.feature[t]), -1)
-                slot[list(nodes)] = np.arange(len(nodes))
+                slot[nodes] = np.arange(len(nodes))
                 at = slot[trees.place(t, x[rows])]
                 into = at >= 0
-                code = (at[into, None] * n_features + np.arange(n_features)) * n_bins + x[rows[into]]
-                size = len(nodes) * n_features * n_bins
-                parts = [np.bincount(code.ravel(), np.repeat(v[into], n_features), size)
-                         for v in (w, *(w * y[:, c] for c in range(n_targets)))]
-                hist = np.stack(parts, 1).reshape(len(nodes), n_features, n_bins, -1)
+                v, at = x[rows[into]], at[into]
+                if tried[t] is not None:
+                    v = np.take_along_axis(v, tried[t][at], 1)
+                code = ((at[:, None] * v.shape[1] + np.arange(v.shape[1])) * n_bins + v).ravel()
+                size = len(nodes) * v.shape[1] * n_bins
+                parts = [np.bincount(code, np.repeat(c[into], v.shape[1]), size)
+                         for c in (w, *(w * y[:, c] for c in range(n_targets)))]
+                hist = np.stack(parts, 1).reshape(len(nodes), v.shape[1], n_bins, -1)
                 found[t] = found[t] + hist if t in found else hist
             if sums:
                 for k, v in sums(batch, x):
                     totals[k] = totals[k] + v if k in totals else v
-        rows = [(t, parent, node, h.tobytes()) for t, hists in found.items()
-                for (node, parent), h in zip(open_nodes[t].items(), hists) if h[..., 0].any()]
-        rows += [(-1, k, 0, v.tobytes()) for k, v in totals.items()]
+        rows = [(t, node, h.tobytes()) for t, hists in found.items()
+                for node, h in zip(open_nodes[t].tolist(), hists) if h[..., 0].any()]
+        rows += [(-1, k, v.tobytes()) for k, v in totals.items()]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (
-                pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=["tree", "parent", "child", "hist"])
+                pa.int32(), pa.int32(), pa.binary()))], names=["tree", "node", "hist"])
 
     return table.mapInArrow(run, _PARTIAL)
 
 
+def _split_schema(n_targets: int) -> T.StructType:
+    """One row per node; ``vector`` holds what ``sums`` gave (tree -1)."""
+    ints = [T.StructField(c, T.IntegerType()) for c in ("tree", "node", "feature", "cut")]
+    more = ["gain"] + [f"{p}{c}" for p in "tl" for c in range(1 + n_targets)]
+    return T.StructType([*ints, *[T.StructField(c, T.DoubleType()) for c in more], T.StructField("vector", T.BinaryType())])
+
+
+def _split_rows(out: list[tuple], n_targets: int) -> pa.RecordBatch:
+    kinds = [pa.int32()] * 4 + [pa.float64()] * (1 + 2 * (1 + n_targets)) + [pa.binary()]
+    columns = zip(*out) if out else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                      names=_split_schema(n_targets).names)
+
+
 def _merged(parts: DataFrame, specs: list[Spec], n_features: int, n_bins: int, n_targets: int, n_parts: int) -> DataFrame:
-    """Sum the histograms by node, derive the siblings, and pick the best split of each node."""
+    """Sum the histograms by node and pick the best split of each node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        small: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
         whole: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for t, parent, child, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            for t, node, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 v = np.frombuffer(raw)
-                if child < 0:  # the parent's own histogram
-                    whole[t, parent] = v
-                else:
-                    have = small.get((t, parent))
-                    small[t, parent] = (child, v if have is None else have[1] + v)
-        out = []
-        for (t, parent), (child, v) in small.items():
+                whole[t, node] = whole[t, node] + v if (t, node) in whole else v
+        out, none = [], [0.0] * (1 + n_targets)
+        for (t, node), v in whole.items():
             if t < 0:
-                out.append((t, parent, -1, 0, 0.0, v.tolist(), [], b""))
+                out.append((t, node, -1, 0, 0.0, *none, *none, v.tobytes()))
                 continue
-            nodes = [(child, v)]
-            if parent >= 0 and child > 0:
-                nodes.append((child + 1 if child % 2 else child - 1, whole[t, parent] - v))
-            for node, h in nodes:
-                hist = h.reshape(n_features, n_bins, 1 + n_targets)
-                feature, cut, gain = _best(hist, specs[t], node)
-                left = hist[feature, :cut + 1].sum(0).tolist() if feature >= 0 else []
-                out.append((t, node, feature, cut, gain, hist[0].sum(0).tolist(), left, h.tobytes()))
-        if out:
-            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.float64()),
-                     pa.list_(pa.float64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                             names=["tree", "node", "feature", "cut", "gain", "total", "left", "hist"])
-
-    return parts.repartition(n_parts, "tree", "parent").mapInArrow(run, _NODES)
-
-
-def _waves(open_nodes: dict[int, dict[int, int]], cells: int) -> Iterator[dict[int, dict[int, int]]]:
+            hist = v.reshape(-1, n_bins, 1 + n_targets)
+            feature, cut, gain = _best(hist, specs[t].min_leaf)
+            left = hist[feature, :cut + 1].sum(0).tolist() if feature >= 0 else none
+            tried = _drawn(specs[t], np.array([node]), n_features)
+            if feature >= 0 and tried is not None:
+                feature = int(tried[0, feature])
+            out.append((t, node, feature, cut, gain, *hist[0].sum(0).tolist(), *left, None))
+        yield _split_rows(out, n_targets)
+
+    return parts.repartition(n_parts, "tree", "node").mapInArrow(run, _split_schema(n_targets))
+
+
+def _waves(open_nodes: dict[int, np.ndarray], cells: dict[int, int]) -> Iterator[dict[int, np.ndarray]]:
     """The open nodes in shares whose histograms have at most ``MAX_CELLS`` cells (one node at least)."""
-    wave, room = {}, max(1, MAX_CELLS // cells)
-    left = room
+    wave, left = {}, MAX_CELLS
     for t, nodes in open_nodes.items():
-        items = list(nodes.items())
-        while items:
-            wave[t] = dict(items[:left])
-            items, left = items[left:], left - len(wave[t])
-            if not left:
+        while len(nodes):
+            fit = left // cells[t]
+            if not fit and wave:
                 yield wave
-                wave, left = {}, room
+                wave, left = {}, MAX_CELLS
+                continue
+            wave[t], nodes = nodes[:max(1, fit)], nodes[max(1, fit):]
+            left -= cells[t] * len(wave[t])
     if wave:
         yield wave
 
 
+# ---- rows of small nodes, each brought together once
+
+
+_PIECES = "tree int, node int, x binary, w binary, y binary"
+
+
+def _pieces(table: DataFrame, trees: Trees, nodes: dict[int, np.ndarray], members: Members, kind: type) -> DataFrame:
+    """The rows of ``nodes`` as bytes, a piece for each node and batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _chunks(batches):
+            x = _columns(batch, "b", np.int16)
+            for t, rows, w, y in members(batch, x, nodes):
+                wanted = np.zeros(len(trees.feature[t]), bool)
+                wanted[nodes[t]] = True
+                node = trees.place(t, x[rows])
+                into = np.flatnonzero(wanted[node])
+                into = into[np.argsort(node[into], kind="stable")]
+                if not len(into):
+                    continue
+                ids, starts = np.unique(node[into], return_index=True)
+                parts = [(t, int(n), x[rows[i]].astype(kind).tobytes(), w[i].astype(np.uint8).tobytes(),
+                          np.ascontiguousarray(y[i], np.float64).tobytes())
+                         for n, i in zip(ids, np.split(into, starts[1:]))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*parts), (
+                    pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["tree", "node", "x", "w", "y"])
+
+    return table.mapInArrow(run, _PIECES)
+
+
+def _joined(pieces: DataFrame, n_parts: int) -> DataFrame:
+    """One row per node with all its pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[int, int], list[tuple]] = {}
+        for batch in batches:
+            for t, node, *parts in zip(*(c.to_pylist() for c in batch.columns)):
+                found.setdefault((t, node), []).append(parts)
+        while found:
+            (t, node), parts = found.popitem()
+            whole = [b"".join(p) for p in zip(*parts)]
+            yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([node], pa.int32()),
+                                              *(pa.array([b], pa.binary()) for b in whole)], names=["tree", "node", "x", "w", "y"])
+
+    return pieces.repartition(n_parts, "tree", "node").mapInArrow(run, _PIECES)
+
+
+def _rows_of(batch: pa.RecordBatch, n_targets: int, kind: type) -> Iterator[tuple]:
+    for i in range(batch.num_rows):
+        t, node, x, w, y = (c[i].as_py() for c in batch.columns)
+        w = np.frombuffer(w, np.uint8).astype(np.float64)
+        yield t, node, np.frombuffer(x, kind).reshape(len(w), -1).astype(np.int16), w, np.frombuffer(y).reshape(-1, n_targets)
+
+
+_SUBTREES = "tree int, node int, feature binary, cut binary, low binary, gain binary, rows binary, value binary"
+
+
+def _grown(joined: DataFrame, specs: list[Spec], left: dict[tuple[int, int], int], n_targets: int, n_bins: int,
+           kind: type) -> DataFrame:
+    """The tree below each node; ``left``: how many levels it may have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, node, x, w, y in _rows_of(batch, n_targets, kind):
+                s = _subtree(x, w, y, left[t, node], specs[t], n_bins)
+                arrays = [getattr(s, c)[0].tobytes() for c in ("feature", "cut", "low", "gain", "rows", "value")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([t], pa.int32()), pa.array([node], pa.int32()), *(pa.array([a], pa.binary()) for a in arrays)],
+                    names=["tree", "node", "feature", "cut", "low", "gain", "rows", "value"])
+
+    return joined.mapInArrow(run, _SUBTREES)
+
+
+def _level_splits(joined: DataFrame, trees: Trees, specs: list[Spec], open_nodes: dict[int, np.ndarray], n_bins: int,
+                  kind: type) -> DataFrame:
+    """Best splits of the open nodes, each of which has all its rows in one row of ``joined``."""
+    n_targets = trees.n_targets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, root, x, w, y in _rows_of(batch, n_targets, kind):
+                if t not in open_nodes:
+                    continue
+                number = np.full(len(trees.feature[t]), -1)
+                number[open_nodes[t]] = np.arange(len(open_nodes[t]))
+                at = number[trees.place(t, x, start=root)]
+                into = at >= 0
+                if not into.any():
+                    continue
+                quantum = _quantum(w, y)
+                some, slot = np.unique(at[into], return_inverse=True)
+                nodes = open_nodes[t][some]
+                feature, cut, gain, total, left = _splits(
+                    x[into], w[into], np.rint(y[into] / quantum), slot, len(nodes), _drawn(specs[t], nodes, x.shape[1]),
+                    specs[t].min_leaf, n_bins, quantum)
+                columns = [np.full(len(nodes), t), nodes, feature, cut, gain, *total.T, *left.T, [None] * len(nodes)]
+                schema = _split_schema(n_targets)
+                kinds = [pa.int32()] * 4 + [pa.float64()] * (len(columns) - 5) + [pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=schema.names)
+
+    return joined.mapInArrow(run, _split_schema(n_targets))
+
+
 def grow(table: DataFrame, specs: list[Spec], depths: list[int], members: Members, n_bins: int, n_targets: int,
          sums: Callable | None = None) -> tuple[Trees, dict[int, list[float]]]:
-    """All trees, level by level; and the vectors that ``sums`` gave, summed over all rows.
+    """All trees, and the vectors that ``sums`` gave, summed over all rows.
 
-    The trees stay on the driver: at most ``MAX_NODES`` nodes in all, else ValueError.
+    Nodes of many rows are split level by level from histograms.  A node of at most ``SMALL`` rows has its rows
+    brought together once: a tree that tries all features is finished there; one that draws them goes on level by
+    level, as a node's number seeds its draw.  The trees stay on the driver: at most ``MAX_NODES`` nodes in all,
+    else ValueError.
     """
     trees = Trees(len(specs), n_targets)
     n_features = sum(c[0] == "b" and c[1:].isdigit() for c in table.columns)
     most = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    draws = [s.max_features is not None and s.max_features < n_features for s in specs]
+    cells = {t: (s.max_features if draws[t] else n_features) * n_bins * (1 + n_targets) for t, s in enumerate(specs)}
     totals: dict[int, list[float]] = {}
-    open_nodes = {t: {0: -1} for t in range(len(specs))}
-    kept, held = None, []
-    for level in range(max(1, max(depths, default=0))):
-        found, next_open, last = [], {}, level + 1 >= max(depths, default=0)
-        for wave in _waves(open_nodes, n_features * n_bins * (1 + n_targets)):
-            parts = _partials(table, trees, wave, members, n_bins, sums if not level and not found else None)
-            groups = sum(map(len, wave.values()))  # one key each; no more tasks than keys
-            if kept is not None:
-                parts = parts.unionByName(kept)
-            nodes = _merged(parts, specs, n_features, n_bins, n_targets, min(most, groups))
-            if not last:
-                held.append(nodes.persist())
-            found.append(nodes)
-            by_tree: dict[int, list] = {}
-            for r in nodes.drop("hist").collect():
-                if r["tree"] < 0:
-                    totals[r["node"]] = r["total"]
-                else:
-                    by_tree.setdefault(r["tree"], []).append(r)
-            for t, rows in by_tree.items():
-                if not level:
-                    total = np.array(rows[0]["total"])
-                    trees.rows[t][0], trees.value[t][0] = total[0], total[1:] / total[0]
-                rows = sorted((r for r in rows if r["feature"] >= 0 and level < depths[t]), key=lambda r: r["node"])
-                if not rows:
-                    continue
-                ids = np.array([r["node"] for r in rows])
-                total, left = (np.array([r[c] for r in rows]) for c in ("total", "left"))
-                low = trees.split(t, ids, *(np.array([r[c] for r in rows]) for c in ("feature", "cut", "gain")),
-                                  left, total - left)
-                if level + 1 < depths[t]:
-                    small = np.where(2 * left[:, 0] <= total[:, 0], low, low + 1)
-                    next_open.setdefault(t, {}).update(zip(small.tolist(), ids.tolist()))
+
+    def split(found: pa.Table, level_of: dict[int, int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Apply the splits; for each tree its new nodes that may split and their rows."""
+        names = found.column_names
+        tree, node, feature, cut, gain = (found.column(c).to_numpy() for c in names[:5])
+        total, left = (np.stack([found.column(f"{p}{c}").to_numpy() for c in range(1 + n_targets)], 1) for p in "tl")
+        for i in np.flatnonzero(tree < 0):
+            totals[int(node[i])] = np.frombuffer(found.column("vector")[int(i)].as_py()).tolist()
+        opened = {}
+        order = np.lexsort((node, tree))
+        for at in np.split(order, np.flatnonzero(np.diff(tree[order])) + 1):
+            if not len(at) or tree[at[0]] < 0:
+                continue
+            t = int(tree[at[0]])
+            if node[at[0]] == 0:
+                trees.rows[t][0], trees.value[t][0] = total[at[0], 0], total[at[0], 1:] / total[at[0], 0]
+            at = at[feature[at] >= 0] if level_of[t] < depths[t] else at[:0]
+            if not len(at):
+                continue
+            low = trees.split(t, node[at], feature[at], cut[at], gain[at], left[at], total[at] - left[at])
+            kids = (low[:, None] + np.arange(2)).ravel()
+            rows = np.stack([left[at, 0], total[at, 0] - left[at, 0]], 1).ravel()
+            may = rows >= max(2 * specs[t].min_leaf, 2)
+            if level_of[t] + 1 < depths[t] and may.any():
+                opened[t] = kids[may], rows[may]
         if sum(map(len, trees.feature)) > MAX_NODES:
             raise ValueError(f"more than {MAX_NODES} nodes: fewer trees or larger leaves")
-        open_nodes = next_open
-        if not open_nodes:
-            break
-        deeper = _lookup({t: depths[t] for t in sorted(open_nodes)})
-        kept = reduce(DataFrame.unionByName, found).where((F.col("feature") >= 0) & (F.try_element_at(deeper, "tree") > level + 1)) \
-            .select("tree", F.col("node").alias("parent"), F.lit(-1).alias("child"), "hist")
-        if len(found) > 1 or level % CUT_EVERY == CUT_EVERY - 1:
-            kept = _stored(kept, "histograms")
-    for df in held:
-        df.unpersist()
+        return opened
+
+    open_nodes = {t: np.zeros(1, np.int64) for t in range(len(specs))}
+    small: dict[int, list[np.ndarray]] = {}
+    levels_left: dict[tuple[int, int], int] = {}
+    level_of: dict[int, int] = {}
+    n_rows, level = 0.0, 0
+    while open_nodes:
+        found = []
+        for wave in _waves(open_nodes, cells):
+            parts = _partials(table, trees, specs, wave, members, n_bins, sums if not level and not found else None)
+            groups = sum(map(len, wave.values()))  # one key each; no more tasks than keys
+            found.append(_merged(parts, specs, n_features, n_bins, n_targets, min(most, groups)).toArrow())
+        opened, open_nodes = split(pa.concat_tables(found), dict.fromkeys(open_nodes, level)), {}
+        level += 1
+        for t, (nodes, rows) in opened.items():
+            few = rows <= SMALL
+            if depths[t] - level < 2 or draws[t] and not few.all():
+                few = np.zeros(len(rows), bool)  # the last level needs sums only; a drawing tree stays in step
+            if few.any():
+                small.setdefault(t, []).append(nodes[few])
+                levels_left |= {(t, n): depths[t] - level for n in nodes[few].tolist()}
+                level_of[t] = level
+                n_rows += float(rows[few].sum())
+            if not few.all():
+                open_nodes[t] = nodes[~few]
+
+    kind = np.uint8 if n_bins <= 256 else np.int16
+    row_bytes = n_features * np.dtype(kind).itemsize + 1 + 8 * n_targets
+    for wanted in (False, True):
+        nodes = {t: np.concatenate(n) for t, n in small.items() if draws[t] is wanted}
+        if not nodes:
+            continue
+        n_parts = min(max(most, int(n_rows * row_bytes / PART_BYTES) + 1), sum(map(len, nodes.values())))
+        joined = _joined(_pieces(table, trees, nodes, members, kind), n_parts)
+        if not wanted:
+            got = _grown(joined, specs, levels_left, n_targets, n_bins, kind).toArrow()
+            trees.graft(got)
+            if sum(map(len, trees.feature)) > MAX_NODES:
+                raise ValueError(f"more than {MAX_NODES} nodes: fewer trees or larger leaves")
+            continue
+        joined = _stored(joined, "rows-by-node")
+        open_nodes = nodes
+        while open_nodes:
+            found = _level_splits(joined, trees, specs, open_nodes, n_bins, kind).toArrow()
+            opened = split(found, level_of)
+            open_nodes = {t: n for t, (n, _) in opened.items()}
+            for t in open_nodes:
+                level_of[t] += 1
     return trees, totals
 
 
@@ -522,22 +791,28 @@ def forest_grid(df: DataFrame, features: list[str], label: str, key: str, fold:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         out = np.zeros((len(settings), 5))
-        for batch in batches:
+        number = {s: i for i, s in enumerate(settings)}
+        for batch in _chunks(batches):
             x, y = _columns(batch, "b", np.int16), _columns(batch, "y", np.float64)
             folds = batch.column("fold").to_numpy(zero_copy_only=False)
             for k, (leaf, m, f) in enumerate(kinds):
                 rows = np.flatnonzero(folds == f)
                 if not len(rows):
                     continue
-                for d in depths:
-                    total = np.zeros((len(rows), y.shape[1]))
-                    for t in range(per):
-                        total += own.predict(k * per + t, x[rows], d)
+                mine, told = x[rows], y[rows]
+                totals = {d: np.zeros((len(rows), y.shape[1])) for d in depths}
+                spread = [told[:, 0].sum(), (told[:, 0] ** 2).sum()]
+                for t in range(per):
+                    node, above = 0, 0
+                    for d in sorted(totals):
+                        node, above = own.place(k * per + t, mine, d - above, node), d
+                        total = totals[d]
+                        total += own.value[k * per + t][node]
                         n = t + 1
                         if n in (sizes or [1]):
-                            error = ((y[rows] - total / n) ** 2).sum()
-                            right = (total.argmax(1) == y[rows].argmax(1)).sum()
-                            out[settings.index((n, d, leaf, m))] += [len(rows), error, right, y[rows, 0].sum(), (y[rows, 0] ** 2).sum()]
+                            error = ((told - total / n) ** 2).sum()
+                            right = (total.argmax(1) == told.argmax(1)).sum()
+                            out[number[n, d, leaf, m]] += [len(rows), error, right, *spread]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(settings))), *(pa.array(out[:, i]) for i in range(5))],
                                          names=["s", "n", "error", "right", "sy", "syy"])
 
@@ -631,13 +906,16 @@ def boost(df: DataFrame, features: list[str], label: str, settings: list[BoostSe
     live = list(range(len(settings)))
     stored = [0] * len(settings)
     best = [(np.inf, 0)] * len(settings)
+    spent = None
+
+    def told(own: Boosted, batch: pa.RecordBatch, m: int) -> np.ndarray:
+        name = f"m{m}"
+        return batch.column(name).to_numpy(zero_copy_only=False) if name in batch.schema.names else np.full(batch.num_rows, own.base)
 
     def residuals(own: Boosted, batch: pa.RecordBatch, x: np.ndarray, wanted: list[int], start: list[int]):
         y = batch.column("y0").to_numpy(zero_copy_only=False)
-        names = batch.schema.names
         for m in wanted:
-            told = batch.column(f"m{m}").to_numpy(zero_copy_only=False) if f"m{m}" in names else own.base
-            yield m, y - told - own.margins(m, x, start[m])
+            yield m, y - told(own, batch, m) - own.margins(m, x, start[m])
 
     def with_margins(own: Boosted, wanted: list[int], start: list[int]) -> DataFrame:
         fields = [f for f in table.schema.fields if f.name[0] != "m"]
@@ -645,11 +923,11 @@ def boost(df: DataFrame, features: list[str], label: str, settings: list[BoostSe
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x, y = _columns(batch, "b", np.int16), batch.column("y0").to_numpy(zero_copy_only=False)
-                more = [pa.array(y - r) for _, r in residuals(own, batch, x, wanted, start)]
+                x = _columns(batch, "b", np.int16)
+                more = [pa.array(told(own, batch, m) + own.margins(m, x, start[m])) for m in wanted]
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), *more], names=schema.names)
 
-        return _stored(table.mapInArrow(run, schema), "margins")
+        return table.mapInArrow(run, schema)
 
     for n in range(n_trees + 1):
         slim = Boosted(binning, settings, model.base, [r[s:] for r, s in zip(model.rounds, stored)], [])
@@ -670,6 +948,8 @@ def boost(df: DataFrame, features: list[str], label: str, settings: list[BoostSe
         depths = [settings[m].max_depth if n < n_trees else 0 for m in wanted]
         specs = [Spec(settings[m].min_leaf) for m in wanted]
         trees, totals = grow(table, specs, depths, members, binning.size, 1, sums)
+        if spent is not None:
+            spent.unpersist()
         for i, m in enumerate(wanted):
             if i not in totals:
                 live.remove(m)  # no rows at all
@@ -690,8 +970,9 @@ def boost(df: DataFrame, features: list[str], label: str, settings: list[BoostSe
                 model.rounds[m].append((trees, i))
         if not live or n == n_trees:
             break
-        if (n + 1) % PENDING == 0:
-            slim = Boosted(binning, settings, model.base, [r[s:] for r, s in zip(model.rounds, stored)], [])
-            table = with_margins(slim, list(live), [0] * len(settings))
-            stored = [len(r) for r in model.rounds]
+        slim = Boosted(binning, settings, model.base, [r[s:] for r, s in zip(model.rounds, stored)], [])
+        told_now = with_margins(slim, list(live), [0] * len(settings))
+        spent, table = table, _stored(told_now, "margins") if (n + 1) % PENDING == 0 else told_now.persist()
+        stored = [len(r) for r in model.rounds]
+    table.unpersist()
     return model

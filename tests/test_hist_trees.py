@@ -207,3 +207,32 @@ def test_edges(spark):
     assert [r["prediction"] for r in got.orderBy("id", "y").collect() if r["id"] in (1, 3)] == [1.0, 3.0, 3.0]
     same = spark.createDataFrame([(i, 1.0, 1.0, 2.0) for i in range(5)], schema)
     assert {r["prediction"] for r in H.fit_forest(same, ["a", "b"], "y", "id", 1, 3, bootstrap=False).transform(same).collect()} == {2.0}
+
+
+@pytest.mark.parametrize("tried", [None, 2])
+def test_small_nodes_take_one_scan_and_the_same_splits(spark, data, monkeypatch, tried):
+    df, _, _ = data
+    scans = []
+    partials = H._partials
+    monkeypatch.setattr(H, "_partials", lambda *a, **k: scans.append(1) or partials(*a, **k))
+    rows = []
+    for small in (H.SMALL, 100, 0):
+        monkeypatch.setattr(H, "SMALL", small)
+        scans.clear()
+        grid = H.forest_grid(df, COLS, "y", "id", F.col("fold"), 5, [2, 9], [3], max_features=[tried], folds=[0, 1], bins=16)
+        rows.append([tuple(r) for r in grid.drop("max_features").orderBy("max_depth").collect()])
+        assert len(scans) == (1 if small > 700 else len(scans))
+    assert len(scans) > 5
+    for other in rows[1:]:
+        for a, b in zip(rows[0], other):
+            assert a == pytest.approx(b, rel=1e-9)
+
+
+def test_equal_splits_go_to_the_first_feature(spark):
+    # both features part the rows alike; sums of these targets depend on their order
+    rng = np.random.default_rng(2)
+    x = rng.permutation(40).reshape(-1, 1).repeat(2, 1).astype(np.int16)
+    y = rng.normal(1e5, 3e4, (40, 1))
+    t = H._subtree(x, np.ones(40), y, 20, H.Spec(1), 64)
+    assert set(t.feature[0].tolist()) == {-1, 0} and (t.feature[0] == -1).sum() == 40
+    assert sorted(t.value[0][t.low[0] == 0][:, 0]) == pytest.approx(sorted(y[:, 0]))
