@@ -10,7 +10,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.blocks import block_pairs, make_blocks
+from tessera.operators.blocks import block_pairs, make_blocks, product
 
 
 def kmeans_restarts(df: DataFrame, k: int, seeds: list[int], features: str = "features",
@@ -57,13 +57,12 @@ def _pair_sums(it):
         for g, bi, bj, va, vb in zip(pdf.iloc[:, 0], pdf["bi"], pdf["bj"], pdf["vecs_a"], pdf["vecs_b"]):
             A = np.array([np.asarray(v, dtype=float) for v in va])
             B = np.array([np.asarray(v, dtype=float) for v in vb])
-            d2 = (A * A).sum(1)[:, None] + (B * B).sum(1)[None, :] - 2 * A @ B.T
-            dist = np.sqrt(np.maximum(d2, 0.0))
-            if bi == bj:
-                iu = np.triu_indices(len(A), k=1)
-                s, n = float(dist[iu].sum()), len(iu[0])
-            else:
-                s, n = float(dist.sum()), dist.size
+            s, n = 0.0, len(A) * (len(A) - 1) // 2 if bi == bj else len(A) * len(B)
+            for i in range(0, len(A), 512):
+                a, b = A[i:i + 512], B[i:] if bi == bj else B
+                d2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * product(a, b)
+                dist = np.sqrt(np.maximum(d2, 0.0))
+                s += float(dist[np.triu_indices(len(a), 1, len(b))].sum() if bi == bj else dist.sum())
             out.append((g, s, n))
         yield pd.DataFrame(out, columns=[pdf.columns[0], "dist_sum", "n_pairs"])
 
