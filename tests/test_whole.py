@@ -98,3 +98,71 @@ def test_whole_vector_discriminants(spark):
                      for p in (x[y2 == 0], x[y2 == 1])])
     pred = {r["id"]: r["qda"] for r in C.vector_discriminant_predict(two, {"qda": m}, "id", "v").collect()}
     assert [pred[i] for i in range(len(y))] == full.argmax(0).tolist()
+
+
+def test_rows_of_a_slice_are_bounded(spark, monkeypatch):
+    """A task turns a bounded number of tokens into arrays at a time, whatever the batch; ids are the same."""
+    import pyarrow as pa
+    monkeypatch.setattr(X, "SLICE_TOKENS", 3)
+    lists = pa.array([["a"], ["b", "c"], [], ["d"] * 7, None, ["e"], ["f"] * 3])
+    for arr in (lists, lists.slice(2, 4)):
+        got = list(X._row_slices(arr))
+        assert [x for at, n in got for x in arr.slice(at, n).to_pylist()] == arr.to_pylist()
+        assert all(n == 1 or len(arr.slice(at, n).flatten()) <= 3 for at, n in got)
+    docs = spark.createDataFrame([(1, ["b", "x", "a", "c", "b"]), (2, []), (3, None), (4, ["c", "a"]), (5, ["q"])],
+                                 "doc_id long, tokens array<string>").coalesce(1)
+    vocab = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "word string, id long")
+    for head in (0, 2, 9):
+        monkeypatch.setattr(X, "HEAD_IDS", head)
+        got = sorted((r["doc_id"], r["ids"]) for r in X.texts_to_ids(docs, "doc_id", "tokens", vocab).collect())
+        assert got == [(1, [2, 1, 3, 2]), (2, []), (3, []), (4, [3, 1]), (5, [])]
+
+
+@pytest.mark.parametrize("head", [0, 2, 9])
+def test_rows_of_frequent_words_stay_where_they_are(spark, monkeypatch, head):
+    """Only rows that the head does not know take part in the shuffled join; results do not depend on the head."""
+    monkeypatch.setattr(X, "HEAD_WORDS", head)
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "zz"), (4, None), (None, "d"), (5, "c")], "doc_id long, word string")
+    table = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4)], "word string, id long")
+    inner = [(1, "a", 1), (1, "a", 1), (2, "b", 2), (5, "c", 3), (None, "d", 4)]
+    key = lambda r: tuple(map(str, r))
+    joined = X.by_word(rows, table)
+    assert sorted(map(tuple, joined.collect()), key=key) == sorted(inner, key=key)
+    assert "LeftAnti" in joined._jdf.queryExecution().optimizedPlan().toString()
+    left = [tuple(r) for r in X.by_word(rows, table, "left").collect()]
+    assert sorted(left, key=key) == sorted([*inner, (3, "zz", None), (4, None, None)], key=key)
+    ids = spark.createDataFrame([(7, 1), (7, 4), (8, 0), (9, None)], "doc_id long, id long")
+    got = sorted(map(tuple, X.word_of_id(ids, table).select("doc_id", "id", "word").collect()), key=key)
+    assert got == sorted([(7, 1, "a"), (7, 4, "d"), (8, 0, None), (9, None, None)], key=key)
+
+
+@pytest.mark.parametrize("head", [1, 20])
+def test_words_known_without_a_vector_are_not_looked_up(spark, monkeypatch, head):
+    """A frequent word with a null vector has zeros; no search among the rare words follows."""
+    monkeypatch.setattr(X, "HEAD_WORDS", head)
+    docs = spark.createDataFrame([(1, ["x", "a", "x", "q"])], "doc_id long, tokens array<string>")
+    vecs = spark.createDataFrame([("x", 1, None), ("x", 40, [9.0, 9.0]), ("a", 30, [1.0, -2.0])], "word string, id long, vector array<float>")
+    got = X.token_vectors(X.token_rows(docs, "doc_id", "tokens"), vecs, 2).orderBy("pos").collect()
+    assert [r["vector"] for r in got] == [[0.0, 0.0], [1.0, -2.0], [0.0, 0.0], [0.0, 0.0]]
+
+
+@pytest.mark.parametrize("head", [1, 20])
+def test_pooled_vectors_by_a_loop(spark, monkeypatch, head):
+    monkeypatch.setattr(X, "HEAD_WORDS", head)
+    seqs = {1: [1, 2, 2, 1], 2: [1, 3], 3: [], 4: [2, 2, 2], 5: [3], 6: [9]}
+    vecs = {1: [-1.0, -2.0], 2: [-3.0, 4.0], 3: [0.0, 0.0]}
+    ids = spark.createDataFrame(list(seqs.items()), "doc_id long, ids array<long>")
+    table = spark.createDataFrame(list(vecs.items()), "id long, vector array<float>")
+    for how, f in (("max", np.max), ("mean", np.mean)):
+        got = {r["doc_id"]: r["vector"] for r in X.pooled_vectors(ids, table, 2, how).collect()}
+        for d, s in seqs.items():
+            own = [vecs[i] for i in s if i in vecs]
+            assert got[d] == pytest.approx(list(f(own, axis=0)) if own else [0.0, 0.0])
+
+
+def test_lookup_of_documents_that_share_an_id(spark, tmp_path):
+    docs = [(1, "a b a"), (2, "a c"), (2, "a d e"), (None, "a"), (3, None), (4, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, REG["vocab_lookup"].fn(spark, str(tmp_path)).collect()))
+    # as the SQL joins: places of documents 2 meet both ways
+    assert got == [(1, 3, 3), (2, 9, 7)]
