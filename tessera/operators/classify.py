@@ -257,18 +257,22 @@ def adaboost(df: DataFrame, label: str = "label", features: str = "features", ro
     for i in range(rounds):
         m = DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=1, weightCol="_w",
                                    predictionCol="_p", rawPredictionCol="_raw", probabilityCol="_prob").fit(cur)
-        scored = m.transform(cur).withColumn("_miss", (F.col("_p") != F.col(label)).cast("double"))
-        err = scored.agg(F.sum(F.col("_w") * F.col("_miss")) / F.sum("_w")).first()[0]
+        # a round needs the predicted class only
+        miss = (F.col("_p") != F.col(label)).cast("double")
+        scored = m.copy().setRawPredictionCol("").setProbabilityCol("").transform(cur).withColumn("_miss", miss)
+        wrong, every = scored.agg(F.sum(F.col("_w") * F.col("_miss")), F.sum("_w")).first()
+        err = wrong / every
         if err <= 0 or err >= 0.5:
             if err <= 0:
                 models.append((m, 1.0))
             break
         alpha = math.log((1 - err) / err)
         models.append((m, alpha))
-        upd = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss")))
-        total = upd.agg(F.sum("_w")).first()[0]
-        cur = upd.withColumn("_w", F.col("_w") / total).select(id_col, features, label, "_w")
-        if (i + 1) % checkpoint_every == 0:
+        # the new weights' total: those of the misses grow by exp(alpha)
+        total = every - wrong + wrong * math.exp(alpha)
+        cur = scored.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss")) / total).select(
+            id_col, features, label, "_w")
+        if (i + 1) % checkpoint_every == 0 and i + 1 < rounds:
             cur = cut_lineage(cur)
     return models
 
@@ -278,9 +282,8 @@ def adaboost_predict(df: DataFrame, models, features: str = "features") -> DataF
     log odds of a stump, so P(1) is the logistic of the score."""
     out = df.withColumn("_score", F.lit(0.0))
     for m, alpha in models:
-        out = (m.setPredictionCol("_p").setRawPredictionCol("_raw").setProbabilityCol("_prob")
-               .transform(out).withColumn("_score", F.col("_score") + alpha * (2 * F.col("_p") - 1))
-               .drop("_p", "_raw", "_prob"))
+        out = (m.setPredictionCol("_p").setRawPredictionCol("").setProbabilityCol("")
+               .transform(out).withColumn("_score", F.col("_score") + alpha * (2 * F.col("_p") - 1)).drop("_p"))
     return (out.withColumn("prob_ada", 1 / (1 + F.exp(-F.col("_score"))))
             .withColumn("prediction", (F.col("_score") > 0).cast("double")).drop("_score"))
 
