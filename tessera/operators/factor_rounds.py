@@ -23,8 +23,10 @@ from pyspark.storagelevel import StorageLevel
 
 from tessera.session import cut_lineage, scratch_dir
 
-#: Ratings of a block, about; it travels to its task in every round, 12 bytes a rating, and is solved in some 80 bytes a rating.
+#: Ratings of a block, about; it travels to its task in every round, 12 bytes a rating.
 BLOCK_RATINGS = 1 << 21
+#: Ratings summed at once, at least; their arrays fit the cache.
+CHUNK = 1 << 16
 #: Rounds between two looks at whether a factor changed.
 LOOK = 5
 _CELLS = ("block int, users binary, products binary, ends binary, row binary, col binary, rating binary, start binary")
@@ -72,11 +74,14 @@ def _pack(keys: list[int], rank: int):
 
 def _equations(factors: np.ndarray, at: np.ndarray, to: np.ndarray, n: int, rating: np.ndarray) -> np.ndarray:
     """For each of ``n`` rows the sums over its ratings: upper triangle of f f', rating f, count."""
-    at, to, rating = at.astype(np.intp), to.astype(np.intp), rating.astype(np.float64)
-    f = [x[at] for x in np.ascontiguousarray(factors.T, np.float64)]
-    sums = [np.bincount(to, f[a] * f[b], n) for a in range(len(f)) for b in range(a, len(f))]
-    sums += [np.bincount(to, x * rating, n) for x in f]
-    return np.stack([*sums, np.bincount(to, minlength=n)], 1)
+    f, step = np.ascontiguousarray(factors.T, np.float64), max(CHUNK, n)
+    sums = np.zeros((len(f) * (len(f) + 3) // 2 + 1, n))
+    for c in (slice(i, i + step) for i in range(0, len(to), step)):
+        t, g = to[c].astype(np.intp), [x[at[c]] for x in f]
+        terms = [g[a] * g[b] for a in range(len(f)) for b in range(a, len(f))] + [x * rating[c] for x in g]
+        for total, x in zip(sums, [*terms, None]):
+            total += np.bincount(t, x, n)
+    return sums.T
 
 
 def _solve(sums: np.ndarray, rank: int, reg: float) -> np.ndarray:
