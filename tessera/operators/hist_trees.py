@@ -97,16 +97,20 @@ def fit_bins(df: DataFrame, features: list[str], bins: int = 64) -> Binning:
     return Binning(list(features), cuts)
 
 
-def binned_table(df: DataFrame, binning: Binning, key: Column, targets: list[Column], **extra: Column) -> DataFrame:
-    """(key, extra.., b0.., y0..) of the rows whose targets are all there, stored once."""
-    names, ys = list(extra), [f"y{i}" for i in range(len(targets))]
+def slim_rows(df: DataFrame, binning: Binning, key: Column, targets: list[Column], **extra: Column) -> DataFrame:
+    """(key, extra.., y0.., f0..) of the rows whose targets are all there."""
+    ys = [f"y{i}" for i in range(len(targets))]
     present = F.lit(True)
     for y in ys:
         present = present & F.col(y).isNotNull() & ~F.isnan(y)
-    slim = df.select(key.cast("long").alias("key"), *[c.alias(n) for n, c in extra.items()],
+    return df.select(key.cast("long").alias("key"), *[c.alias(n) for n, c in extra.items()],
                      *[t.cast("double").alias(y) for t, y in zip(targets, ys)],
                      *[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(binning.features)]).where(present)
-    head = slim.select("key", *names, *ys).schema
+
+
+def binned_table(slim: DataFrame, binning: Binning) -> DataFrame:
+    """The columns of ``slim_rows`` with bins b0.. in place of the features, stored once."""
+    head = slim.select(*slim.columns[:len(slim.columns) - len(binning.cuts)]).schema
     schema = T.StructType([*head.fields, *[T.StructField(f"b{i}", T.ShortType()) for i in range(len(binning.cuts))]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +121,7 @@ def binned_table(df: DataFrame, binning: Binning, key: Column, targets: list[Col
                                              names=schema.names)
 
     # few input files must not mean few tasks in every later scan
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return _stored(slim.repartition(n_parts).mapInArrow(run, schema), "binned")
 
 
@@ -220,15 +224,24 @@ class Spec:
 
 
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.concatenate([[1.0], np.arange(1, 12)])))
+#: By the first 16 bits of a number in [0, 1): how many of the sums it reaches at least, and where more bits decide.
+_REACHED = np.searchsorted(_POISSON, np.arange(1 << 16) / 2.0**16, "right").astype(np.uint8)
+_UNSURE = _REACHED != np.searchsorted(_POISSON, np.arange(1, (1 << 16) + 1) / 2.0**16, "right")
 
 
 def _bootstrap(keys: np.ndarray, seed: int) -> np.ndarray:
     """How often a row is drawn: Poisson(1) from a hash of its key and the tree's seed."""
     with np.errstate(over="ignore"):
-        h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed + 1) * np.uint64(0xBF58476D1CE4E5B9)
+        h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        h += np.uint64(seed + 1) * np.uint64(0xBF58476D1CE4E5B9)
         for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            h = (h ^ (h >> np.uint64(shift))) * np.uint64(by)
-    return np.searchsorted(_POISSON, (h >> np.uint64(11)).astype(np.float64) / 2.0**53, "right").astype(np.float64)
+            h ^= h >> np.uint64(shift)
+            h *= np.uint64(by)
+    top = (h >> np.uint64(48)).astype(np.uint16)
+    out = _REACHED[top].astype(np.float64)
+    unsure = np.flatnonzero(_UNSURE[top])
+    out[unsure] = np.searchsorted(_POISSON, (h[unsure] >> np.uint64(11)).astype(np.float64) / 2.0**53, "right")
+    return out
 
 
 def _best(hist: np.ndarray, min_leaf: int) -> tuple[int, int, float]:
@@ -272,16 +285,21 @@ def _splits(x: np.ndarray, w: np.ndarray, y: np.ndarray, slot: np.ndarray, k: in
     """
     n_tried = x.shape[1] if drawn is None else drawn.shape[1]
     v = x if drawn is None else np.take_along_axis(x, drawn[slot], 1)
-    code = ((slot[:, None] * n_tried + np.arange(n_tried)) * n_bins + v).ravel()
-    if k * n_tried * n_bins <= 8 * len(code):
-        at, size, names = code, k * n_tried * n_bins, None
-    else:
-        names, at = np.unique(code, return_inverse=True)
-        size = len(names)
-    sums = [np.bincount(at, np.repeat(c, n_tried), size) for c in (w, *(w * y[:, c] for c in range(y.shape[1])))]
-    if names is None:
+    weights = (w, *(w * y[:, c] for c in range(y.shape[1])))
+    if k * n_bins <= 8 * len(v):
+        sums = [np.empty((k, n_tried, n_bins)) for _ in weights]
+        first = slot * n_bins
+        for f in range(n_tried):
+            code = first + v[:, f]
+            for of, c in zip(sums, weights):
+                of[:, f] = np.bincount(code, c, k * n_bins).reshape(k, n_bins)
+        sums = [s.ravel() for s in sums]
         names = np.flatnonzero(sums[0] > 0)
         sums = [s[names] for s in sums]
+    else:
+        code = ((slot[:, None] * n_tried + np.arange(n_tried)) * n_bins + v).ravel()
+        names, at = np.unique(code, return_inverse=True)
+        sums = [np.bincount(at, np.repeat(c, n_tried), len(names)) for c in weights]
     cells = np.stack(sums, 1).astype(np.int64)
     segment = names // n_bins
     node = segment // n_tried
@@ -743,7 +761,7 @@ def fit_forest(df: DataFrame, features: list[str], label: str, key: str, n_trees
     """Trees on rows drawn by a hash of ``key``; for ``classes`` (their list), of any number, by Gini."""
     binning = fit_bins(df, features, bins)
     targets = _targets(df, label, classes)
-    table = binned_table(df, binning, F.col(key), targets)
+    table = binned_table(slim_rows(df, binning, F.col(key), targets), binning)
     specs = [Spec(min_leaf, max_features, seed * 1000 + t, bootstrap) for t in range(n_trees)]
     trees, _ = grow(table, specs, [max_depth] * n_trees, _forest_members(specs), binning.size, len(targets))
     return Forest(binning, trees, specs, classes)
@@ -760,7 +778,7 @@ def fit_segments(df: DataFrame, features: list[str], label: str, key: str, segme
     binning = fit_bins(df, features, bins)
     known = df.where(F.col(segment).isNotNull())
     number = F.try_element_at(_lookup(numbers), F.col(segment)) if numbers else F.lit(0)
-    table = binned_table(known, binning, F.col(key), [F.col(label)], segment=number.cast("int"))
+    table = binned_table(slim_rows(known, binning, F.col(key), [F.col(label)], segment=number.cast("int")), binning)
     specs = [Spec(min_leaf, None, seed * 1000 + t, True, s) for s in range(len(values)) for t in range(n_trees)]
     trees, _ = grow(table, specs, [max_depth] * len(specs), _forest_members(specs), binning.size, 1)
     return Forest(binning, trees, specs, None, segment, numbers)
@@ -775,13 +793,26 @@ def forest_grid(df: DataFrame, features: list[str], label: str, key: str, fold:
 
     Only leaf size, features per node and fold are trees of their own; depths and sizes are read off the same
     trees.  ``sizes`` None: single trees on all rows; else forests of that many bootstrapped trees.  Costs
-    max(depths) scans to grow and one to score.
+    max(depths) scans to grow and one to score; where rows outnumber the cells (``cell_trees``) and numbers are
+    told from all features, one scan adds rows up by cell and trees are neither kept nor sent to the driver.
     """
+    from tessera.operators import cell_trees
+
     targets = _targets(df, label, classes)
     binning = fit_bins(df, features, bins)
-    table = binned_table(df, binning, F.col(key), targets, fold=fold.cast("int"))
-    per, boot = (max(sizes), True) if sizes else (1, False)
+    slim = slim_rows(df, binning, F.col(key), targets, fold=fold.cast("int"))
     tried = max_features or [None]
+    if classes is None and tried == [None]:
+        held = list(range(n_folds)) if folds is None else folds
+        all_rows = slim.agg(F.count(F.lit(1)).alias("n"), F.avg("y0").alias("y")).first()
+        radix = cell_trees.radix_of(binning, all_rows["n"], len(held) + 1)
+        if radix:
+            sums = cell_trees.score_grid(slim, binning, radix, held, depths, min_leafs, sizes, seed, np.array([all_rows["y"]]))
+            kinds = df.sparkSession.createDataFrame(list(enumerate(min_leafs)), "leaf int, min_leaf int")
+            named = kinds.join(sums.withColumnRenamed("depth", "max_depth"), "leaf")
+            return _graded(named.withColumn("max_features", F.lit(None).cast("int")), classes)
+    table = binned_table(slim, binning)
+    per, boot = (max(sizes), True) if sizes else (1, False)
     kinds = [(leaf, m, f) for leaf in min_leafs for m in tried for f in (range(n_folds) if folds is None else folds)]
     specs = [Spec(leaf, m, seed * 1000 + t, boot, None, f) for leaf, m, f in kinds for t in range(per)]
     trees, _ = grow(table, specs, [max(depths)] * len(specs), _forest_members(specs), binning.size, len(targets))
@@ -817,14 +848,19 @@ def forest_grid(df: DataFrame, features: list[str], label: str, key: str, fold:
                                          names=["s", "n", "error", "right", "sy", "syy"])
 
     scored = (table.mapInArrow(run, "s long, n double, error double, right double, sy double, syy double")
-              .groupBy("s").agg(*[F.sum(c).alias(c) for c in ("n", "error", "right", "sy", "syy")]).where("n > 0"))
+              .groupBy("s").agg(*[F.sum(c).alias(c) for c in ("n", "error", "right", "sy", "syy")]))
     names = df.sparkSession.createDataFrame([(i, *s) for i, s in enumerate(settings)],
                                             "s long, n_trees int, max_depth int, min_leaf int, max_features int")
+    return _graded(names.join(scored, "s"), classes)
+
+
+def _graded(sums: DataFrame, classes: list | None) -> DataFrame:
+    """What ``forest_grid`` returns, from sums over held-out rows."""
     mse = F.col("error") / F.col("n")
     spread = F.col("syy") / F.col("n") - (F.col("sy") / F.col("n")) ** 2
     score = (F.col("right") / F.col("n")).alias("accuracy") if classes else F.when(spread > 0, 1 - mse / spread).alias("r2")
-    return names.join(scored, "s").select("n_trees", "max_depth", "min_leaf", "max_features",
-                                          F.col("n").cast("long").alias("n"), mse.alias("mse"), score)
+    return sums.where("n > 0").select("n_trees", "max_depth", "min_leaf", "max_features",
+                                      F.col("n").cast("long").alias("n"), mse.alias("mse"), score)
 
 
 # ---------------------------------------------------------------- boosting
@@ -855,6 +891,15 @@ class Boosted:
         return spark.createDataFrame(self.history, "model int, max_depth int, eta double, round int, train_mae double, "
                                      "train_rmse double, mae double, rmse double, mae_under double, mae_over double")
 
+    def note(self, model: int, n: int, errors: np.ndarray) -> float:
+        """Add a line of history from sums of residuals (see ``_errors``); returns the loss that early stopping follows."""
+        tn, ta, ts, hn, ha, hs, un, ua, us, on, oa, os = errors
+        share = lambda a, b: float(a / b) if b else None
+        s = self.settings[model]
+        self.history.append((model, s.max_depth, float(s.eta), n, share(ta, tn), float(np.sqrt(ts / tn)) if tn else None,
+                             share(ha, hn), float(np.sqrt(hs / hn)) if hn else None, share(ua, un), share(oa, on)))
+        return np.sqrt((s.eta * us + os) / hn) if hn else np.sqrt(ts / tn) if tn else np.inf
+
     def margins(self, model: int, x: np.ndarray, start: int = 0) -> np.ndarray:
         out = np.zeros(len(x))
         for trees, t in self.rounds[model][start:]:
@@ -894,13 +939,20 @@ def boost(df: DataFrame, features: list[str], label: str, settings: list[BoostSe
           bins: int = 64) -> Boosted:
     """Boosting from the mean; all settings share each scan.
 
-    A round costs as many scans as the deepest tree has levels.  Rows where ``holdout`` is true only measure.
+    A round costs as many scans as the deepest tree has levels, or one where rows outnumber the cells
+    (``cell_trees``).  Rows where ``holdout`` is true only measure.
     With ``patience``, a setting ends when its held-out loss (the root of the mean square, under-estimates times
     eta) has not fallen by more than the share ``min_gain`` in so many rounds, and keeps its trees up to the best.
     """
+    from tessera.operators import cell_trees
+
     hold = F.coalesce(holdout, F.lit(False)) if holdout is not None else F.lit(False)
     binning = fit_bins(df.where(~hold), features, bins)
-    table = binned_table(df, binning, F.lit(0), [F.col(label)], hold=hold)
+    slim = slim_rows(df, binning, F.lit(0), [F.col(label)], hold=hold)
+    radix = cell_trees.radix_of(binning, slim.count())
+    if radix:
+        return cell_trees.boost(slim.drop("key"), binning, radix, settings, n_trees, patience, min_gain)
+    table = binned_table(slim, binning)
     base = table.where("NOT hold").agg(F.avg("y0")).first()[0] or 0.0
     model = Boosted(binning, settings, float(base), [[] for _ in settings], [])
     live = list(range(len(settings)))
@@ -954,12 +1006,7 @@ def boost(df: DataFrame, features: list[str], label: str, settings: list[BoostSe
             if i not in totals:
                 live.remove(m)  # no rows at all
                 continue
-            tn, ta, ts, hn, ha, hs, un, ua, us, on, oa, os = totals[i]
-            share = lambda a, b: a / b if b else None
-            loss = np.sqrt((settings[m].eta * us + os) / hn) if hn else np.sqrt(ts / tn) if tn else np.inf
-            model.history.append((m, settings[m].max_depth, float(settings[m].eta), n, share(ta, tn),
-                                  float(np.sqrt(ts / tn)) if tn else None, share(ha, hn),
-                                  float(np.sqrt(hs / hn)) if hn else None, share(ua, un), share(oa, on)))
+            loss = model.note(m, n, totals[i])
             if loss < best[m][0] * (1 - min_gain):
                 best[m] = (loss, n)
             elif patience is not None and n - best[m][1] >= patience:
