@@ -143,3 +143,22 @@ def test_articles_by_the_host(spark):
     want |= {10: f"it says {notice} and more own text of the page", 11: f"{notice} own text of the page", 12: notice}
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r["page_id"]: r["text"] for r in B.main_text(df).collect()} == want
+
+
+def test_open_pages_learn_from_pages_with_articles(spark):
+    """Runs that pages with an article hold, beside it or in it, count for the open pages of their host."""
+    menu = "home products about contact legal press jobs help sitemap imprint"
+    passage = "ten plain words that an article has and a page quotes"
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(25))
+    rows = [(i, "http://a.example/x", f"<nav>{menu}</nav><article><p>{own(i)}</p><p>{passage if i == 2 else ''}</p></article>") for i in range(4)]
+    want = {i: own(i) + (" " + passage if i == 2 else "") for i in range(4)}
+    # one open page beside them: the menu and the quoted passage occur on other pages
+    rows += [(10, "http://a.example/o", f"<body><div>{menu}</div><div>{own(10)}</div><div>{passage}</div>"),
+             # a print of an article loses the menu and keeps the text, on its own host only
+             (11, "http://a.example/p", f"<body><div>{menu}</div><div>{own(1)}</div><div>printed</div>"),
+             (12, "http://b.example/o", f"<body><div>{menu}</div><div>{own(10)}</div>"),
+             # what stands beside its own text on one page alone is no repeat
+             (13, "http://c.example/o", f"<nav>{menu}</nav><div>{menu}</div><div>{own(13)}</div>")]
+    want |= {10: own(10), 11: own(1) + " printed", 12: f"{menu} {own(10)}", 13: f"{menu} {own(13)}"}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in B.main_text(df).collect()} == want
